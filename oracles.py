@@ -444,3 +444,159 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q = _queries()
     q.update(_more())
     return q
+
+
+MONTHS = ["Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho", "Julho", "Agosto", "Setembro",
+          "Outubro", "Novembro", "Dezembro"]
+MONTHS_ABBR = ["Jan", "Fev", "Mar", "Abr", "Mai", "Jun", "Jul", "Ago", "Set", "Out", "Nov", "Dez"]
+WEEKDAYS = ["Domingo", "Segunda-feira", "Terça-feira", "Quarta-feira", "Quinta-feira", "Sexta-feira", "Sábado"]
+WEEKDAYS_ABBR = ["Dom", "Seg", "Ter", "Qua", "Qui", "Sex", "Sáb"]
+
+
+def _lst(xs):
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+SPINE = """
+spine AS (
+  SELECT CAST(unnest(generate_series(CAST((SELECT min(date) FROM raw_daily) AS TIMESTAMP),
+                                     CAST((SELECT max(date) FROM raw_daily) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day
+)"""
+
+CALENDAR = f"""
+calendar AS (
+  SELECT date_day AS dt_data, year(date_day) AS ano, month(date_day) AS mes, day(date_day) AS dia,
+         quarter(date_day) AS trimestre,
+         CAST(floor((dayofyear(date_day) + 6 - dayofweek(date_day)) / 7) AS BIGINT) AS semana_ano,
+         weekofyear(date_day) AS semana_iso, dayofweek(date_day) AS dia_semana_num, dayofyear(date_day) AS dia_do_ano,
+         {_lst(MONTHS)}[month(date_day)] AS nm_mes, {_lst(MONTHS_ABBR)}[month(date_day)] AS nm_mes_abrev,
+         {_lst(WEEKDAYS)}[dayofweek(date_day) + 1] AS nm_dia_semana,
+         {_lst(WEEKDAYS_ABBR)}[dayofweek(date_day) + 1] AS nm_dia_semana_abrev,
+         CASE WHEN (month(date_day) = 12 AND day(date_day) >= 21) OR month(date_day) IN (1, 2)
+                   OR (month(date_day) = 3 AND day(date_day) <= 20) THEN 'Verão'
+              WHEN (month(date_day) = 3 AND day(date_day) >= 21) OR month(date_day) IN (4, 5)
+                   OR (month(date_day) = 6 AND day(date_day) <= 20) THEN 'Outono'
+              WHEN (month(date_day) = 6 AND day(date_day) >= 21) OR month(date_day) IN (7, 8)
+                   OR (month(date_day) = 9 AND day(date_day) <= 22) THEN 'Inverno'
+              ELSE 'Primavera' END AS estacao,
+         strftime(date_day, '%Y-%m') AS ano_mes,
+         CAST(quarter(date_day) AS VARCHAR) || 'º Tri' AS nm_trimestre,
+         'Q' || CAST(quarter(date_day) AS VARCHAR) AS sigla_trimestre,
+         dayofweek(date_day) IN (0, 6) AS fl_fim_de_semana,
+         CAST(date_trunc('month', date_day) AS DATE) AS primeiro_dia_mes,
+         last_day(date_day) AS ultimo_dia_mes,
+         CAST(date_trunc('quarter', date_day) AS DATE) AS primeiro_dia_trimestre,
+         CAST(date_trunc('quarter', date_day) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS ultimo_dia_trimestre,
+         CAST(date_trunc('year', date_day) AS DATE) AS primeiro_dia_ano,
+         CAST(date_trunc('year', date_day) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS ultimo_dia_ano,
+         CAST(date_day - INTERVAL 1 YEAR AS DATE) AS dt_data_ano_anterior,
+         date_day - 1 AS dt_data_ontem, date_day + 1 AS dt_data_amanha
+  FROM spine
+)"""
+
+ASOF = "(SELECT max(_extracted_at) FROM raw_daily)"
+
+
+def hours_diff(later: str, earlier: str) -> str:
+    return f"CAST(trunc((epoch({later}) - epoch({earlier})) / 3600) AS BIGINT)"
+
+
+def _dq() -> dict[str, str]:
+    from skyledger.operators.quality import SUITES
+    q: dict[str, str] = {}
+    D, H = DAILY_CHAIN, HOURLY_CHAIN
+    q["g1_date_spine"] = with_([RAW_DAILY, SPINE], "SELECT date_day FROM spine")
+    q["g2_calendar"] = with_([RAW_DAILY, SPINE, CALENDAR], "SELECT * FROM calendar ORDER BY dt_data")
+    q["d1_not_null_city"] = with_(H, "SELECT location_id, observed_at FROM hourly_facts WHERE city_name IS NULL")
+    q["d2_unique_surrogate_key"] = with_(
+        D, "SELECT surrogate_key, COUNT(*) AS n_records FROM facts WHERE surrogate_key IS NOT NULL "
+           "GROUP BY surrogate_key HAVING COUNT(*) > 1")
+    meso_vals = dict((t[1], t[2]) for t in SUITES["locations"] if t[0] == "accepted_values")["mesoregion"]
+    q["d3_accepted_mesoregion"] = with_(
+        [LOCATIONS], "SELECT location_id, mesoregion FROM locations WHERE mesoregion NOT IN ("
+                     + ", ".join(f"'{v}'" for v in meso_vals) + ")")
+    q["d4_accepted_range_anomaly"] = with_(
+        D, "SELECT location_id, date, CAST(temp_anomaly_c AS DOUBLE) AS temp_anomaly_c FROM facts "
+           "WHERE temp_anomaly_c < -25 OR temp_anomaly_c > 25")
+    q["d5_unique_key_raw"] = with_(
+        [RAW_DAILY], "SELECT location_id, date, COUNT(*) AS occurrences FROM raw_daily "
+                     "GROUP BY location_id, date HAVING COUNT(*) > 1")
+    q["d6_min_above_max"] = with_(
+        D, "SELECT location_id, date, CAST(temp_min_c AS DOUBLE) AS temp_min_c, CAST(temp_max_c AS DOUBLE) AS temp_max_c "
+           "FROM facts WHERE temp_min_c > temp_max_c")
+    q["d7_date_gaps"] = with_(
+        D, "SELECT location_id, prev_date AS gap_start, date AS gap_end, date - prev_date AS gap_days FROM ("
+           "SELECT location_id, date, lag(date) OVER (PARTITION BY location_id ORDER BY date) AS prev_date "
+           "FROM facts WHERE date >= (SELECT max(date) FROM facts) - 30) s "
+           "WHERE prev_date IS NOT NULL AND date - prev_date > 1")
+    age = hours_diff(ASOF, "l.latest_extracted_at")
+    q["d8_location_freshness"] = with_(
+        [LOCATIONS, RAW_DAILY],
+        f"SELECT * FROM (SELECT e.location_id, l.latest_extracted_at, {age} AS age_hours, "
+        f"CASE WHEN l.latest_extracted_at IS NULL THEN 'never_loaded' WHEN {age} > 25 THEN 'stale' ELSE 'fresh' END AS status "
+        "FROM locations e LEFT JOIN (SELECT location_id, max(_extracted_at) AS latest_extracted_at FROM raw_daily "
+        "GROUP BY location_id) l ON e.location_id = l.location_id) x WHERE status <> 'fresh' "
+        "ORDER BY age_hours DESC NULLS FIRST, location_id")
+    q["d9_relationship_alerts"] = with_(
+        ALERT_CHAIN, "SELECT a.location_id, a.date, a.alert_type FROM alerts a "
+                     "WHERE NOT EXISTS (SELECT 1 FROM locations l WHERE l.location_id = a.location_id)")
+    q["j3_orphans_hourly"] = with_(
+        [LOCATIONS, RAW_HOURLY, STG_HOURLY],
+        "SELECT h.location_id, h.observed_at FROM stg_hourly h "
+        "WHERE NOT EXISTS (SELECT 1 FROM locations l WHERE l.location_id = h.location_id)")
+    fage = hours_diff(ASOF, "max_loaded_at")
+    q["d10_source_freshness"] = with_(
+        [RAW_DAILY], f"SELECT max_loaded_at, {fage} AS age_hours, CASE WHEN max_loaded_at IS NULL THEN 'error' "
+                     f"WHEN {fage} >= 49 THEN 'error' WHEN {fage} >= 25 THEN 'warn' ELSE 'pass' END AS status "
+                     "FROM (SELECT max(_extracted_at) AS max_loaded_at FROM raw_daily) m")
+    q["d11_recent_load"] = with_(
+        [RAW_DAILY], f"SELECT COUNT(CASE WHEN _extracted_at >= {ASOF} - INTERVAL 420 MINUTE THEN 1 END) AS recent_rows, "
+                     "max(_extracted_at) AS max_loaded_at, CASE WHEN COUNT(CASE WHEN _extracted_at >= "
+                     f"{ASOF} - INTERVAL 420 MINUTE THEN 1 END) > 0 THEN 'pass' ELSE 'fail' END AS status FROM raw_daily")
+    q["d12_incomplete_daily"] = with_(
+        [RAW_DAILY], "SELECT location_id, COUNT(*) AS total_coletado, 1931 - COUNT(*) AS faltando FROM raw_daily "
+                     "GROUP BY location_id HAVING COUNT(*) < 1931")
+    q["d13_count_mismatch_hourly"] = with_(
+        [RAW_HOURLY], "SELECT location_id, COUNT(*) AS total, COUNT(*) - 20064 AS diferenca FROM raw_hourly "
+                      "GROUP BY location_id HAVING COUNT(*) <> 20064")
+    exp = "((SELECT max(date) FROM raw_daily) - (SELECT min(date) FROM raw_daily) + 1)"
+    q["d14_incomplete_calendar"] = with_(
+        [RAW_DAILY], f"SELECT location_id, COUNT(*) AS dias_coletados, {exp} AS dias_esperados, "
+                     f"{exp} - COUNT(*) AS dias_faltando FROM raw_daily GROUP BY location_id HAVING COUNT(*) < {exp}")
+    q["d15_complete_locations"] = with_(
+        [RAW_HOURLY], "SELECT COUNT(DISTINCT location_id) AS municipios_completos FROM raw_hourly WHERE location_id IN "
+                      "(SELECT location_id FROM raw_hourly GROUP BY location_id HAVING COUNT(*) >= 20016)")
+    present = {
+        "raw_daily": "raw_daily", "raw_hourly": "raw_hourly", "stg_daily": "stg_daily", "stg_hourly": "stg_hourly",
+        "daily_enriched": "enriched", "daily_facts": "facts", "alerts": "alerts", "hourly_facts": "hourly_facts",
+        "locations": "locations", "calendar": "calendar",
+    }
+    absent = {"_loaded_at", "_dbt_updated_at"}
+    parts = []
+    for model, view in present.items():
+        for test, col, *arg in SUITES[model]:
+            if col in absent:
+                continue
+            c = f'"{col}"'
+            if test == "not_null":
+                cond = f"{c} IS NULL"
+            elif test == "accepted_values":
+                cond = f"{c} NOT IN (" + ", ".join(f"'{v}'" for v in arg[0]) + ")"
+            elif test == "accepted_range":
+                cond = f"{c} < {arg[0][0]} OR {c} > {arg[0][1]}"
+            else:
+                parts.append(f"SELECT '{model}' AS model, 'unique' AS test, '{col}' AS \"column\", "
+                             f"(SELECT COUNT(*) FROM (SELECT {c} FROM {view} WHERE {c} IS NOT NULL GROUP BY {c} "
+                             f"HAVING COUNT(*) > 1) u) AS failures")
+                continue
+            parts.append(f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
+                         f"COUNT(CASE WHEN {cond} THEN 1 END) AS failures FROM {view}")
+    q["d16_run_suite"] = with_(ALL_CHAIN + [SPINE, CALENDAR], "\nUNION ALL\n".join(parts))
+    return q
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _queries()
+    q.update(_more())
+    q.update(_dq())
+    return q

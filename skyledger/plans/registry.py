@@ -301,3 +301,142 @@ def j6_compare_profiles(spark, sf_dir):
 @register("a21_day_vs_history")
 def a21_day_vs_history(spark, sf_dir):
     return R.day_vs_history(_m(spark, sf_dir).hourly_facts, CITY)
+
+
+# ── calendar ─────────────────────────────────────────────────────────────────
+
+def _data_span_spine(spark, sf_dir):
+    from .layers import date_spine
+    from ..operators.filters import max_date
+    raw = _m(spark, sf_dir).raw_daily
+    start = raw.select(F.min("date")).scalar()
+    return date_spine(spark, start, max_date(raw))
+
+
+@register("g1_date_spine")
+def g1_date_spine(spark, sf_dir):
+    """G1: every day between the first and last observed date."""
+    return _data_span_spine(spark, sf_dir)
+
+
+@register("g2_calendar")
+def g2_calendar(spark, sf_dir):
+    """Calendar dimension over the observed period."""
+    from .layers import calendar
+    return calendar(_data_span_spine(spark, sf_dir)).orderBy("dt_data")
+
+
+# ── data quality ─────────────────────────────────────────────────────────────
+
+from ..operators import quality as Q  # noqa: E402
+
+
+@register("d1_not_null_city")
+def d1_not_null_city(spark, sf_dir):
+    """D1 on the hourly facts' city_name (observations without a dimension row)."""
+    return Q.not_null(_m(spark, sf_dir).hourly_facts, "city_name").select("location_id", "observed_at")
+
+
+@register("d2_unique_surrogate_key")
+def d2_unique_surrogate_key(spark, sf_dir):
+    return Q.unique(_m(spark, sf_dir).facts, "surrogate_key")
+
+
+@register("d3_accepted_mesoregion")
+def d3_accepted_mesoregion(spark, sf_dir):
+    from .layers import LOCATION_COLS  # noqa: F401
+    vals = dict((t[1], t[2]) for t in Q.SUITES["locations"] if t[0] == "accepted_values")["mesoregion"]
+    return Q.accepted_values(_m(spark, sf_dir).locations, "mesoregion", vals).select("location_id", "mesoregion")
+
+
+@register("d4_accepted_range_anomaly")
+def d4_accepted_range_anomaly(spark, sf_dir):
+    f = Q.accepted_range(_m(spark, sf_dir).facts, "temp_anomaly_c", -25, 25)
+    return to_double(f.select("location_id", "date", "temp_anomaly_c"))
+
+
+@register("d5_unique_key_raw")
+def d5_unique_key_raw(spark, sf_dir):
+    return Q.unique_key(_m(spark, sf_dir).raw_daily, "location_id", "date")
+
+
+@register("d6_min_above_max")
+def d6_min_above_max(spark, sf_dir):
+    f = Q.expression(_m(spark, sf_dir).facts, F.col("temp_min_c") > F.col("temp_max_c"))
+    return to_double(f.select("location_id", "date", "temp_min_c", "temp_max_c"))
+
+
+@register("d7_date_gaps")
+def d7_date_gaps(spark, sf_dir):
+    from ..operators.filters import max_date
+    f = _m(spark, sf_dir).facts
+    return Q.date_gaps(f, max_date(f), 30)
+
+
+def _as_of(m):
+    return m.raw_daily.select(F.max("_extracted_at")).scalar()
+
+
+@register("d8_location_freshness")
+def d8_location_freshness(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return Q.location_freshness(m.locations, m.raw_daily, _as_of(m), 25)
+
+
+@register("d9_relationship_alerts")
+def d9_relationship_alerts(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return Q.relationship(m.alerts, m.locations).select("location_id", "date", "alert_type")
+
+
+@register("j3_orphans_hourly")
+def j3_orphans_hourly(spark, sf_dir):
+    from ..operators.joins import orphans
+    m = _m(spark, sf_dir)
+    return orphans(m.stg_hourly, m.locations).select("location_id", "observed_at")
+
+
+@register("d10_source_freshness")
+def d10_source_freshness(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return Q.source_freshness(m.raw_daily, _as_of(m), 25, 49)
+
+
+@register("d11_recent_load")
+def d11_recent_load(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return Q.recent_load(m.raw_daily, _as_of(m), 7)
+
+
+@register("d12_incomplete_daily")
+def d12_incomplete_daily(spark, sf_dir):
+    return Q.incomplete(_m(spark, sf_dir).raw_daily, 1931)
+
+
+@register("d13_count_mismatch_hourly")
+def d13_count_mismatch_hourly(spark, sf_dir):
+    return Q.count_mismatch(_m(spark, sf_dir).raw_hourly, 20064)
+
+
+@register("d14_incomplete_calendar")
+def d14_incomplete_calendar(spark, sf_dir):
+    from ..operators.filters import max_date
+    raw = _m(spark, sf_dir).raw_daily
+    start = raw.select(F.min("date")).scalar()
+    return Q.incomplete_calendar(raw, start, F.date_add(max_date(raw), 1))
+
+
+@register("d15_complete_locations")
+def d15_complete_locations(spark, sf_dir):
+    return Q.complete_locations(_m(spark, sf_dir).raw_hourly, 20016)
+
+
+@register("d16_run_suite")
+def d16_run_suite(spark, sf_dir):
+    from .layers import calendar
+    m = _m(spark, sf_dir)
+    tables = {"raw_daily": m.raw_daily, "raw_hourly": m.raw_hourly, "stg_daily": m.stg_daily,
+              "stg_hourly": m.stg_hourly, "daily_enriched": m.enriched, "daily_facts": m.facts,
+              "alerts": m.alerts, "hourly_facts": m.hourly_facts, "locations": m.locations,
+              "calendar": calendar(_data_span_spine(spark, sf_dir))}
+    return Q.run_suite(tables)
