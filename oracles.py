@@ -600,3 +600,78 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q.update(_more())
     q.update(_dq())
     return q
+
+
+RAW_DAILY_COLS = ("location_id, date, latitude, longitude, temperature_2m_max, temperature_2m_min, "
+                  "precipitation_sum, rain_sum, wind_speed_10m_max, sunrise, sunset, uv_index_max")
+RAW_HOURLY_COLS = ("location_id, \"timestamp\", latitude, longitude, elevation, timezone, temperature_2m, "
+                   "relative_humidity_2m, precipitation, wind_speed_10m, wind_direction_10m, surface_pressure, "
+                   "cloud_cover, visibility, weather_code")
+RAW_DAILY_GEO = """
+raw_daily_geo AS (
+  SELECT r.*, CAST(-26.0 - (CAST(location_id AS BIGINT) % 40) / 10.0 AS DOUBLE) AS latitude,
+         CAST(-48.0 - (CAST(location_id AS BIGINT) % 60) / 10.0 AS DOUBLE) AS longitude
+  FROM raw_daily r
+)"""
+
+
+def _io() -> dict[str, str]:
+    q: dict[str, str] = {}
+    landed = "TIMESTAMP '2024-02-01 00:00:00'"
+    flat_h = with_([RAW_HOURLY], f"SELECT {RAW_HOURLY_COLS}, {landed} AS _extracted_at FROM raw_hourly")
+    q["s1_flatten_hourly"] = flat_h
+    q["st1_stream_ingest"] = flat_h
+    q["s2_flatten_daily"] = with_([RAW_DAILY, RAW_DAILY_GEO],
+                                  f"SELECT {RAW_DAILY_COLS}, {landed} AS _extracted_at FROM raw_daily_geo")
+    q["s6_read_new"] = with_(
+        [RAW_DAILY], "SELECT location_id, date, _extracted_at FROM raw_daily WHERE _extracted_at > "
+                     "(SELECT max(_extracted_at) FROM raw_daily WHERE date < (SELECT max(date) FROM raw_daily) - 365)")
+    q["s8_to_wire"] = with_(
+        [RAW_DAILY, RAW_DAILY_GEO],
+        "SELECT location_id, strftime(date, '%Y-%m-%d') AS date, latitude, longitude, temperature_2m_max, "
+        "temperature_2m_min, precipitation_sum, rain_sum, wind_speed_10m_max, "
+        "strftime(sunrise, '%Y-%m-%dT%H:%M:%S') AS sunrise, strftime(sunset, '%Y-%m-%dT%H:%M:%S') AS sunset, "
+        "uv_index_max, strftime(_extracted_at, '%Y-%m-%dT%H:%M:%S') AS _extracted_at FROM raw_daily_geo")
+    q["k2_reload_window"] = with_(
+        [RAW_DAILY, RAW_DAILY_GEO],
+        f"SELECT {RAW_DAILY_COLS}, _extracted_at FROM raw_daily_geo WHERE date < (SELECT max(date) FROM raw_daily) - 30 "
+        f"UNION ALL SELECT {RAW_DAILY_COLS}, (SELECT max(_extracted_at) FROM raw_daily) + INTERVAL 1 HOUR "
+        "FROM raw_daily_geo WHERE date >= (SELECT max(date) FROM raw_daily) - 30")
+    top = '(SELECT max("timestamp") FROM raw_hourly)'
+    dedup = ("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location_id, \"timestamp\" "
+             "ORDER BY _extracted_at DESC) AS rn FROM raw_hourly WHERE {w}) x WHERE rn = 1")
+    meas = ["temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m", "wind_direction_10m",
+            "surface_pressure", "cloud_cover", "visibility", "weather_code", "_extracted_at"]
+    keep = ["latitude", "longitude", "elevation", "timezone"]
+    new_sel = ("SELECT location_id, \"timestamp\", latitude + 1.0 AS latitude, longitude, elevation, timezone, "
+               "temperature_2m + 1.0 AS temperature_2m, " + ", ".join(meas[1:]) + " FROM ("
+               + dedup.format(w=f'"timestamp" >= {top} - INTERVAL 5 DAY') + ") n0")
+    cols = ", ".join([f"CASE WHEN t.location_id IS NOT NULL THEN t.{c} ELSE n.{c} END AS {c}" for c in keep]
+                     + [f"CASE WHEN n.location_id IS NOT NULL THEN n.{c} ELSE t.{c} END AS {c}" for c in meas])
+    q["k3_upsert_raw_hourly"] = with_(
+        [RAW_HOURLY],
+        "SELECT coalesce(t.location_id, n.location_id) AS location_id, coalesce(t.\"timestamp\", n.\"timestamp\") "
+        f"AS \"timestamp\", {cols} FROM ({dedup.format(w=chr(34) + 'timestamp' + chr(34) + ' < ' + top + ' - INTERVAL 3 DAY')}) t "
+        f"FULL OUTER JOIN ({new_sel}) n ON t.location_id = n.location_id AND t.\"timestamp\" = n.\"timestamp\"")
+    q["k6_expire_partitions"] = with_(
+        [RAW_HOURLY], f"SELECT location_id, \"timestamp\" FROM raw_hourly WHERE CAST(\"timestamp\" AS DATE) >= "
+                      f"CAST({top} AS DATE) - 450")
+    base = _queries()
+    q["u1_merge_upsert"] = base["t4_daily_facts"]
+    q["u3_hourly_incremental"] = _more()["t5_hourly_facts"]
+    q["u6_missing_locations"] = with_(
+        [LOCATIONS, RAW_DAILY],
+        "SELECT location_id, city_name FROM locations WHERE location_id NOT IN (SELECT location_id FROM raw_daily "
+        "WHERE date >= (SELECT min(date) FROM raw_daily) AND date < (SELECT min(date) FROM raw_daily) + 7)")
+    q["st2_stream_upsert"] = with_(
+        [RAW_HOURLY], f"SELECT {RAW_HOURLY_COLS}, _extracted_at FROM ({dedup.format(w='TRUE')}) d")
+    q["st4_stream_dedup"] = with_([RAW_HOURLY], 'SELECT DISTINCT location_id, "timestamp" FROM raw_hourly')
+    return q
+
+
+def oracle_queries() -> dict[str, str]:  # noqa: F811
+    q = _queries()
+    q.update(_more())
+    q.update(_dq())
+    q.update(_io())
+    return q

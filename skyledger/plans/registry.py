@@ -440,3 +440,180 @@ def d16_run_suite(spark, sf_dir):
               "alerts": m.alerts, "hourly_facts": m.hourly_facts, "locations": m.locations,
               "calendar": calendar(_data_span_spine(spark, sf_dir))}
     return Q.run_suite(tables)
+
+
+# ── sources ──────────────────────────────────────────────────────────────────
+
+from ..sources import api_json as SJ  # noqa: E402
+from ..sources import tables as ST  # noqa: E402
+
+LANDED_AT = "2024-02-01 00:00:00"
+
+
+def _hourly_docs(m):
+    return SJ.to_documents_hourly(ST.select_raw_columns(m.raw_hourly, "hourly"), ["timestamp", "_extracted_at"])
+
+
+@register("s1_flatten_hourly")
+def s1_flatten_hourly(spark, sf_dir):
+    """S1+S3: hourly documents (one per location and day) flattened back to rows."""
+    return SJ.flatten_hourly(_hourly_docs(_m(spark, sf_dir)), LANDED_AT)
+
+
+@register("s2_flatten_daily")
+def s2_flatten_daily(spark, sf_dir):
+    """S2+S3: daily documents (one per location and month) flattened back to rows."""
+    m = _m(spark, sf_dir)
+    docs = SJ.to_documents_daily(ST.select_raw_columns(m.raw_daily, "daily"), ["date", "_extracted_at"])
+    return SJ.flatten_daily(docs, LANDED_AT)
+
+
+@register("s6_read_new")
+def s6_read_new(spark, sf_dir):
+    """Rows above the high-water mark of a target holding the older history."""
+    from ..operators.filters import max_date
+    raw = _m(spark, sf_dir).raw_daily
+    target = raw.filter(F.col("date") < F.date_sub(max_date(raw), 365))
+    return ST.read_new(raw, target).select("location_id", "date", "_extracted_at")
+
+
+@register("s8_to_wire")
+def s8_to_wire(spark, sf_dir):
+    """S7+S8: declared raw columns, serialised for the wire."""
+    return ST.to_wire(ST.select_raw_columns(_m(spark, sf_dir).raw_daily, "daily"))
+
+
+# ── sinks / maintenance / incremental ────────────────────────────────────────
+
+from ..operators import incremental as U  # noqa: E402
+from ..sinks import tables as K  # noqa: E402
+
+
+@register("k2_reload_window")
+def k2_reload_window(spark, sf_dir):
+    """K2: the last 30 days re-extracted one hour after the newest load."""
+    from ..operators.filters import max_date
+    raw = ST.select_raw_columns(_m(spark, sf_dir).raw_daily, "daily")
+    start = F.date_sub(max_date(raw), 30)
+    stamp = max_date(raw, "_extracted_at") + F.make_dt_interval(F.lit(0), F.lit(1))
+    new = raw.filter(F.col("date") >= start).withColumn("_extracted_at", stamp)
+    return K.reload_window(raw, new, start)
+
+
+@register("k3_upsert_raw_hourly")
+def k3_upsert_raw_hourly(spark, sf_dir):
+    """K3: overlapping re-extraction; measures update, coordinates keep the stored value."""
+    from ..operators.dedup import latest_per_key
+    from ..operators.filters import max_date
+    raw = ST.select_raw_columns(_m(spark, sf_dir).raw_hourly, "hourly")
+    top = max_date(raw, "timestamp")
+    keys = ["location_id", "timestamp"]
+    target = latest_per_key(raw.filter(F.col("timestamp") < top - F.make_dt_interval(F.lit(3))), keys)
+    new = latest_per_key(raw.filter(F.col("timestamp") >= top - F.make_dt_interval(F.lit(5))), keys)
+    new = (new.withColumn("latitude", F.col("latitude") + 1.0)
+              .withColumn("temperature_2m", F.col("temperature_2m") + 1.0))
+    return K.upsert_raw_hourly(target, new)
+
+
+@register("k6_expire_partitions")
+def k6_expire_partitions(spark, sf_dir):
+    """K6: hourly rows inside the 450-day retention of the newest hour."""
+    from ..operators.filters import max_date
+    raw = _m(spark, sf_dir).raw_hourly
+    return K.expire_partitions(raw, 450, max_date(raw, "timestamp")).select("location_id", "timestamp")
+
+
+def _facts_out(f):
+    return to_double(f.drop("sunrise_at", "sunset_at", "_extracted_at"))
+
+
+@register("u1_merge_upsert")
+def u1_merge_upsert(spark, sf_dir):
+    """U1+U2+U4: facts of an older history merged with a 35-day incremental run == full rebuild."""
+    from ..operators.filters import max_date
+    from .marts import Marts
+    m = _m(spark, sf_dir)
+    old_raw = m.raw_daily.filter(F.col("date") < F.date_sub(max_date(m.raw_daily), 200))
+    old = Marts(old_raw, None, m.locations, m.daily_order, stamps=False)
+    merged = U.incremental_daily_facts(m.stg_daily, m.locations, old.facts, 35, updated_at=False)
+    return _facts_out(merged)
+
+
+@register("u3_hourly_incremental")
+def u3_hourly_incremental(spark, sf_dir):
+    """U1+U3: hourly facts of older hours merged with a 4-day incremental run == full rebuild."""
+    from ..operators.filters import max_date
+    from .marts import Marts
+    m = _m(spark, sf_dir)
+    top = max_date(m.raw_hourly, "timestamp")
+    old_raw = m.raw_hourly.filter(F.col("timestamp") < top - F.make_dt_interval(F.lit(10)))
+    old = Marts(m.raw_daily, old_raw, m.locations, m.daily_order, m.hourly_order, stamps=False)
+    merged = U.incremental_hourly_facts(m.stg_hourly, m.locations, old.hourly_facts, 4, updated_at=False)
+    return to_double(merged)
+
+
+@register("u6_missing_locations")
+def u6_missing_locations(spark, sf_dir):
+    """Locations without a row in the first 7 days of the period."""
+    m = _m(spark, sf_dir)
+    start = m.raw_daily.select(F.min("date")).scalar()
+    return U.missing_locations(m.locations, m.raw_daily, start, 7).select("location_id", "city_name")
+
+
+# ── streaming ────────────────────────────────────────────────────────────────
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("st1_stream_ingest")
+def st1_stream_ingest(spark, sf_dir):
+    """ST1: hourly documents landed as JSON, ingested by an availableNow file stream."""
+    from ..streaming.ingest import stream_ingest
+    landing, sink = _scratch(spark, "landing-json"), _scratch(spark, "raw-hourly")
+    _hourly_docs(_m(spark, sf_dir)).write.mode("overwrite").json(landing)
+    q = stream_ingest(spark, landing, sink, _scratch(spark, "ckpt"), "hourly",
+                      F.lit(LANDED_AT).cast("timestamp"))
+    q.awaitTermination()
+    return spark.read.parquet(sink).drop("part_date")
+
+
+def _land_raw_hourly(spark, sf_dir, parts: int = 3):
+    landing = _scratch(spark, "landing-parquet")
+    raw = ST.select_raw_columns(_m(spark, sf_dir).raw_hourly, "hourly")
+    raw.withColumn("part_date", F.to_date("timestamp")).repartition(parts).write.parquet(landing)
+    return landing, raw.schema.add("part_date", "date")
+
+
+@register("st2_stream_upsert")
+def st2_stream_upsert(spark, sf_dir):
+    """ST2: micro-batches upserted by key (latest extraction wins) == batch dedup."""
+    from ..streaming.ingest import read_landing, stream_upsert
+    landing, schema = _land_raw_hourly(spark, sf_dir)
+    target = _scratch(spark, "raw-hourly-upserted")
+    stream = read_landing(spark, landing, "parquet", schema, max_files_per_trigger=1)
+    q = stream_upsert(stream, target, ["location_id", "timestamp"], [F.col("_extracted_at").desc()],
+                      _scratch(spark, "ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(target).drop("part_date")
+
+
+@register("st4_stream_dedup")
+def st4_stream_dedup(spark, sf_dir):
+    """ST3+ST4: watermarked stream dedup of re-sent observations; the key set equals the batch one.
+
+    The landed files are not in event-time order, so they are read in one
+    trigger; across triggers rows older than the 4-day watermark are dropped
+    as late, by design.
+    """
+    from ..streaming.ingest import read_landing, stream_dedup
+    landing, schema = _land_raw_hourly(spark, sf_dir)
+    sink = _scratch(spark, "dedup")
+    s = stream_dedup(read_landing(spark, landing, "parquet", schema), ["location_id", "timestamp"],
+                     "timestamp", "4 days")
+    q = (s.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", _scratch(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("location_id", "timestamp")
