@@ -31,7 +31,12 @@ def last_days(df: DataFrame, days: int, col: str = "date", anchor: Column | None
     The anchor is the table's own maximum (a scalar subquery), never the clock.
     """
     anchor = max_date(df, col) if anchor is None else anchor
-    return df.filter(F.col(col) >= F.date_sub(anchor, days))
+    start = F.date_sub(anchor, days)
+    out = df.filter(F.col(col) >= start)
+    if col == "date" and "year_month" in df.columns:
+        # same predicate on the month column: prunes monthly partitions at scan time
+        out = out.filter(F.col("year_month") >= F.date_format(start, "yyyy-MM"))
+    return out
 
 
 def half_open(df: DataFrame, start: Column, end: Column, col: str = "date") -> DataFrame:

@@ -16,13 +16,32 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
 
     ``cols`` maps output name -> input column.  Counts rows, not days: with
     gaps the frame spans more than ``rows`` days; NULLs are skipped.
-    The frame is evaluated on rows that are already unique per
-    (partition, order) — one row per location and day — so a partition holds at
-    most one row per calendar day: its size is bounded by the covered period,
-    not by the data volume, and several metrics share one sort.
+
+    Computed as running sums: sum(last n rows) = S(i) - S(i - n), where S is the
+    running sum (an incremental, O(1)-per-row frame) and S(i - n) is a LAG of
+    it; the same for the non-NULL count.  A bounded ROWS frame would re-add its
+    whole buffer for every row, because Spark's aggregates cannot retract.
+    Decimal sums are exact, so the result equals the frame average.
+
+    The frame runs on rows already unique per (partition, order) — one row per
+    location and day — so a partition holds at most one row per calendar day:
+    its size is bounded by the covered period, not by the data volume, and
+    every metric shares one sort.
     """
-    w = Window.partitionBy(partition).orderBy(order).rowsBetween(-(rows - 1), Window.currentRow)
-    return df.select("*", *[windowed_mean(src, w).alias(out) for out, src in cols.items()])
+    run = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(partition).orderBy(order)
+    tmp = {}
+    for out, src in cols.items():
+        tmp[f"_s_{out}"] = F.coalesce(F.sum(src).over(run), F.lit(0))
+        tmp[f"_n_{out}"] = F.count(src).over(run)
+    staged = df.select("*", *[c.alias(n) for n, c in tmp.items()])
+    outs = []
+    for out in cols:
+        s, n = F.col(f"_s_{out}"), F.col(f"_n_{out}")
+        ds = s - F.coalesce(F.lag(s, rows).over(ordered), F.lit(0))
+        dn = n - F.coalesce(F.lag(n, rows).over(ordered), F.lit(0))
+        outs.append(F.try_divide(ds.cast("double"), dn.cast("double")).alias(out))
+    return staged.select(*df.columns, *outs)
 
 
 def previous_value(df: DataFrame, col: str = "date", partition: str = "location_id",

@@ -30,9 +30,17 @@ def register(key: str):
 
 
 def _m(spark, sf_dir):
+    """The lazily composed mart chain over the test tables (layer / build queries)."""
     return from_test_tables(spark, sf_dir, stamps=False)
 
 
+def _w(spark, sf_dir):
+    """The materialised marts over the test tables (report queries read these)."""
+    from .warehouse import stored
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "events", "supplier", "nation", "region")]
+    return stored(spark, _m(spark, sf_dir), sf_dir.strip("/").replace("/", "_"), inputs)
+
+
 @register("t1_stg_daily")
 def t1_stg_daily(spark, sf_dir):
     return to_double(_m(spark, sf_dir).stg_daily.drop("latitude", "longitude"))
@@ -58,7 +66,7 @@ def t6_alerts(spark, sf_dir):
 
 @register("a3_temp_trend")
 def a3_temp_trend(spark, sf_dir):
-    return R.temp_trend(_m(spark, sf_dir).facts, 30)
+    return R.temp_trend(_w(spark, sf_dir).facts, 30)
 
 
 @register("t2_stg_hourly")
@@ -75,128 +83,128 @@ def t5_hourly_facts(spark, sf_dir):
 
 @register("a1_home_kpis")
 def a1_home_kpis(spark, sf_dir):
-    return R.home_kpis(_m(spark, sf_dir).facts, 7)
+    return R.home_kpis(_w(spark, sf_dir).facts, 7)
 
 
 @register("a1_home_kpis_meso")
 def a1_home_kpis_meso(spark, sf_dir):
-    return R.home_kpis(_m(spark, sf_dir).facts, 7, MESO)
+    return R.home_kpis(_w(spark, sf_dir).facts, 7, MESO)
 
 
 @register("a2_alert_count")
 def a2_alert_count(spark, sf_dir):
-    return R.alert_count(_m(spark, sf_dir).alerts, 7)
+    return R.alert_count(_w(spark, sf_dir).alerts, 7)
 
 
 @register("a3_temp_trend_meso")
 def a3_temp_trend_meso(spark, sf_dir):
-    return R.temp_trend(_m(spark, sf_dir).facts, 90, MESO)
+    return R.temp_trend(_w(spark, sf_dir).facts, 90, MESO)
 
 
 @register("a4_hottest")
 def a4_hottest(spark, sf_dir):
-    return R.hottest(_m(spark, sf_dir).facts, 7, 10)
+    return R.hottest(_w(spark, sf_dir).facts, 7, 10)
 
 
 @register("a5_coldest")
 def a5_coldest(spark, sf_dir):
-    return R.coldest(_m(spark, sf_dir).facts, 7, 10)
+    return R.coldest(_w(spark, sf_dir).facts, 7, 10)
 
 
 @register("a6_meso_temp")
 def a6_meso_temp(spark, sf_dir):
-    return R.meso_temp(_m(spark, sf_dir).facts, 30)
+    return R.meso_temp(_w(spark, sf_dir).facts, 30)
 
 
 @register("a7_meso_anomaly")
 def a7_meso_anomaly(spark, sf_dir):
-    return R.meso_anomaly(_m(spark, sf_dir).facts, 30)
+    return R.meso_anomaly(_w(spark, sf_dir).facts, 30)
 
 
 @register("a8_rain_ranking")
 def a8_rain_ranking(spark, sf_dir):
-    return R.rain_ranking(_m(spark, sf_dir).facts, 30)
+    return R.rain_ranking(_w(spark, sf_dir).facts, 30)
 
 
 @register("a8_rain_ranking_meso")
 def a8_rain_ranking_meso(spark, sf_dir):
-    return R.rain_ranking(_m(spark, sf_dir).facts, 30, MESO)
+    return R.rain_ranking(_w(spark, sf_dir).facts, 30, MESO)
 
 
 @register("a9_rain_classes")
 def a9_rain_classes(spark, sf_dir):
-    return R.rain_classes(_m(spark, sf_dir).facts, 30)
+    return R.rain_classes(_w(spark, sf_dir).facts, 30)
 
 
 @register("a10_meso_rain")
 def a10_meso_rain(spark, sf_dir):
-    return R.meso_rain(_m(spark, sf_dir).facts, 30)
+    return R.meso_rain(_w(spark, sf_dir).facts, 30)
 
 
 @register("a11_severity_kpis")
 def a11_severity_kpis(spark, sf_dir):
-    return R.severity_kpis(_m(spark, sf_dir).alerts, 30)
+    return R.severity_kpis(_w(spark, sf_dir).alerts, 30)
 
 
 @register("a11_severity_kpis_filtered")
 def a11_severity_kpis_filtered(spark, sf_dir):
-    return R.severity_kpis(_m(spark, sf_dir).alerts, 60, MESO, "high")
+    return R.severity_kpis(_w(spark, sf_dir).alerts, 60, MESO, "high")
 
 
 @register("a12_alerts_by_type")
 def a12_alerts_by_type(spark, sf_dir):
-    return R.alerts_by_type(_m(spark, sf_dir).alerts, 30)
+    return R.alerts_by_type(_w(spark, sf_dir).alerts, 30)
 
 
 @register("a13_affected_cities")
 def a13_affected_cities(spark, sf_dir):
-    return R.affected_cities(_m(spark, sf_dir).alerts, 30)
+    return R.affected_cities(_w(spark, sf_dir).alerts, 30)
 
 
 @register("a15_city_summary")
 def a15_city_summary(spark, sf_dir):
-    return R.city_summary(_m(spark, sf_dir).facts, CITY, 90)
+    return R.city_summary(_w(spark, sf_dir).facts, CITY, 90)
 
 
 @register("a16_city_rain")
 def a16_city_rain(spark, sf_dir):
-    return R.city_rain(_m(spark, sf_dir).facts, CITY, 90)
+    return R.city_rain(_w(spark, sf_dir).facts, CITY, 90)
 
 
 @register("a17_city_compare")
 def a17_city_compare(spark, sf_dir):
-    return R.city_compare(_m(spark, sf_dir).facts, CITIES, "temp_max_c", 30)
+    return R.city_compare(_w(spark, sf_dir).facts, CITIES, "temp_max_c", 30)
 
 
 @register("a18_city_date_rain")
 def a18_city_date_rain(spark, sf_dir):
-    return R.city_date_rain(_m(spark, sf_dir).facts, MESO, 30)
+    return R.city_date_rain(_w(spark, sf_dir).facts, MESO, 30)
 
 
 @register("a22_pivot_anomaly")
 def a22_pivot_anomaly(spark, sf_dir):
-    return R.pivot_anomaly(_m(spark, sf_dir).facts, 30)
+    return R.pivot_anomaly(_w(spark, sf_dir).facts, 30)
 
 
 @register("a23_pivot_meso_rain")
 def a23_pivot_meso_rain(spark, sf_dir):
-    return R.pivot_meso_rain(_m(spark, sf_dir).facts, 30)
+    return R.pivot_meso_rain(_w(spark, sf_dir).facts, 30)
 
 
 @register("a24_pivot_city_rain")
 def a24_pivot_city_rain(spark, sf_dir):
-    return R.pivot_city_rain(_m(spark, sf_dir).facts, MESO, 30)
+    return R.pivot_city_rain(_w(spark, sf_dir).facts, MESO, 30)
 
 
 @register("a25_max_dates")
 def a25_max_dates(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _w(spark, sf_dir)
     return R.max_dates(m.facts, m.alerts, m.hourly_facts)
 
 
 @register("a25_max_date_per_city")
 def a25_max_date_per_city(spark, sf_dir):
-    return R.max_date_per_city(_m(spark, sf_dir).hourly_facts)
+    return R.max_date_per_city(_w(spark, sf_dir).hourly_facts)
 
 
 @register("a26_row_and_location_counts")
@@ -212,65 +220,65 @@ def a27_rows_per_location(spark, sf_dir):
 
 @register("a28_spatial_summary")
 def a28_spatial_summary(spark, sf_dir):
-    return R.spatial_summary(_m(spark, sf_dir).facts, MESO)
+    return R.spatial_summary(_w(spark, sf_dir).facts, MESO)
 
 
 @register("w5_previous_date")
 def w5_previous_date(spark, sf_dir):
-    return R.previous_dates(_m(spark, sf_dir).facts)
+    return R.previous_dates(_w(spark, sf_dir).facts)
 
 
 @register("w6_latest_per_location")
 def w6_latest_per_location(spark, sf_dir):
-    return R.latest_per_location(_m(spark, sf_dir).facts)
+    return R.latest_per_location(_w(spark, sf_dir).facts)
 
 
 @register("o2_sort_alerts")
 def o2_sort_alerts(spark, sf_dir):
-    return to_double(R.sort_alerts(_m(spark, sf_dir).alerts))
+    return to_double(R.sort_alerts(_w(spark, sf_dir).alerts))
 
 
 @register("o3_recent_alerts")
 def o3_recent_alerts(spark, sf_dir):
-    return R.recent_alerts(_m(spark, sf_dir).alerts, 30)
+    return R.recent_alerts(_w(spark, sf_dir).alerts, 30)
 
 
 @register("o4_city_alerts")
 def o4_city_alerts(spark, sf_dir):
-    return R.city_alerts(_m(spark, sf_dir).alerts, CITY, 90)
+    return R.city_alerts(_w(spark, sf_dir).alerts, CITY, 90)
 
 
 @register("o6_distinct_mesoregions")
 def o6_distinct_mesoregions(spark, sf_dir):
     from ..operators.ordering import distinct_values
-    return distinct_values(_m(spark, sf_dir).locations, "mesoregion", not_null=True)
+    return distinct_values(_w(spark, sf_dir).locations, "mesoregion", not_null=True)
 
 
 @register("o6_latest_city_dates")
 def o6_latest_city_dates(spark, sf_dir):
     from ..operators.ordering import distinct_values
-    h = _m(spark, sf_dir).hourly_facts
+    h = _w(spark, sf_dir).hourly_facts
     return distinct_values(h.filter(F.col("city_name") == CITY), "date", n=60, descending=True)
 
 
 @register("o7_location_catalogue")
 def o7_location_catalogue(spark, sf_dir):
-    return R.location_catalogue(_m(spark, sf_dir).locations)
+    return R.location_catalogue(_w(spark, sf_dir).locations)
 
 
 @register("p7_city_series")
 def p7_city_series(spark, sf_dir):
-    return R.city_series(_m(spark, sf_dir).facts, CITIES, "temp_max_c", 30)
+    return R.city_series(_w(spark, sf_dir).facts, CITIES, "temp_max_c", 30)
 
 
 @register("p12_city_window")
 def p12_city_window(spark, sf_dir):
-    return R.city_window(_m(spark, sf_dir).hourly_facts, CITY, 7)
+    return R.city_window(_w(spark, sf_dir).hourly_facts, CITY, 7)
 
 
 @register("p12_city_period")
 def p12_city_period(spark, sf_dir):
-    f = R.city_period(_m(spark, sf_dir).facts, CITY, 90)
+    f = R.city_period(_w(spark, sf_dir).facts, CITY, 90)
     return to_double(f.select("date", "temp_max_c", "temp_min_c", "temp_avg_c", "temp_anomaly_c",
                               "precipitation_mm", "precipitation_class", "wind_speed_max_kmh",
                               "uv_index_max", "uv_risk_level"))
@@ -280,27 +288,27 @@ def p12_city_period(spark, sf_dir):
 
 @register("a14_hour_profile")
 def a14_hour_profile(spark, sf_dir):
-    return R.hour_profile(_m(spark, sf_dir).hourly_facts, CITY, 7)
+    return R.hour_profile(_w(spark, sf_dir).hourly_facts, CITY, 7)
 
 
 @register("a19_day_profile")
 def a19_day_profile(spark, sf_dir):
-    return R.day_profile(_m(spark, sf_dir).hourly_facts, CITY)
+    return R.day_profile(_w(spark, sf_dir).hourly_facts, CITY)
 
 
 @register("a20_prior_profile")
 def a20_prior_profile(spark, sf_dir):
-    return R.prior_profile(_m(spark, sf_dir).hourly_facts, CITY)
+    return R.prior_profile(_w(spark, sf_dir).hourly_facts, CITY)
 
 
 @register("j6_compare_profiles")
 def j6_compare_profiles(spark, sf_dir):
-    return R.compare_profiles(_m(spark, sf_dir).hourly_facts, CITY)
+    return R.compare_profiles(_w(spark, sf_dir).hourly_facts, CITY)
 
 
 @register("a21_day_vs_history")
 def a21_day_vs_history(spark, sf_dir):
-    return R.day_vs_history(_m(spark, sf_dir).hourly_facts, CITY)
+    return R.day_vs_history(_w(spark, sf_dir).hourly_facts, CITY)
 
 
 # ── calendar ─────────────────────────────────────────────────────────────────
@@ -334,24 +342,24 @@ from ..operators import quality as Q  # noqa: E402
 @register("d1_not_null_city")
 def d1_not_null_city(spark, sf_dir):
     """D1 on the hourly facts' city_name (observations without a dimension row)."""
-    return Q.not_null(_m(spark, sf_dir).hourly_facts, "city_name").select("location_id", "observed_at")
+    return Q.not_null(_w(spark, sf_dir).hourly_facts, "city_name").select("location_id", "observed_at")
 
 
 @register("d2_unique_surrogate_key")
 def d2_unique_surrogate_key(spark, sf_dir):
-    return Q.unique(_m(spark, sf_dir).facts, "surrogate_key")
+    return Q.unique(_w(spark, sf_dir).facts, "surrogate_key")
 
 
 @register("d3_accepted_mesoregion")
 def d3_accepted_mesoregion(spark, sf_dir):
     from .layers import LOCATION_COLS  # noqa: F401
     vals = dict((t[1], t[2]) for t in Q.SUITES["locations"] if t[0] == "accepted_values")["mesoregion"]
-    return Q.accepted_values(_m(spark, sf_dir).locations, "mesoregion", vals).select("location_id", "mesoregion")
+    return Q.accepted_values(_w(spark, sf_dir).locations, "mesoregion", vals).select("location_id", "mesoregion")
 
 
 @register("d4_accepted_range_anomaly")
 def d4_accepted_range_anomaly(spark, sf_dir):
-    f = Q.accepted_range(_m(spark, sf_dir).facts, "temp_anomaly_c", -25, 25)
+    f = Q.accepted_range(_w(spark, sf_dir).facts, "temp_anomaly_c", -25, 25)
     return to_double(f.select("location_id", "date", "temp_anomaly_c"))
 
 
@@ -362,14 +370,14 @@ def d5_unique_key_raw(spark, sf_dir):
 
 @register("d6_min_above_max")
 def d6_min_above_max(spark, sf_dir):
-    f = Q.expression(_m(spark, sf_dir).facts, F.col("temp_min_c") > F.col("temp_max_c"))
+    f = Q.expression(_w(spark, sf_dir).facts, F.col("temp_min_c") > F.col("temp_max_c"))
     return to_double(f.select("location_id", "date", "temp_min_c", "temp_max_c"))
 
 
 @register("d7_date_gaps")
 def d7_date_gaps(spark, sf_dir):
     from ..operators.filters import max_date
-    f = _m(spark, sf_dir).facts
+    f = _w(spark, sf_dir).facts
     return Q.date_gaps(f, max_date(f), 30)
 
 
@@ -385,7 +393,7 @@ def d8_location_freshness(spark, sf_dir):
 
 @register("d9_relationship_alerts")
 def d9_relationship_alerts(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _w(spark, sf_dir)
     return Q.relationship(m.alerts, m.locations).select("location_id", "date", "alert_type")
 
 

@@ -24,8 +24,11 @@ def append_raw(df: DataFrame, path: str, partition_col: str = "date", truncate:
     (df.write.mode("overwrite" if truncate else "append").partitionBy(partition_col).parquet(path))
 
 
-def partition_column(df: DataFrame, grain: str, col: str) -> tuple[DataFrame, str]:
-    """Derived partition column: 'day' -> part_date, 'month' -> part_month ('YYYY-MM')."""
+def partition_column(df: DataFrame, grain: str | None, col: str) -> tuple[DataFrame, str]:
+    """Partition column: ``grain=None`` uses ``col`` as is; 'day' -> part_date,
+    'month' -> part_month ('YYYY-MM')."""
+    if grain is None:
+        return df, col
     if grain == "day":
         return df.withColumn("part_date", F.to_date(col)), "part_date"
     if grain == "month":
@@ -33,10 +36,11 @@ def partition_column(df: DataFrame, grain: str, col: str) -> tuple[DataFrame, st
     raise ValueError(grain)
 
 
-def write_partitioned(df: DataFrame, path: str, grain: str = "month", time_col: str = "date",
+def write_partitioned(df: DataFrame, path: str, grain: str | None = "month", time_col: str = "date",
                       cluster: Sequence[str] = ("location_id",), mode: str = "overwrite",
                       max_records_per_file: int = 5_000_000) -> None:
-    """K5: partition by day/month of ``time_col``, cluster rows inside files.
+    """K5: partition by day/month of ``time_col`` (or by ``time_col`` itself when
+    ``grain`` is None), cluster rows inside files.
 
     ``repartitionByRange`` on (partition, cluster keys) balances tasks by
     sampling — a hot month or location is split across tasks instead of one
