@@ -49,7 +49,13 @@ class StoredMarts:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return self._table("alerts", self.m.alerts, "year_month", ("location_id", "date"))
+        # derived from the written facts, not by recomputing the daily chain
+        from .layers import alerts
+        return self._table("alerts", alerts(self.facts), "year_month", ("location_id", "date"))
+
+    def build(self) -> None:
+        """Materialise every mart now (otherwise each is built on first use)."""
+        self.facts, self.alerts, self.hourly_facts  # noqa: B018
 
     @cached_property
     def hourly_facts(self) -> DataFrame:
