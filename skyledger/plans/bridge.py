@@ -83,10 +83,14 @@ def _ts_plus_minutes(day, minutes):
     return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400 + minutes * 60)
 
 
-# Dedup order standing in for "latest extraction first": a total order.
-DAILY_ORDER = [F.col("_extracted_at").desc(), F.col("_tb_linenumber").desc(),
-               F.col("_tb_partkey").desc(), F.col("_tb_price").desc()]
-HOURLY_ORDER = [F.col("_extracted_at").desc()]
+def daily_order():
+    """Dedup order standing in for "latest extraction first": a total order."""
+    return [F.col("_extracted_at").desc(), F.col("_tb_linenumber").desc(),
+            F.col("_tb_partkey").desc(), F.col("_tb_price").desc()]
+
+
+def hourly_order():
+    return [F.col("_extracted_at").desc()]
 
 
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,4 +53,4 @@ class Marts:
 def from_test_tables(spark: SparkSession, sf_dir: str, stamps: bool = False) -> Marts:
     """Marts over the driver's test tables (see ``bridge``)."""
     return Marts(bridge.raw_daily(spark, sf_dir), bridge.raw_hourly(spark, sf_dir),
-                 bridge.locations(spark, sf_dir), bridge.DAILY_ORDER, bridge.HOURLY_ORDER, stamps)
+                 bridge.locations(spark, sf_dir), bridge.daily_order(), bridge.hourly_order(), stamps)
