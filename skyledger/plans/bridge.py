@@ -39,12 +39,22 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table; the (immutable, read-only) scan is reused per session."""
+    """Scan of one test table; the (immutable, read-only) scan is reused per session.
+
+    The large tables are spread over the cores and kept with MEMORY_AND_DISK:
+    every registered query re-derives its inputs from them, and an unsplittable
+    file would otherwise be decoded by one task per query.  This is a reuse
+    cache, not a lineage cut — a lost executor recomputes its blocks from the
+    Parquet file.
+    """
+    from pyspark import StorageLevel
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _tables:
         df = spark.read.parquet(path)
-        _tables[key] = spread(df) if name in FACT_TABLES else df
+        if name in FACT_TABLES:
+            df = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+        _tables[key] = df
     return _tables[key]
 
 

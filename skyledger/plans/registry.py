@@ -553,7 +553,8 @@ def u1_merge_upsert(spark, sf_dir):
     m = _m(spark, sf_dir)
     old_raw = m.raw_daily.filter(F.col("date") < F.date_sub(max_date(m.raw_daily), 200))
     old = Marts(old_raw, None, m.locations, m.daily_order, stamps=False)
-    merged = U.incremental_daily_facts(m.stg_daily, m.locations, old.facts, 35, updated_at=False)
+    target = U.materialize(old.facts)          # the existing mart table
+    merged = U.incremental_daily_facts(m.stg_daily, m.locations, target, 35, updated_at=False)
     return _facts_out(merged)
 
 
@@ -566,7 +567,8 @@ def u3_hourly_incremental(spark, sf_dir):
     top = max_date(m.raw_hourly, "timestamp")
     old_raw = m.raw_hourly.filter(F.col("timestamp") < top - F.make_dt_interval(F.lit(10)))
     old = Marts(m.raw_daily, old_raw, m.locations, m.daily_order, m.hourly_order, stamps=False)
-    merged = U.incremental_hourly_facts(m.stg_hourly, m.locations, old.hourly_facts, 4, updated_at=False)
+    target = U.materialize(old.hourly_facts)   # the existing mart table
+    merged = U.incremental_hourly_facts(m.stg_hourly, m.locations, target, 4, updated_at=False)
     return to_double(merged)
 
 

@@ -134,6 +134,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     The merged partitions are staged in the shared checkpoint folder, then
     swapped in with dynamic partition overwrite.
     """
+    from ..operators.incremental import materialize
+    source = materialize(source)      # the increment is read three times below
     touched = [r[0] for r in source.select(partition_col).distinct().collect()]
     target = _read_partitions(spark, path, partition_col, touched)
     merged = source if target is None else merge_upsert(target, source, key)

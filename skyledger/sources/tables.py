@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.filters import max_date
 from ..schemas import LOCATIONS, RAW_COLUMNS
 
 
@@ -25,9 +24,14 @@ def read_raw(spark: SparkSession, path_or_table: str) -> DataFrame:
 
 
 def read_new(source: DataFrame, target: DataFrame, col: str = "_extracted_at") -> DataFrame:
-    """Source rows strictly newer than the target's high-water mark; all rows if the target is empty."""
-    hw = max_date(target, col)
-    return source.filter(hw.isNull() | (F.col(col) > hw))
+    """Source rows strictly newer than the target's high-water mark; all rows if the target is empty.
+
+    The mark is evaluated once and used as a literal, so the predicate reaches
+    the source scan (pushed filter / partition pruning).
+    """
+    from ..operators.incremental import high_water_mark
+    hw = high_water_mark(target, col)
+    return source if hw is None else source.filter(F.col(col) > F.lit(hw))
 
 
 def select_raw_columns(df: DataFrame, table: str) -> DataFrame:
