@@ -70,7 +70,7 @@ stg_daily AS (
   SELECT location_id, date,
          CAST(temperature_2m_max AS DECIMAL(18,9)) AS temp_max_c,
          CAST(temperature_2m_min AS DECIMAL(18,9)) AS temp_min_c,
-         CAST(CAST(temperature_2m_max + temperature_2m_min AS DECIMAL(18,9)) / 2 AS DECIMAL(20,11)) AS temp_avg_c,
+         CAST(CAST(temperature_2m_max + temperature_2m_min AS DECIMAL(18,9)) / 2 AS DECIMAL(18,9)) AS temp_avg_c,
          CAST(precipitation_sum AS DECIMAL(18,9)) AS precipitation_mm,
          CAST(rain_sum AS DECIMAL(18,9)) AS rain_mm,
          CAST(wind_speed_10m_max AS DECIMAL(18,9)) AS wind_speed_max_kmh,
@@ -669,9 +669,18 @@ def _io() -> dict[str, str]:
     return q
 
 
+def _conv() -> dict[str, str]:
+    bounds = [1, 6, 12, 20, 29, 39, 50, 62, 75, 89, 103, 118]
+    beaufort = "CASE " + " ".join(f"WHEN wind_speed_kmh < {b} THEN {i}" for i, b in enumerate(bounds)) + " ELSE 12 END"
+    return {"f6_f7_conversions": with_(
+        HOURLY_CHAIN, f"SELECT location_id, observed_at, {beaufort} AS beaufort, "
+                      "CAST(round(temperature_c * 9.0 / 5.0 + 32, 2) AS DOUBLE) AS temperature_f FROM hourly_facts")}
+
+
 def oracle_queries() -> dict[str, str]:  # noqa: F811
     q = _queries()
     q.update(_more())
     q.update(_dq())
     q.update(_io())
+    q.update(_conv())
     return q

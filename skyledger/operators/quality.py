@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from ..functions.dates import days_between, hours_between
+from .joins import bounded_broadcast, expected_left, members
 
 
 def _c(x) -> Column:
@@ -68,17 +69,18 @@ def date_gaps(facts: DataFrame, as_of: Column, days: int = 30, key: str = "locat
     f = facts.select(key, col).filter(F.col(col) >= F.date_sub(as_of, days))
     w = Window.partitionBy(key).orderBy(col)
     f = f.withColumn("prev_date", F.lag(col).over(w))
-    return (f.filter(F.col("prev_date").isNotNull() & (F.datediff(F.col(col), F.col("prev_date")) > 1))
+    gap = days_between(col, "prev_date")
+    return (f.filter(F.col("prev_date").isNotNull() & (gap > 1))
             .select(key, F.col("prev_date").alias("gap_start"), F.col(col).alias("gap_end"),
-                    F.datediff(F.col(col), F.col("prev_date")).cast("bigint").alias("gap_days")))
+                    gap.cast("bigint").alias("gap_days")))
 
 
 def location_freshness(locations: DataFrame, raw: DataFrame, as_of: Column, hours: int = 25,
                        key: str = "location_id", col: str = "_extracted_at") -> DataFrame:
     """Every expected location that is never loaded or older than ``hours``."""
     latest = raw.groupBy(key).agg(F.max(col).alias("latest_extracted_at"))
-    age = F.timestamp_diff("HOUR", F.col("latest_extracted_at"), as_of)
-    j = locations.select(key).join(latest, key, "left")
+    age = hours_between(as_of, "latest_extracted_at")
+    j = expected_left(locations.select(key), latest, key)
     status = (F.when(F.col("latest_extracted_at").isNull(), "never_loaded")
               .when(age > hours, "stale").otherwise("fresh"))
     return (j.select(key, "latest_extracted_at", age.alias("age_hours"), status.alias("status"))
@@ -94,7 +96,7 @@ def relationship(child: DataFrame, parent: DataFrame, key: str = "location_id")
 def source_freshness(raw: DataFrame, as_of: Column, warn: int = 25, error: int = 49,
                      col: str = "_extracted_at") -> DataFrame:
     """Age of the newest load against warn / error thresholds (hours)."""
-    age = F.timestamp_diff("HOUR", F.col("max_loaded_at"), as_of)
+    age = hours_between(as_of, "max_loaded_at")
     return (raw.agg(F.max(col).alias("max_loaded_at"))
             .select("max_loaded_at", age.alias("age_hours"),
                     F.when(F.col("max_loaded_at").isNull(), "error")
@@ -124,7 +126,7 @@ def count_mismatch(raw: DataFrame, expected: int, key: str = "location_id") -> D
 
 def incomplete_calendar(raw: DataFrame, start: Column, as_of: Column, key: str = "location_id") -> DataFrame:
     """expected = days from ``start`` to the day before ``as_of``, inclusive."""
-    exp = (F.datediff(F.date_sub(as_of, 1), start) + 1).cast("bigint")
+    exp = (days_between(F.date_sub(as_of, 1), start) + 1).cast("bigint")
     return (raw.groupBy(key).agg(F.count(F.lit(1)).alias("dias_coletados"))
             .select(key, "dias_coletados", exp.alias("dias_esperados"),
                     (exp - F.col("dias_coletados")).alias("dias_faltando"))
@@ -134,7 +136,7 @@ def incomplete_calendar(raw: DataFrame, start: Column, as_of: Column, key: str =
 def complete_locations(raw: DataFrame, expected: int, key: str = "location_id") -> DataFrame:
     """Number of locations with at least ``expected`` rows (semi join on the HAVING set)."""
     full = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= expected)
-    return raw.join(full.select(key), key, "left_semi").agg(F.count_distinct(key).alias("municipios_completos"))
+    return members(raw, full, key).agg(F.count_distinct(key).alias("municipios_completos"))
 
 
 # ── declared suite ───────────────────────────────────────────────────────────

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import windowed_mean
+from ..functions.numeric import windowed_mean  # noqa: F401
+from ..schemas import NUMERIC
+
+UNIT = 1_000_000_000  # 10^scale of NUMERIC
 
 
 def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location_id",
@@ -32,7 +35,10 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
     ordered = Window.partitionBy(partition).orderBy(order)
     tmp = {}
     for out, src in cols.items():
-        tmp[f"_s_{out}"] = F.coalesce(F.sum(src).over(run), F.lit(0))
+        # exact fixed-point units of 1e-9 (NUMERIC scale) in a long: running sums stay
+        # on the fast 64-bit path instead of wide decimals
+        units = (F.col(src).cast(NUMERIC) * F.lit(UNIT)).cast("bigint")
+        tmp[f"_s_{out}"] = F.coalesce(F.sum(units).over(run), F.lit(0))
         tmp[f"_n_{out}"] = F.count(src).over(run)
     staged = df.select("*", *[c.alias(n) for n, c in tmp.items()])
     outs = []
@@ -40,7 +46,8 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
         s, n = F.col(f"_s_{out}"), F.col(f"_n_{out}")
         ds = s - F.coalesce(F.lag(s, rows).over(ordered), F.lit(0))
         dn = n - F.coalesce(F.lag(n, rows).over(ordered), F.lit(0))
-        outs.append(F.try_divide(ds.cast("double"), dn.cast("double")).alias(out))
+        # (double) units / 1e9 is the double of the exact decimal sum
+        outs.append(F.try_divide(ds.cast("double") / F.lit(float(UNIT)), dn.cast("double")).alias(out))
     return staged.select(*df.columns, *outs)
 
 

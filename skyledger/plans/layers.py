@@ -35,7 +35,8 @@ def stg_daily(raw: DataFrame, order: Sequence[Column] | None = None, loaded_at:
         F.col("longitude").cast(NUMERIC).alias("longitude"),
         F.col("temperature_2m_max").cast(NUMERIC).alias("temp_max_c"),
         F.col("temperature_2m_min").cast(NUMERIC).alias("temp_min_c"),
-        ((F.col("temperature_2m_max") + F.col("temperature_2m_min")).cast(NUMERIC) / 2).alias("temp_avg_c"),
+        ((F.col("temperature_2m_max") + F.col("temperature_2m_min")).cast(NUMERIC) / 2).cast(NUMERIC)
+        .alias("temp_avg_c"),
         F.col("precipitation_sum").cast(NUMERIC).alias("precipitation_mm"),
         F.col("rain_sum").cast(NUMERIC).alias("rain_mm"),
         F.col("wind_speed_10m_max").cast(NUMERIC).alias("wind_speed_max_kmh"),

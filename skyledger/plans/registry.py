@@ -637,3 +637,12 @@ def st4_stream_dedup(spark, sf_dir):
          .option("checkpointLocation", _scratch(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink).select("location_id", "timestamp")
+
+
+@register("f6_f7_conversions")
+def f6_f7_conversions(spark, sf_dir):
+    """F6/F7 (defined, not called by the source's models): Beaufort force and Fahrenheit per hour."""
+    from .. import functions as SF
+    h = _w(spark, sf_dir).hourly_facts
+    return h.select("location_id", "observed_at", SF.beaufort("wind_speed_kmh").alias("beaufort"),
+                    SF.c_to_f("temperature_c").cast("double").alias("temperature_f"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import WMO_LABELS  # noqa: F401  (re-export for callers)
 from ..functions.labels import label_pt
 from ..functions.numeric import clean_floor, mean, round_half_even, round_half_up, to_double
-from ..operators.filters import isin_filter, last_days, max_date, optional_eq
+from ..operators.filters import half_open, isin_filter, last_days, max_date, optional_eq, require
 from ..operators.windows import latest_per_group, previous_value
 
 
@@ -66,7 +66,7 @@ def temp_trend(facts: DataFrame, days: int = 30, meso=None) -> DataFrame:
 
 
 def _latest_rows(facts: DataFrame, meso=None) -> DataFrame:
-    f = optional_eq(facts.filter(F.col("mesoregion").isNotNull()), "mesoregion", meso)
+    f = optional_eq(require(facts, "mesoregion"), "mesoregion", meso)
     return latest_per_group(f.select("location_id", "date", "city_name", "mesoregion", "latitude",
                                      "longitude", "temp_max_c", "precipitation_mm"),
                             ["location_id"], [F.col("date").desc()])
@@ -243,7 +243,7 @@ def prior_profile(hourly: DataFrame, city: str, day: Column | str | None = None,
     """Hourly means of the ``n`` days before ``day`` (half-open [day-n, day))."""
     h = _city_hourly(hourly, city)
     day = city_day(hourly, city) if day is None else F.lit(day).cast("date") if isinstance(day, str) else day
-    return (h.filter((F.col("date") >= F.date_sub(day, n)) & (F.col("date") < day)).groupBy("hour")
+    return (half_open(h, F.date_sub(day, n), day).groupBy("hour")
             .agg(_r(mean("temperature_c"), 1).alias("avg_temp"),
                  _r(mean("relative_humidity_pct"), 1).alias("avg_humidity"))
             .orderBy("hour"))
@@ -301,7 +301,7 @@ def city_alerts(alerts: DataFrame, city: str, days: int = 90, n: int = 100) -> D
 
 def location_catalogue(locations: DataFrame) -> DataFrame:
     """City list with coordinates rounded to 4 places."""
-    return (locations.filter(F.col("city_name").isNotNull())
+    return (require(locations, "city_name")
             .select("city_name", "mesoregion",
                     F.round("latitude", 4).cast("double").alias("latitude"),
                     F.round("longitude", 4).cast("double").alias("longitude"),
