@@ -684,3 +684,68 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q.update(_io())
     q.update(_conv())
     return q
+
+
+# Date / timestamp output columns per query (from the Spark schemas); at the driver boundary
+# both engines hand them over as ISO text: dates 'YYYY-MM-DD', timestamps 'YYYY-MM-DD HH:MM:SS'.
+TEMPORAL: dict[str, tuple[list[str], list[str]]] = {
+    't1_stg_daily': (['date'], ['sunrise_at', 'sunset_at', '_extracted_at']),
+    't3_daily_enriched': (['date'], []),
+    't4_daily_facts': (['date'], []),
+    't6_alerts': (['date'], []),
+    'a3_temp_trend': (['date'], []),
+    't2_stg_hourly': ([], ['observed_at', '_extracted_at']),
+    't5_hourly_facts': (['date'], ['observed_at', '_extracted_at']),
+    'a3_temp_trend_meso': (['date'], []),
+    'a6_meso_temp': (['date'], []),
+    'a7_meso_anomaly': (['date'], []),
+    'a10_meso_rain': (['date'], []),
+    'a18_city_date_rain': (['date'], []),
+    'a25_max_dates': (['max_daily', 'max_alerts', 'max_hourly'], []),
+    'a25_max_date_per_city': (['max_date'], []),
+    'w5_previous_date': (['date', 'prev_date'], []),
+    'o2_sort_alerts': (['date'], []),
+    'o3_recent_alerts': (['date'], []),
+    'o4_city_alerts': (['date'], []),
+    'o6_latest_city_dates': (['date'], []),
+    'p7_city_series': (['date'], []),
+    'p12_city_window': ([], ['observed_at']),
+    'p12_city_period': (['date'], []),
+    'g1_date_spine': (['date_day'], []),
+    'g2_calendar': (['dt_data', 'primeiro_dia_mes', 'ultimo_dia_mes', 'primeiro_dia_trimestre', 'ultimo_dia_trimestre', 'primeiro_dia_ano', 'ultimo_dia_ano', 'dt_data_ano_anterior', 'dt_data_ontem', 'dt_data_amanha'], []),
+    'd1_not_null_city': ([], ['observed_at']),
+    'd4_accepted_range_anomaly': (['date'], []),
+    'd5_unique_key_raw': (['date'], []),
+    'd6_min_above_max': (['date'], []),
+    'd7_date_gaps': (['gap_start', 'gap_end'], []),
+    'd8_location_freshness': ([], ['latest_extracted_at']),
+    'd9_relationship_alerts': (['date'], []),
+    'j3_orphans_hourly': ([], ['observed_at']),
+    'd10_source_freshness': ([], ['max_loaded_at']),
+    'd11_recent_load': ([], ['max_loaded_at']),
+    's1_flatten_hourly': ([], ['timestamp', '_extracted_at']),
+    's2_flatten_daily': (['date'], ['sunrise', 'sunset', '_extracted_at']),
+    's6_read_new': (['date'], ['_extracted_at']),
+    'k2_reload_window': (['date'], ['sunrise', 'sunset', '_extracted_at']),
+    'k3_upsert_raw_hourly': ([], ['timestamp', '_extracted_at']),
+    'k6_expire_partitions': ([], ['timestamp']),
+    'u1_merge_upsert': (['date'], []),
+    'u3_hourly_incremental': (['date'], ['observed_at', '_extracted_at']),
+    'f6_f7_conversions': ([], ['observed_at']),
+    'st1_stream_ingest': ([], ['timestamp', '_extracted_at']),
+    'st2_stream_upsert': ([], ['timestamp', '_extracted_at']),
+    'st4_stream_dedup': ([], ['timestamp']),
+}
+
+
+def as_text(key: str, sql: str) -> str:
+    d, t = TEMPORAL.get(key, ([], []))
+    if not d and not t:
+        return sql
+    rep = [f"strftime(\"{c}\", '%Y-%m-%d') AS \"{c}\"" for c in d]
+    rep += [f"strftime(\"{c}\", '%Y-%m-%d %H:%M:%S') AS \"{c}\"" for c in t]
+    return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{sql}\n) q"
+
+
+def driver_oracles() -> dict[str, str]:
+    return {k: as_text(k, v) for k, v in oracle_queries().items()}

@@ -33,9 +33,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     table arrives as many files (many splits) and is left untouched: the check
     is a planning-time split count, no job runs.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -77,10 +77,13 @@ class StoredMarts:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001  (no JVM access: fall back to the local view)
+        return os.path.exists(path)
 
 
 def input_fingerprint(paths: list[str]) -> str:

@@ -61,13 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     there).  Only when nothing is set — local tests — a scratch folder is
     created and registered on the context so later calls agree.
     """
-    sc = spark.sparkContext
-    d = (spark.conf.get("spark.checkpoint.dir", None)
-         or sc.getConf().get("spark.checkpoint.dir", None)
-         or sc.getCheckpointDir())
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote session: configuration only)
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="skyledger-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 

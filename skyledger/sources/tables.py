@@ -67,3 +67,17 @@ def between(df: DataFrame, start, end, col: str = "date") -> DataFrame:
     s = start if isinstance(start, Column) else F.lit(start)
     e = end if isinstance(end, Column) else F.lit(end)
     return df.filter((F.col(col) >= s) & (F.col(col) <= e))
+
+
+def temporal_to_text(df: DataFrame) -> DataFrame:
+    """Dates as 'YYYY-MM-DD', timestamps as 'YYYY-MM-DD HH:MM:SS' (other columns unchanged):
+    the form query results take when they leave the engine for another client."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
