@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import windowed_mean  # noqa: F401
 from ..schemas import NUMERIC
 
 UNIT = 1_000_000_000  # 10^scale of NUMERIC

@@ -362,7 +362,6 @@ def d2_unique_surrogate_key(spark, sf_dir):
 
 @register("d3_accepted_mesoregion")
 def d3_accepted_mesoregion(spark, sf_dir):
-    from .layers import LOCATION_COLS  # noqa: F401
     vals = dict((t[1], t[2]) for t in Q.SUITES["locations"] if t[0] == "accepted_values")["mesoregion"]
     return Q.accepted_values(_w(spark, sf_dir).locations, "mesoregion", vals).select("location_id", "mesoregion")
 

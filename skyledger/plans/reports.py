@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classify import WMO_LABELS  # noqa: F401  (re-export for callers)
 from ..functions.labels import label_pt
 from ..functions.numeric import clean_floor, mean, round_half_even, round_half_up, to_double
 from ..operators.filters import half_open, isin_filter, last_days, max_date, optional_eq, require
