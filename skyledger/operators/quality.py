@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, hours_between
 from .joins import bounded_broadcast, expected_left, members
+from .ordering import having
 
 
 def _c(x) -> Column:
@@ -51,8 +52,7 @@ def accepted_range(df: DataFrame, col: str, lo=None, hi=None, inclusive: bool =
 
 def unique_key(df: DataFrame, *cols: str) -> DataFrame:
     """Composite keys occurring more than once, with their count."""
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("occurrences"))
-            .filter(F.col("occurrences") > 1))
+    return having(df, cols, [F.count(F.lit(1)).alias("occurrences")], F.col("occurrences") > 1)
 
 
 def expression(df: DataFrame, predicate: Column) -> DataFrame:
@@ -112,15 +112,13 @@ def recent_load(raw: DataFrame, as_of: Column, hours: float = 7.0, col: str = "_
 
 def incomplete(raw: DataFrame, expected: int, key: str = "location_id") -> DataFrame:
     """Locations with fewer rows than expected, and how many are missing."""
-    return (raw.groupBy(key).agg(F.count(F.lit(1)).alias("total_coletado"))
-            .filter(F.col("total_coletado") < expected)
+    return (having(raw, [key], [F.count(F.lit(1)).alias("total_coletado")], F.col("total_coletado") < expected)
             .select(key, "total_coletado", (F.lit(expected) - F.col("total_coletado")).alias("faltando")))
 
 
 def count_mismatch(raw: DataFrame, expected: int, key: str = "location_id") -> DataFrame:
     """Locations whose row count differs from expected (signed difference)."""
-    return (raw.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
-            .filter(F.col("total") != expected)
+    return (having(raw, [key], [F.count(F.lit(1)).alias("total")], F.col("total") != expected)
             .select(key, "total", (F.col("total") - F.lit(expected)).alias("diferenca")))
 
 
@@ -135,7 +133,7 @@ def incomplete_calendar(raw: DataFrame, start: Column, as_of: Column, key: str =
 
 def complete_locations(raw: DataFrame, expected: int, key: str = "location_id") -> DataFrame:
     """Number of locations with at least ``expected`` rows (semi join on the HAVING set)."""
-    full = raw.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= expected)
+    full = having(raw, [key], [F.count(F.lit(1)).alias("n")], F.col("n") >= expected)
     return members(raw, full, key).agg(F.count_distinct(key).alias("municipios_completos"))
 
 

@@ -631,7 +631,7 @@ def st4_stream_dedup(spark, sf_dir):
     landing, schema = _land_raw_hourly(spark, sf_dir)
     sink = _scratch(spark, "dedup")
     s = stream_dedup(read_landing(spark, landing, "parquet", schema), ["location_id", "timestamp"],
-                     "timestamp", "4 days")
+                     "timestamp", 4)
     q = (s.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", _scratch(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import label_pt
 from ..functions.numeric import clean_floor, mean, round_half_even, round_half_up, to_double
 from ..operators.filters import half_open, isin_filter, last_days, max_date, optional_eq, require
+from ..operators.ordering import top_k
 from ..operators.windows import latest_per_group, previous_value
 
 
@@ -96,14 +97,14 @@ def hottest(facts: DataFrame, days: int = 7, n: int = 10, meso=None) -> DataFram
     """A4: top ``n`` cities by mean maximum temperature."""
     g = (_period(facts, days, meso).groupBy("city_name", "mesoregion")
          .agg(_r(mean("temp_max_c"), 1).alias("media_max")))
-    return g.orderBy(F.col("media_max").desc_nulls_last(), "city_name", "mesoregion").limit(n)
+    return top_k(g, [F.col("media_max").desc_nulls_last(), F.col("city_name"), F.col("mesoregion")], n)
 
 
 def coldest(facts: DataFrame, days: int = 7, n: int = 10, meso=None) -> DataFrame:
     """A5: top ``n`` cities by lowest mean minimum temperature."""
     g = (_period(facts, days, meso).groupBy("city_name", "mesoregion")
          .agg(_r(mean("temp_min_c"), 1).alias("media_min")))
-    return g.orderBy(F.col("media_min").asc_nulls_first(), "city_name", "mesoregion").limit(n)
+    return top_k(g, [F.col("media_min").asc_nulls_first(), F.col("city_name"), F.col("mesoregion")], n)
 
 
 def meso_temp(facts: DataFrame, days: int = 30, meso=None) -> DataFrame:
@@ -126,7 +127,7 @@ def rain_ranking(facts: DataFrame, days: int = 30, meso=None, n: int | None = No
     g = (_period(facts, days, meso).groupBy("city_name", "mesoregion")
          .agg(F.round(F.sum("precipitation_mm"), 1).cast("double").alias("total_mm"),
               F.count_if(F.col("precipitation_mm") > 0).alias("dias_chuva")))
-    return g.orderBy(F.col("total_mm").desc_nulls_last(), "city_name", "mesoregion").limit(n)
+    return top_k(g, [F.col("total_mm").desc_nulls_last(), F.col("city_name"), F.col("mesoregion")], n)
 
 
 def rain_classes(facts: DataFrame, days: int = 30, meso=None) -> DataFrame:
@@ -169,7 +170,7 @@ def affected_cities(alerts: DataFrame, days: int = 30, meso=None, severity=None,
     n = n or (15 if meso in (None, "all", "Todas") else 300)
     g = (_period(alerts, days, meso, severity).groupBy("city_name", "mesoregion")
          .agg(F.count(F.lit(1)).alias("alertas")))
-    return g.orderBy(F.col("alertas").desc(), "city_name", "mesoregion").limit(n)
+    return top_k(g, [F.col("alertas").desc(), F.col("city_name"), F.col("mesoregion")], n)
 
 
 def _alert_listing(f: DataFrame, with_place: bool) -> DataFrame:
@@ -187,7 +188,7 @@ def _alert_listing(f: DataFrame, with_place: bool) -> DataFrame:
 def recent_alerts(alerts: DataFrame, days: int = 30, meso=None, severity=None, n: int = 200) -> DataFrame:
     """O3: latest alerts, date DESC then severity text ASC, top ``n``."""
     f = _period(alerts, days, meso, severity)
-    f = f.orderBy(F.col("date").desc(), F.col("severity").asc(), "location_id").limit(n)
+    f = top_k(f, [F.col("date").desc(), F.col("severity").asc(), F.col("location_id")], n)
     return _alert_listing(f, True)
 
 
@@ -294,7 +295,7 @@ def city_rain(facts: DataFrame, city: str, days: int = 90) -> DataFrame:
 def city_alerts(alerts: DataFrame, city: str, days: int = 90, n: int = 100) -> DataFrame:
     """One city's alerts, newest first, top ``n``."""
     f = _period(alerts, days, city=city)
-    f = f.orderBy(F.col("date").desc(), "alert_type").limit(n)
+    f = top_k(f, [F.col("date").desc(), F.col("alert_type")], n)
     return _alert_listing(f, False)
 
 

@@ -77,9 +77,9 @@ def with_lateness(stream: DataFrame, col: str = "observed_at", days: int = 4) ->
     return stream.withWatermark(col, f"{days} days")
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], col: str = "timestamp", delay: str = "4 days") -> DataFrame:
-    """ST4: drop re-sent observations within the watermark (first copy wins)."""
-    return stream.withWatermark(col, delay).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedup(stream: DataFrame, keys: Sequence[str], col: str = "timestamp", days: int = 4) -> DataFrame:
+    """ST4 (+ST3): drop re-sent observations within a ``days``-late watermark (first copy wins)."""
+    return with_lateness(stream, col, days).dropDuplicatesWithinWatermark(list(keys))
 
 
 def merge_facts_batch(target_path: str, key: str = "surrogate_key", partition_col: str = "part_month"):
