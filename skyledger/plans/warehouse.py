@@ -106,5 +106,9 @@ def stored(spark: SparkSession, marts: Marts, key: str, inputs: list[str]) -> St
     fp = input_fingerprint(inputs)
     k = (id(spark), key, fp)
     if k not in _stores:
-        _stores[k] = StoredMarts(spark, marts, scratch_path(spark, f"marts-{key}-{fp}"))
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # noqa: BLE001
+            app = "session"
+        _stores[k] = StoredMarts(spark, marts, scratch_path(spark, f"marts-{app}-{key}-{fp}"))
     return _stores[k]
