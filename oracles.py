@@ -547,7 +547,8 @@ def _dq() -> dict[str, str]:
     fage = hours_diff(ASOF, "max_loaded_at")
     q["d10_source_freshness"] = with_(
         [RAW_DAILY], f"SELECT max_loaded_at, {fage} AS age_hours, CASE WHEN max_loaded_at IS NULL THEN 'error' "
-                     f"WHEN {fage} >= 49 THEN 'error' WHEN {fage} >= 25 THEN 'warn' ELSE 'pass' END AS status "
+                     f"WHEN epoch({ASOF}) - epoch(max_loaded_at) > 49 * 3600 THEN 'error' "
+                     f"WHEN epoch({ASOF}) - epoch(max_loaded_at) > 25 * 3600 THEN 'warn' ELSE 'pass' END AS status "
                      "FROM (SELECT max(_extracted_at) AS max_loaded_at FROM raw_daily) m")
     q["d11_recent_load"] = with_(
         [RAW_DAILY], f"SELECT COUNT(CASE WHEN _extracted_at >= {ASOF} - INTERVAL 420 MINUTE THEN 1 END) AS recent_rows, "

@@ -97,10 +97,12 @@ def source_freshness(raw: DataFrame, as_of: Column, warn: int = 25, error: int =
                      col: str = "_extracted_at") -> DataFrame:
     """Age of the newest load against warn / error thresholds (hours)."""
     age = hours_between(as_of, "max_loaded_at")
+    secs = F.timestamp_diff("SECOND", F.col("max_loaded_at"), as_of)   # thresholds are strict on elapsed time
     return (raw.agg(F.max(col).alias("max_loaded_at"))
             .select("max_loaded_at", age.alias("age_hours"),
                     F.when(F.col("max_loaded_at").isNull(), "error")
-                    .when(age >= error, "error").when(age >= warn, "warn").otherwise("pass").alias("status")))
+                    .when(secs > error * 3600, "error").when(secs > warn * 3600, "warn")
+                    .otherwise("pass").alias("status")))
 
 
 def recent_load(raw: DataFrame, as_of: Column, hours: float = 7.0, col: str = "_extracted_at") -> DataFrame:
