@@ -20,8 +20,17 @@ def isin_filter(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     return df.filter(F.col(col).isin(list(values)))
 
 
-def max_date(df: DataFrame, col: str = "date") -> Column:
-    """A25 as a scalar subquery column: MAX(col) of ``df``, planned once."""
+def max_date(df: DataFrame, col: str = "date", month_col: str = "year_month") -> Column:
+    """A25 as a scalar subquery column: MAX(col) of ``df``, planned once.
+
+    On a table partitioned by month (``year_month`` derived from ``date``) the
+    latest date lies in the latest month: MAX(year_month) is answered from the
+    partition column (no data columns read), and MAX(date) then scans only
+    that month's files — the anchor costs one month, not the whole history.
+    """
+    if col == "date" and month_col in df.columns:
+        last = df.select(F.max(month_col)).scalar()
+        return df.filter(F.col(month_col) == last).select(F.max(col)).scalar()
     return df.select(F.max(col)).scalar()
 
 
