@@ -30,3 +30,23 @@ def test_stream_ingest_equals_batch(spark):
                        "hourly", F.lit("2024-01-02 00:00:00").cast("timestamp"))
     q2.awaitTermination()
     assert spark.read.parquet(os.path.join(sink, "t")).count() == 3
+
+
+def test_stream_merge_facts(spark):
+    """ST2 for the marts: micro-batches merged by surrogate key into month partitions."""
+    import datetime as dt
+
+    from skyledger.streaming.ingest import merge_facts_batch
+    root = tempfile.mkdtemp(prefix="skyledger-facts-stream-")
+    landing, target = os.path.join(root, "landing"), os.path.join(root, "facts")
+    schema = "surrogate_key string, date date, year_month string, v double"
+    first = [("k1", dt.date(2024, 1, 1), "2024-01", 1.0), ("k2", dt.date(2024, 2, 1), "2024-02", 2.0)]
+    again = [("k2", dt.date(2024, 2, 1), "2024-02", 20.0), ("k3", dt.date(2024, 2, 2), "2024-02", 3.0)]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(os.path.join(landing, "a"))
+    spark.createDataFrame(again, schema).coalesce(1).write.mode("append").parquet(os.path.join(landing, "a"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(landing, "a"))
+    q = (stream.writeStream.foreachBatch(merge_facts_batch(target, "surrogate_key", "year_month"))
+         .option("checkpointLocation", os.path.join(root, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.surrogate_key, r.v) for r in spark.read.parquet(target).collect())
+    assert got == [("k1", 1.0), ("k2", 20.0), ("k3", 3.0)]
