@@ -15,10 +15,10 @@ def test_read_locations_csv(spark):
     with open(os.path.join(d, "locations.csv"), "w") as f:
         f.write("location_id,city_name,state_name,state_code,country,region,mesoregion,latitude,longitude,"
                 "altitude_m,population_class\n")
-        f.write("4200051,Abdon Batista,Santa Catarina,SC,Brasil,Sul,Serrana,-27.6126,-51.0233,750,small\n")
+        f.write("9990001,Vila Inventada,Santa Catarina,SC,Brasil,Sul,Serrana,-27.5000,-50.5000,800,small\n")
     df = ST.read_locations(spark, os.path.join(d, "locations.csv"))
     r = df.first()
-    assert r.location_id == "4200051" and float(r.latitude) == -27.6126 and dict(df.dtypes)["latitude"].startswith("decimal")
+    assert r.location_id == "9990001" and float(r.latitude) == -27.5 and dict(df.dtypes)["latitude"].startswith("decimal")
 
 
 def test_window_bounds_and_between(spark):
