@@ -62,3 +62,50 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     w = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1).drop("_rn"))
+
+
+def rolling_mean_split(df: DataFrame, cols: dict[str, str], partition: str = "location_id",
+                       order: str = "date", rows: int = 30, block=None) -> DataFrame:
+    """W3/W4 for series too long for one task per key: the same result as ``rolling_mean``.
+
+    Each key is cut into blocks (default: calendar year of ``order``); every
+    window runs per (key, block), bounded by the block length.  Block totals
+    (one row per key and block) give each row its global running sums and row
+    index; the sums ``rows`` positions back come from an equi-join on
+    (key, row index), which hash-spreads even a single hot key over all tasks.
+    All sums are exact fixed-point longs, so the means equal the frame average.
+    """
+    blk = (block or F.year)(F.col(order))
+    d = df.withColumn("_blk", blk)
+    w_in = Window.partitionBy(partition, "_blk").orderBy(order)
+    run_in = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    extra = [F.row_number().over(w_in).alias("_rn")]
+    units = {}
+    for out, src in cols.items():
+        units[out] = (F.col(src).cast(NUMERIC) * F.lit(UNIT)).cast("bigint")
+        extra += [F.coalesce(F.sum(units[out]).over(run_in), F.lit(0)).alias(f"_si_{out}"),
+                  F.count(src).over(run_in).alias(f"_ni_{out}")]
+    d = d.select("*", *extra)
+    tot = d.groupBy(partition, "_blk").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.coalesce(F.sum(units[o]), F.lit(0)).alias(f"_S_{o}") for o in cols],
+        *[F.count(cols[o]).alias(f"_N_{o}") for o in cols])
+    before = Window.partitionBy(partition).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(partition, "_blk",
+                      F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_r0"),
+                      *[F.coalesce(F.sum(f"_S_{o}").over(before), F.lit(0)).alias(f"_S0_{o}") for o in cols],
+                      *[F.coalesce(F.sum(f"_N_{o}").over(before), F.lit(0)).alias(f"_N0_{o}") for o in cols])
+    g = d.join(offs, [partition, "_blk"]).select(
+        "*", (F.col("_r0") + F.col("_rn")).alias("_idx"),
+        *[(F.col(f"_S0_{o}") + F.col(f"_si_{o}")).alias(f"_S_{o}") for o in cols],
+        *[(F.col(f"_N0_{o}") + F.col(f"_ni_{o}")).alias(f"_N_{o}") for o in cols])
+    back = g.select(partition, (F.col("_idx") + rows).alias("_idx"),
+                    *[F.col(f"_S_{o}").alias(f"_Sb_{o}") for o in cols],
+                    *[F.col(f"_N_{o}").alias(f"_Nb_{o}") for o in cols])
+    j = g.join(back, [partition, "_idx"], "left")
+    outs = []
+    for o in cols:
+        ds = F.col(f"_S_{o}") - F.coalesce(F.col(f"_Sb_{o}"), F.lit(0))
+        dn = F.col(f"_N_{o}") - F.coalesce(F.col(f"_Nb_{o}"), F.lit(0))
+        outs.append(F.try_divide(ds.cast("double") / F.lit(float(UNIT)), dn.cast("double")).alias(o))
+    return j.select(*df.columns, *outs)

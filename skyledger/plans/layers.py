@@ -19,7 +19,7 @@ from .. import functions as SF
 from ..functions.numeric import round_half_up
 from ..operators.dedup import latest_per_key
 from ..operators.joins import dim_join
-from ..operators.windows import rolling_mean
+from ..operators.windows import rolling_mean, rolling_mean_split
 from ..schemas import NUMERIC
 
 ANOMALY = T.DecimalType(18, 2)
@@ -80,15 +80,17 @@ LOCATION_COLS = ["city_name", "state_name", "country", "region", "mesoregion",
                  "latitude", "longitude", "altitude_m"]
 
 
-def daily_enriched(stg: DataFrame, locations: DataFrame, rows: int = 30) -> DataFrame:
+def daily_enriched(stg: DataFrame, locations: DataFrame, rows: int = 30, split: bool = False) -> DataFrame:
     """T3 = W3 + W4 + J1 + F9.
 
     The rolling means run before the dimension join so the shuffle carries
     only observation columns; the broadcast join keeps the partitioning.
     Latitude / longitude come from the dimension, not the observation.
+    ``split=True`` cuts each location's series into yearly blocks
+    (``rolling_mean_split``) for histories too long for one task per location.
     """
-    rolled = rolling_mean(stg, {"temp_avg_30d_c": "temp_avg_c", "precip_avg_30d_mm": "precipitation_mm"},
-                          rows=rows)
+    spec = {"temp_avg_30d_c": "temp_avg_c", "precip_avg_30d_mm": "precipitation_mm"}
+    rolled = rolling_mean_split(stg, spec, rows=rows) if split else rolling_mean(stg, spec, rows=rows)
     dim = locations.select("location_id", *LOCATION_COLS)
     j = dim_join(rolled, dim, "location_id", "left")
     out = [

@@ -117,3 +117,13 @@ def test_calendar(spark):
     jan1 = cal.set_index("dt_data").loc[dt.date(2023 + 1, 1, 1)]
     assert jan1["semana_ano"] == 0 and jan1["dia_semana_num"] == 1
     assert pd.Series(cal["dt_data"]).is_unique
+
+
+def test_rolling_mean_split_equals_single_partition(spark):
+    from skyledger.operators.windows import rolling_mean_split
+    stg = layers.stg_daily(spark.createDataFrame(raw_rows(3, 800, seed=5), RAW_DAILY), loaded_at=False)
+    spec = {"t": "temp_avg_c", "p": "precipitation_mm"}
+    a = rolling_mean(stg, spec).select("location_id", "date", "t", "p")
+    b = rolling_mean_split(stg, spec).select("location_id", "date", "t", "p")
+    assert b.count() == stg.count()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
