@@ -684,6 +684,7 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q.update(_dq())
     q.update(_io())
     q.update(_conv())
+    q["t3_daily_enriched_split"] = q["t3_daily_enriched"]
     return q
 
 
@@ -692,6 +693,7 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
 TEMPORAL: dict[str, tuple[list[str], list[str]]] = {
     't1_stg_daily': (['date'], ['sunrise_at', 'sunset_at', '_extracted_at']),
     't3_daily_enriched': (['date'], []),
+    't3_daily_enriched_split': (['date'], []),
     't4_daily_facts': (['date'], []),
     't6_alerts': (['date'], []),
     'a3_temp_trend': (['date'], []),

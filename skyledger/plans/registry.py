@@ -63,6 +63,16 @@ def t3_daily_enriched(spark, sf_dir):
                               "temp_avg_c", "daylight_hours", "temp_avg_30d_c", "precip_avg_30d_mm"))
 
 
+@register("t3_daily_enriched_split")
+def t3_daily_enriched_split(spark, sf_dir):
+    """T3 with the skew-splitting rolling means (yearly blocks per location)."""
+    from .layers import daily_enriched
+    m = _m(spark, sf_dir)
+    e = daily_enriched(m.stg_daily, m.locations, split=True)
+    return to_double(e.select("location_id", "date", "city_name", "mesoregion", "latitude", "longitude",
+                              "temp_avg_c", "daylight_hours", "temp_avg_30d_c", "precip_avg_30d_mm"))
+
+
 @register("t4_daily_facts")
 def t4_daily_facts(spark, sf_dir):
     f = _m(spark, sf_dir).facts
