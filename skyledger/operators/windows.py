@@ -85,7 +85,11 @@ def rolling_mean_split(df: DataFrame, cols: dict[str, str], partition: str = "lo
         units[out] = (F.col(src).cast(NUMERIC) * F.lit(UNIT)).cast("bigint")
         extra += [F.coalesce(F.sum(units[out]).over(run_in), F.lit(0)).alias(f"_si_{out}"),
                   F.count(src).over(run_in).alias(f"_ni_{out}")]
-    d = d.select("*", *extra)
+    # read three times below (totals, offsets join, index self-join): written once to the
+    # shared checkpoint folder instead of recomputing the upstream chain per branch
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    d = d.select("*", *extra).checkpoint(eager=True)
     tot = d.groupBy(partition, "_blk").agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.coalesce(F.sum(units[o]), F.lit(0)).alias(f"_S_{o}") for o in cols],
