@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import bpe, decontaminate, line_dedup, quality_rules, simhash_dedup
-from skyledger.llm.common import materialise, release_shuffles, table
+from skyledger.llm.common import fresh, materialise, release_shuffles, table
 from skyledger.session import apply_conf
 
 
@@ -27,8 +27,8 @@ def _with_chars(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail a rule go; documents that fail, or lose too much, go."""
     apply_conf(spark)
-    judged = quality_rules.judge(docs)
-    q = (set(judged.columns) - set(docs.columns)).pop()
+    q = fresh(docs, "quality")
+    judged = quality_rules.judge(docs, out=q)
     return _with_chars(judged.where(F.col(q)["kept"]).withColumn("text", F.col(q)["text"]).select(*docs.columns))
 
 

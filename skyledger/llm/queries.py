@@ -26,7 +26,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
-    q = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
+    q = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), out="quality").select("doc_id", "quality.*")
     return q.select("doc_id", *(F.col(c).cast("long") for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept")
 
@@ -90,14 +90,14 @@ QUERIES = {f.__name__: f for f in (
 _LINE = """
   (n_sym >= 0.3 * w and n_sym > 1) or (n_mark >= 0.3 * w and n_mark > 1) or n_let < 0.6 * n_solid
   or (n_sep >= 0.25 * w and n_sep >= 2) or (w <= 12 and n_menu >= 2)
-  or (w >= 3 and n_up > 0.7 * (n_up + n_low)) or regexp_matches(lower(line), '{boiler}')
+  or (w >= 3 and n_up > 0.7 * n_let) or regexp_matches(lower(line), '{boiler}')
 """
 _SP = r"[ \t\n\v\f\r]+"
 ORACLE_SQL = {"op2_quality_rules": rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
 words AS (
-  SELECT *, list_filter(regexp_split_to_array(text, '{_SP}'), x -> x <> '') AS ws FROM d),
+  SELECT *, list_filter(regexp_split_to_array(text, '{_SP}'), lambda x: x <> '') AS ws FROM d),
 win AS (
   SELECT r, i, list_slice(ws, i, i + 7) AS g
   FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM words)),
@@ -109,11 +109,11 @@ line AS (
     (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS k FROM
       (SELECT r, string_split(text, chr(10)) AS lines FROM d))),
 feat AS (
-  SELECT *, len(list_filter(regexp_split_to_array(line, '{_SP}'), x -> x <> '')) AS w,
+  SELECT *, len(list_filter(regexp_split_to_array(line, '{_SP}'), lambda x: x <> '')) AS w,
     len(regexp_extract_all(line, '[#*$%&|<>]')) AS n_sym, len(regexp_extract_all(line, '[!?]{{2,}}')) AS n_mark,
     len(regexp_extract_all(line, '[|»›·•]')) AS n_sep, len(regexp_extract_all(line, '[^ \t\n\v\f\r]')) AS n_solid,
     len(regexp_extract_all(line, '[\p{{L}}\p{{M}}\p{{N}}]')) AS n_let,
-    len(regexp_extract_all(line, '\p{{Lu}}')) AS n_up, len(regexp_extract_all(line, '\p{{Ll}}')) AS n_low,
+    len(regexp_extract_all(line, '\p{{Lu}}')) AS n_up,
     len(regexp_extract_all(' ' || lower(line) || ' ', '[^\p{{L}}](?:{"|".join(quality_rules.MENU)})(?:$|[^\p{{L}}])')) AS n_menu
   FROM line),
 judged AS (
@@ -125,7 +125,7 @@ per AS (
     coalesce(sum(CASE WHEN NOT fails THEN n_solid END), 0) AS kept_chars
   FROM judged GROUP BY r),
 base AS (
-  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, per.dup::BIGINT AS n_dup_lines,
     coalesce(cov.n, 0)::BIGINT AS n_repeat_words, kept_words, kept_chars
   FROM words JOIN per USING (r) LEFT JOIN cov USING (r))

@@ -8,8 +8,8 @@ path starts with the rule's path.  The longest fitting rule decides.  The
 rule list is a parameter of bounded size (``MAX_RULES``), so it is one expression, longest first.
 
 URLs without a rule go to the model: character n-grams (3 to 5) of host and
-of path, digits as ``0``, hashed to ``2 ** bits`` counts, weighted by a
-logistic regression that is trained on a small labelled URL table (``LABELLED``
+of path, numbers as ``0``, hashed to ``2 ** bits`` counts, weighted by a
+logistic regression that is trained on a small labelled URL table (``labelled_urls``
 by default; a parameter).  Training and scoring are Spark ML jobs.
 
 Defined cases: null, empty and malformed urls have empty host and path, no
@@ -22,58 +22,41 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAX_RULES = 1000
 BITS = 16
 
-# The small labelled URL table (invented addresses; 1 = block).
-LABELLED = [
-    ("https://ads.bannerhub.test/click/771", 1), ("http://adserver.mediaflow.test/track/view", 1),
-    ("https://track.clickstream.test/pixel/1.gif", 1), ("https://cdn.ad-tracker.test/en/33", 1),
-    ("http://www.tracking-ads.test/redirect/9", 1), ("https://popads.bigreach.test/win/offer", 1),
-    ("https://m.track-visits.test/de/481", 1), ("http://ads-network.test/fr/12", 1),
-    ("https://casino-royal.test/slots/en", 1), ("http://www.online-casino.test/jackpot/77", 1),
-    ("https://casinobonus.test/win/100", 1), ("https://m.megawin-slots.test/play", 1),
-    ("http://big-win.test/en/8", 1), ("https://blog.casino-spins.test/es/45", 1),
-    ("https://sportbets24.test/odds/live", 1), ("http://www.bets-online.test/free/coupon", 1),
-    ("https://free-bet.test/en/19", 1), ("https://m.poker-bets.test/de/303", 1),
-    ("http://freebonus-bets.test/fr/51", 1), ("https://betting-free.test/es/7", 1),
-    ("https://cheap-meds.test/pills/blue", 1), ("http://www.pills-shop.test/order/3", 1),
-    ("https://buy-cheap-viagra.test/en/2", 1), ("https://diet-pills.test/fr/41", 1),
-    ("http://m.cheappharma.test/rx/88", 1), ("https://discount-pills.test/de/64", 1),
-    ("https://spam-links.test/seo/12", 1), ("http://www.link-farm.test/index/5", 1),
-    ("https://backlink-farms.test/en/71", 1), ("http://spamblog.test/posts/90", 1),
-    ("https://m.content-farm.test/es/27", 1), ("https://spammy-seo.test/fr/6", 1),
-    ("https://xxx-videos.test/watch/1", 1), ("http://www.adult-cams.test/live/44", 1),
-    ("https://adultchat.test/en/15", 1), ("https://hot-porn.test/tube/9", 1),
-    ("http://m.sex-adult.test/de/72", 1), ("https://x-rated.test/fr/30", 1),
-    ("https://crack-keygen.test/download/1", 1), ("http://warez-torrent.test/free/7", 1),
-    ("https://payday-loan.test/apply/now", 1), ("http://fast-cash-loans.test/en/4", 1),
-    ("https://replica-watches.test/buy/18", 1), ("http://phish-login.test/account/verify", 1),
-    ("https://news.morningpost.test/en/2024/05", 0), ("http://www.thehistory.test/en/118", 0),
-    ("https://library.townhall.test/de/55", 0), ("https://blog.gardening.test/fr/203", 0),
-    ("http://weather.station.test/es/77", 0), ("https://docs.engine.test/guide/intro.html", 0),
-    ("https://m.recipes.test/en/4411", 0), ("http://www.university.test/research/paper.html", 0),
-    ("https://science.museum.test/fr/19?page=2", 0), ("https://www.thenation.test/en/730", 0),
-    ("http://music.school.test/de/68/", 0), ("https://blog.photography.test/es/301", 0),
-    ("https://www.translation.test/en/90.html", 0), ("http://m.transport.test/de/1200", 0),
-    ("https://education.council.test/fr/45", 0), ("https://www.hospital.test/en/wards/3", 0),
-    ("http://forum.railway.test/es/8", 0), ("https://wiki.mathematics.test/en/theorem", 0),
-    ("https://www.thehouse.test/de/17/", 0), ("http://blog.mountains.test/fr/660", 0),
-    ("https://journal.physics.test/en/21", 0), ("https://m.thestreet.test/es/982", 0),
-    ("http://www.cooking.test/de/31.html", 0), ("https://archive.letters.test/fr/1899", 0),
-    ("https://www.government.test/en/acts/12", 0), ("http://blog.painting.test/es/40", 0),
-    ("https://this.theatre.test/de/8", 0), ("https://www.opinion.test/fr/3003", 0),
-    ("http://m.nationals.test/en/61", 0), ("https://athletics.test/es/515", 0),
-    ("https://www.others.test/de/94", 0), ("http://things.test/en/700", 0),
-    ("https://blog.thorough.test/fr/2", 0), ("https://within.test/es/36/", 0),
-    ("http://www.anthem.test/de/5", 0), ("https://m.notion.test/en/88", 0),
-    ("https://whether.test/fr/440", 0), ("http://www.southern.test/es/1", 0),
-    ("https://blog.northland.test/en/640.html", 0), ("https://earth.test/de/23", 0),
-    ("http://m.stable.test/fr/72", 0), ("https://www.reading.test/es/14", 0),
-]
+# Words of addresses to block (advertising, gambling, pills, link spam, adult, piracy, fraud) and to allow.
+BLOCK_WORDS = ("ads adserver banner tracker track tracking click popunder casino slots jackpot poker roulette bet bets "
+               "betting win bingo lotto pills pharma viagra meds cheap rx diet spam farm linkfarm backlink seo farms adult "
+               "porn xxx sex cams escort nude torrent warez crack keygen phish payday loans cash replica freebets free "
+               "bonus x").split()
+ALLOW_WORDS = ("news times post press library school university museum science physics history nation national station "
+               "weather earth north south health hospital thing reading writing letters garden cooking recipes kitchen "
+               "music theatre theory mathematics another brother father mother other gather leather northern southern "
+               "translation education election section motion ocean mountain river forest nature animals travel "
+               "transport railway harbour house home street town city council government law justice culture art "
+               "painting photo photography film book author poetry language grammar sport football tennis run shop "
+               "market bank economy money work jobs craft tools engine motor data code docs guide wiki forum journal "
+               "review opinion essay blog diary family children teacher student research method test island "
+               "shine share shire then there these thin thread three thank within method anthem ethics").split()
+
+
+def labelled_urls() -> list[tuple[str, int]]:
+    """The small labelled URL table: hosts of one or two words of a class under every kind of address and path (1 = block)."""
+    front, top = ("", "www.", "m.", "blog."), ("com", "org", "net")
+    tail = ("/en/1", "/de/12.html", "/fr/7?page=2", "/es/31/", "/", "")
+    rows = []
+    for label, words in ((1, BLOCK_WORDS), (0, ALLOW_WORDS)):
+        for i, w in enumerate(words):
+            for k in range(1, 7 if label else 4):
+                other = words[(i * (k + 1) + 5 * k) % len(words)]
+                host = (w, f"{w}-{other}", f"{other}{w}", f"{other}-{w}", f"{w}{other}", f"{w}-{other}")[k - 1]
+                n = i + k
+                rows.append((f"https://{front[n % 4]}{host}.{'example.' * (n % 2)}{top[n % 3]}{tail[(n + k) % 6]}", label))
+    return rows
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -99,10 +82,14 @@ def rule_of(host: Column, path: Column, rules: list[str]) -> Column:
 
 def _grams(text: Column, sizes: tuple[int, ...], tag: str) -> Column:
     """Character n-grams of ``^text$``, marked by ``tag`` (none of an empty text)."""
-    s = F.concat(F.lit("^"), F.regexp_replace(text, "[0-9]", "0"), F.lit("$"))
-    parts = [F.when(F.char_length(s) >= n, F.transform(
-        F.sequence(F.lit(1), F.char_length(s) - (n - 1)), lambda i, n=n: F.concat(F.lit(tag), F.substr(s, i, F.lit(n)))))
-        .otherwise(F.array().cast("array<string>")) for n in sizes]
+    s = F.concat(F.lit("^"), F.regexp_replace(text, "[0-9]+", "0"), F.lit("$"))
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.char_length(s) - (n - 1))
+        return F.when(F.char_length(s) >= n, F.transform(
+            starts, lambda i: F.concat(F.lit(tag), F.substr(s, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+    parts = [of(n) for n in sizes]
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.concat(*parts))
 
 
@@ -114,14 +101,17 @@ def _tf() -> HashingTF:
     return HashingTF(numFeatures=1 << BITS, inputCol="grams_", outputCol="features_", binary=True)
 
 
-def train(spark: SparkSession, labelled: list[tuple[str, int]] | DataFrame = LABELLED) -> LogisticRegressionModel:
+def train(spark: SparkSession, labelled: list[tuple[str, int]] | DataFrame | None = None) -> LogisticRegressionModel:
     """The model of a small labelled table ``(url, label)``."""
-    df = labelled if isinstance(labelled, DataFrame) else spark.createDataFrame(labelled, "url string, label int")
+    df = labelled if isinstance(labelled, DataFrame) else spark.createDataFrame(
+        labelled or labelled_urls(), "url string, label int")
     host, path = host_path(F.col("url"))
-    rows = _tf().transform(df.select(F.col("label").cast("double").alias("label_"),
-                                     features(host, path).alias("grams_"))).coalesce(1)
-    return LogisticRegression(featuresCol="features_", labelCol="label_", regParam=0.01, maxIter=50,
-                              standardization=False).fit(rows)
+    rows = df.select(F.col("label").cast("double").alias("label_"), features(host, path).alias("grams_"))
+    # both classes weigh the same, however many rows each has
+    share = F.avg("label_").over(Window.partitionBy(F.lit(0)))
+    rows = rows.withColumn("weight_", 0.5 / F.when(F.col("label_") == 1, share).otherwise(1 - share))
+    return LogisticRegression(featuresCol="features_", labelCol="label_", weightCol="weight_", regParam=0.001,
+                              maxIter=50, standardization=False).fit(_tf().transform(rows).coalesce(1))
 
 
 def judge(pages: DataFrame, rules: dict[str, str], model: LogisticRegressionModel, url_col: str = "url",
