@@ -43,6 +43,7 @@ UNITS = frozenset("mm cm m km inch inches in ft foot feet yard yards mile miles
                   "tons lb lbs oz ml l liter liters litre litres s sec second seconds min minute minutes h hr hour hours "
                   "day days week weeks month months year years percent pct usd eur gbp dollar dollars euro euros "
                   "cent cents pound pounds hz khz mhz ghz kb mb gb tb v w kw kwh mph kmh km/h m/s degrees".split())
+_DIGIT = re.compile(r"\d")
 _NUMBER = re.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
 _NUMBER_UNIT = re.compile(r"([+\-]?\d[\d.,]*)([a-z/°]+)")
 _STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "“”‘’«»…–—¿¡"
@@ -52,79 +53,98 @@ WORD, NUM, NAME, UNIT = range(4)
 MARK = {NUM: "<num>", NAME: "<name>", UNIT: "<unit>"}
 
 
+EMPTY, NUM_, CAP, ENDS, UNIT_, SPLIT = 1, 2, 4, 8, 16, 32  # what a raw token is
+
+
 def _h(s: str) -> int:
     return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"))
 
 
 class Canon:
-    """Canonical tokens of texts; what a raw token means is cached per worker."""
+    """Canonical tokens of texts.  What a raw token is, is worked out once per worker; texts are arrays of codes."""
 
-    LIMIT = 500_000
+    LIMIT = 600_000
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple] = {}
+        self._reset()
+
+    def _reset(self) -> None:
+        class Codes(dict):
+            def __missing__(codes, raw: str) -> int:  # noqa: N805
+                return self._add(raw)
+
+        self.codes = Codes()
+        self.core: list[str] = []
+        self.flags = np.zeros(1 << 16, np.uint8)
+        self.hashes = np.zeros(1 << 16, np.uint64)
 
-    def _look(self, raw: str) -> tuple:
-        """(parts, capitalised, ends a sentence); parts: (kind, text) for number, unit after it, or word."""
-        core = raw.strip(_STRIP)
+    def _add(self, raw: str) -> int:
+        core = raw if raw.isalpha() else raw.strip(_STRIP)
         low = core.lower()
-        ends = bool(_ENDS.search(raw))
+        flag = 0 if core is raw or raw[-1].isalnum() or not _ENDS.search(raw) else ENDS
+        digits = not core.isalpha() and _DIGIT.search(core)
         if not core:
-            got = ((), False, ends)
-        elif _NUMBER.fullmatch(core):
-            got = (((NUM, low),), False, ends)
-        elif m := _NUMBER_UNIT.fullmatch(low):
-            got = (((NUM, m[1]), (UNIT if m[2] in UNITS else WORD, m[2])), False, ends)
+            flag |= EMPTY
+        elif digits and _NUMBER.fullmatch(core):
+            flag |= NUM_
+        elif digits and _NUMBER_UNIT.fullmatch(low):
+            flag |= SPLIT
+        elif low is not core and low != core:
+            flag |= UNIT_ * (low in UNITS) | CAP * (len(core) > 1 and core[0] != low[0] and core[1:] == low[1:])
         else:
-            got = (((WORD, low),), core[0].isupper() and core[1:] == core[1:].lower() and len(core) > 1, ends)
-        if len(self.known) >= self.LIMIT:
-            self.known.clear()
-        self.known[raw] = got
-        return got
+            flag |= UNIT_ * (low in UNITS)
+        n = len(self.core)
+        if n == len(self.flags):
+            self.flags = np.concatenate([self.flags, np.zeros(n, np.uint8)])
+            self.hashes = np.concatenate([self.hashes, np.zeros(n, np.uint64)])
+        self.core.append(low)
+        self.flags[n] = flag
+        self.hashes[n] = _h(low)
+        self.codes[raw] = n
+        return n
+
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the tokens that are not empty: codes, kinds, hashes of the canonical tokens."""
+        if len(self.core) > self.LIMIT:
+            self._reset()
+        raw = text.split()
+        code = np.fromiter(map(self.codes.__getitem__, raw), np.int64, len(raw))
+        flag = self.flags[code]
+        if (flag & SPLIT).any():  # "5km," is "5" and "km,"
+            parts = []
+            for r, f in zip(raw, flag.tolist()):
+                m = _NUMBER_UNIT.search(r.lower()) if f & SPLIT else None
+                parts += (r[:m.end(1)], r[m.end(1):]) if m else (r,)
+            code = np.fromiter(map(self.codes.__getitem__, parts), np.int64, len(parts))
+            flag = self.flags[code]
+        at = np.flatnonzero((flag & EMPTY) == 0)
+        ends = np.concatenate([[0], np.cumsum((flag & ENDS) > 0)])
+        code, flag = code[at], flag[at]
+        starts = np.ones(len(at), bool)  # no sentence end since the token before
+        starts[1:] = ends[at[1:]] > ends[at[:-1]]
+        number = (flag & NUM_) > 0
+        kind = np.where(number, NUM, WORD)
+        kind[((flag & CAP) > 0) & ~starts] = NAME
+        kind[1:][number[:-1] & ((flag[1:] & UNIT_) > 0)] = UNIT
+        return code, kind, np.where(kind == WORD, self.hashes[code], _MARK_HASH[kind])
 
     def tokens(self, text: str) -> tuple[list[str], list[str | None]]:
         """Canonical tokens, and the slot value of each (None for a literal word)."""
-        out: list[str] = []
-        slots: list[str | None] = []
-        start, after_number = True, False
-        known, look = self.known, self._look
-        for raw in text.split():
-            got = known.get(raw)
-            parts, cap, ends = got if got is not None else look(raw)
-            for kind, t in parts:
-                if kind == WORD:
-                    if after_number and t in UNITS:
-                        kind = UNIT
-                    elif cap and not start:
-                        kind = NAME
-                if kind == WORD:
-                    out.append(t)
-                    slots.append(None)
-                else:
-                    out.append(MARK[kind])
-                    slots.append(t)
-                after_number = kind == NUM
-            start = ends or (start and not parts)
-        return out, slots
-
-
-def window_hashes(tokens: list[str], window: int, cache: dict[str, int]) -> np.ndarray:
-    """A 64-bit hash of every run of ``window`` tokens."""
-    n = len(tokens) - window + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    ids = []
-    for t in tokens:
-        v = cache.get(t)
-        if v is None:
-            if len(cache) > Canon.LIMIT:
-                cache.clear()
-            v = cache[t] = _h(t)
-        ids.append(v)
-    a = np.array(ids, np.uint64)
+        code, kind, _ = self.read(text)
+        core = [self.core[c] for c in code.tolist()]
+        kinds = kind.tolist()
+        return [MARK.get(k, t) for k, t in zip(kinds, core)], [t if k else None for k, t in zip(kinds, core)]
+
+
+_MARK_HASH = np.array([0, *(_h(MARK[k]) for k in (NUM, NAME, UNIT))], np.uint64)
+
+
+def window_hashes(tokens: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``window`` token hashes."""
+    n = max(len(tokens) - window + 1, 0)
     h = np.zeros(n, np.uint64)
     for k in range(window):
-        h = (h ^ a[k:k + n]) * _MUL
+        h = (h ^ tokens[k:k + n]) * _MUL
         h ^= h >> np.uint64(32)
     return h
 
@@ -135,25 +155,26 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, bitmap=None)
     names = [key, "text_hash", "pos", "n", "hash", "canon", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canon, cache = Canon(), {}
+        canon = Canon()
         for b in batches:
             cols: list[list] = [[] for _ in names]
             ids, ths = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, th, raw in zip(ids, ths, texts_of(b.column(2))):
-                tokens, slots = canon.tokens(raw.decode("utf-8", "replace"))
-                w = window
-                if len(tokens) < w:
+                code, kind, hashes = canon.read(raw.decode("utf-8", "replace"))
+                if len(code) < window:
                     continue
-                h = window_hashes(tokens, w, cache)
-                literal = np.concatenate([[0], np.cumsum([s is None for s in slots])])
-                ok = literal[w:] - literal[:-w] >= min(min_words, w)
+                h = window_hashes(hashes, window)
+                literal = np.concatenate([[0], np.cumsum(kind == WORD)])
+                ok = literal[window:] - literal[:-window] >= min_words
                 n = int(ok.sum())
                 if shared is not None:
                     ok &= in_bitmap(shared.value, h)
                 for p in np.flatnonzero(ok).tolist():
-                    part = slots[p:p + w]
-                    for c, v in zip(cols, (i, th, p, n, int(h[p].astype(np.int64)), " ".join(tokens[p:p + w]),
-                                           [s for s in part if s is not None])):
+                    core = [canon.core[c] for c in code[p:p + window].tolist()]
+                    kinds = kind[p:p + window].tolist()
+                    for c, v in zip(cols, (i, th, p, n, int(h[p].astype(np.int64)),
+                                           " ".join([MARK.get(k, t) for k, t in zip(kinds, core)]),
+                                           [t for k, t in zip(kinds, core) if k])):
                         c.append(v)
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
