@@ -1,7 +1,7 @@
 """Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, connected groups.
 
-Normalised line: lower case, digits as ``0``, anything but letters, marks and
-digits as one space, trimmed.  A line without such characters is never removed.
+Normalised line: lower case, digits as ``0``, words of letters and digits joined
+by one space.  A line without words is never removed.
 
 1. One pass over the texts gives each line the 128-bit hash of its normalised
    form and a 64-bit SimHash of its words.  Documents, lines and a row id
@@ -41,54 +41,73 @@ from .common import connected_components, fresh, hash_bitmap, in_bitmap, materia
 MIN_SIMILARITY = 0.8
 MAX_BITS = 3
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # first bit, width
-_OTHER = re.compile(r"[\W_]+")
+_WORD = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
-_CACHE = 500_000
+_CHUNK = 1 << 20  # bytes of normalised lines hashed at once
+_LANE = 255       # words whose bits fit into one byte per bit
+
+_POWER = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
+_INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
+# bits of a byte as eight bytes
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def normalise(line: str) -> str:
-    return _DIGIT.sub("0", _OTHER.sub(" ", line.lower())).strip()
-
-
-class _Words:
-    """Hash of each word, cached per worker."""
-
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def of(self, words: list[str]) -> list[int]:
-        known = self.known
-        if len(known) > _CACHE:
-            known.clear()
-        out = []
-        for w in words:
-            v = known.get(w)
-            if v is None:
-                v = known[w] = xxhash.xxh64_intdigest(w)
-            out.append(v)
-        return out
-
-
-def _bits_over_half(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of each run of hashes ``h[starts[i]:starts[i + 1]]``."""
-    out = np.zeros(len(starts) - 1, np.uint64)
-    i = 0
-    while i < len(out):  # about 64k hashes (4 MB of bits) at once
-        j = max(int(np.searchsorted(starts, starts[i] + (1 << 16), "right")) - 1, i + 1)
-        bits = np.unpackbits(h[starts[i]:starts[j]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, starts[i:j] - starts[i], axis=0, dtype=np.int32)
-        over = 2 * ones > np.diff(starts[i:j + 1])[:, None]
-        out[i:j] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
+    norm = " ".join(_WORD.findall(line.lower()))
+    return _DIGIT.sub("0", norm) if _DIGIT.search(norm) else norm
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word ``raw[starts[i]:ends[i]]``: polynomial by prefix sums, then mixed."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_POWER, len(raw)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts]
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> np.uint64(33))) * np.uint64(m)
+    return h ^ (h >> np.uint64(33))
+
+
+def bits_over_half(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of hashes ``h[starts[i]:starts[i + 1]]`` (no run is empty)."""
+    n = np.diff(starts)
+    # bits are added eight at a time, a byte each, so runs are cut to 255 hashes first
+    pieces = -(-n // _LANE)
+    first = np.concatenate([[0], np.cumsum(pieces)])
+    cut = np.repeat(starts[:-1], pieces) + _LANE * (np.arange(first[-1]) - np.repeat(first[:-1], pieces))
+    lanes = np.add.reduceat(_SPREAD[h.view(np.uint8).reshape(-1, 8)], cut, axis=0)
+    ones = lanes.view(np.uint8).reshape(-1, 64)
+    ones = np.add.reduceat(ones, first[:-1], axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def simhashes(lines: list[str]) -> np.ndarray:
+    """SimHash of the words of each normalised line (none is empty)."""
+    out, i = [], 0
+    while i < len(lines):
+        j, size = i, 0
+        while j < len(lines) and size < _CHUNK:
+            size += len(lines[j]) + 1
+            j += 1
+        raw = np.frombuffer("\n".join(lines[i:j]).encode(), np.uint8)
+        gap = np.flatnonzero((raw == 32) | (raw == 10))
+        starts, ends = np.concatenate([[0], gap + 1]), np.concatenate([gap, [len(raw)]])
+        line = np.concatenate([[0], np.flatnonzero(raw[gap] == 10) + 1, [len(starts)]])
+        out.append(bits_over_half(word_hashes(raw, starts, ends), line))
         i = j
-    return out
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def line_hashes(texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines per text, then per line: number in the text, two hashes of the normalised line, SimHash; lines without characters are left out."""
-    words = _WORDS
-    counts, numbers, a, b, flat, starts = [], [], [], [], [], [0]
+    """Lines per text, then per line: number in the text, two hashes of the normalised line, SimHash; lines without words are left out."""
+    counts, numbers, a, b, norms = [], [], [], [], []
     for raw in texts:
-        n = 0
+        n = len(norms)
         for k, line in enumerate(raw.decode("utf-8", "replace").split("\n")):
             norm = normalise(line)
             if norm:
@@ -96,16 +115,10 @@ def line_hashes(texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray,
                 a.append(d >> 64)
                 b.append(d & 0xFFFFFFFFFFFFFFFF)
                 numbers.append(k)
-                flat += words.of(norm.split(" "))
-                starts.append(len(flat))
-                n += 1
-        counts.append(n)
-    h = np.array(flat, np.uint64)
+                norms.append(norm)
+        counts.append(len(norms) - n)
     return (counts, np.array(numbers, np.int32), np.array(a, np.uint64).view(np.int64),
-            np.array(b, np.uint64).view(np.int64), _bits_over_half(h, np.array(starts, np.int64)).view(np.int64))
-
-
-_WORDS = _Words()
+            np.array(b, np.uint64).view(np.int64), simhashes(norms).view(np.int64))
 
 
 def edit_similarity(x: str, y: str, least: float) -> bool:
@@ -175,7 +188,10 @@ def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
 
 
 def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
-    """``key, id, fp`` of the buckets with two or more distinct lines, written once."""
+    """``key, id, fp, least, least_fp, n`` of lines that share a bucket, written once.
+
+    Of a bucket of two only the pair itself is kept, if it is within ``max_bits``.
+    """
     keys = []
     for t, pair in enumerate(combinations(_BLOCKS, 2)):
         key = F.lit(t).cast("long")
@@ -185,10 +201,12 @@ def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
         keys.append(key)
     if max_bits > 3:
         raise ValueError("five blocks taken two at a time find up to three differing bits")
-    w = Window.partitionBy("key")
+    w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = lines.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
-    rows = rows.withColumns({"least": F.min("id").over(w), "most": F.max("id").over(w)}).where("least <> most")
-    return materialise(rows.select("key", "id", "fp", "least"), "line-buckets")
+    rows = rows.withColumns({"n": F.count("*").over(w), "least": F.first("id").over(w), "least_fp": F.first("fp").over(w)})
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least_fp"))) <= max_bits
+    return materialise(rows.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("id") != F.col("least")) & near)),
+                       "line-buckets")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -243,16 +261,18 @@ def line_groups(rows: DataFrame, text_col: str, out: str, max_bits: int, least:
     buckets = _candidates(lines, max_bits)
     release_shuffles(rows.sparkSession)
     close = lambda p, q: F.bit_count(F.col(p).bitwiseXOR(F.col(q))) <= max_bits
-    names = buckets.select("id").distinct()
-    centre = lines.select(F.col("id").alias("least"), F.col("fp").alias("least_fp"))
-    stars = (buckets.where("id <> least").join(centre, "least").where(close("fp", "least_fp"))
+    def check(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(pairs, "line-candidates")
+        names = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+        texts = _texts(rows, text_col, out, lines.join(names, "id").select("id", "a", "b"))
+        return materialise(_verified(pairs, texts, least), "line-pairs")
+
+    stars = (buckets.where((F.col("id") != F.col("least")) & close("fp", "least_fp"))
              .select(F.col("least").alias("x"), F.col("id").alias("y")).distinct())
-    stars = materialise(stars, "line-stars")
-    texts = _texts(rows, text_col, out, lines.join(names, "id").select("id", "a", "b"))
-    first = materialise(_verified(stars, texts, least), "line-pairs")
+    first = check(stars)
     comps = connected_components(first, "line-stars")
     # what the stars left apart: members of one bucket in different groups
-    open_ = buckets.join(comps, F.col("id") == F.col("node"), "left").select(
+    open_ = buckets.where("n > 2").join(comps, F.col("id") == F.col("node"), "left").select(
         "key", "id", "fp", F.coalesce("comp", "id").alias("comp"))
     w = Window.partitionBy("key")
     open_ = materialise(open_.withColumns({"c0": F.min("comp").over(w), "c1": F.max("comp").over(w)})
@@ -261,7 +281,8 @@ def line_groups(rows: DataFrame, text_col: str, out: str, max_bits: int, least:
     q = open_.select("key", F.col("id").alias("y"), F.col("fp").alias("fy"), F.col("comp").alias("cy"))
     rest = p.join(q, "key").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & close("fx", "fy"))
     rest = rest.select("x", "y").distinct().join(stars, ["x", "y"], "left_anti")
-    second = materialise(_verified(rest, texts, least), "line-pairs")
+    second = check(rest)
+    release_shuffles(rows.sparkSession)
     if not second.isEmpty():
         comps = connected_components(first.union(second), "line-groups")
     return lines.join(comps, F.col("id") == F.col("node")).select("a", "b", "comp")
@@ -278,12 +299,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "l.a", "l.b", F.struct("doc", "l.k").alias("at"), "row", F.col("l.k").alias("k"))
     # first occurrence of each group: per line first (combined on the map side), then per group
     firsts = at.groupBy("a", "b").agg(F.min("at").alias("at"), F.count("*").alias("n"))
+    release_shuffles(docs.sparkSession)
     named = materialise(firsts.join(groups, ["a", "b"], "left").where("n > 1 or comp is not null"), "line-firsts")
     of_group = named.where("comp is not null").groupBy("comp").agg(F.min("at").alias("first"))
     stays = (named.where("comp is null").select("a", "b", F.col("at").alias("first"))
              .union(named.join(of_group, "comp").select("a", "b", "first")))
     gone = (at.join(stays, ["a", "b"]).where("at <> first")
             .groupBy("row").agg(F.collect_list("k").alias("gone")))  # at most a document's own lines
+    gone = materialise(gone, "line-gone")
+    release_shuffles(docs.sparkSession)
     joined = rows.join(gone.withColumnRenamed("row", "gone_row").withColumnRenamed("gone", "gone_k"),
                        F.col(row) == F.col("gone_row"), "left")
     text, cut = F.col(text_col), F.split(F.col(text_col), "\n")
