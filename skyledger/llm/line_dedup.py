@@ -4,7 +4,7 @@ Normalised line: lower case, digits as ``0``, words of letters and digits joined
 by one space.  A line without words is never removed.
 
 1. One pass over the texts gives each line the 128-bit hash of its normalised
-   form and a 64-bit SimHash of its words.  Documents, lines and a row id
+   form and a 64-bit SimHash of its words and pairs of neighbouring words.  Documents, lines and a row id
    are written once; all that follows reads that table.
 2. Equal normalised lines are one line (with map-side combining, so a line
    that a third of all documents share costs one row per task).
@@ -43,7 +43,7 @@ MAX_BITS = 3
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # first bit, width
 _WORD = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
-_CHUNK = 1 << 20  # bytes of normalised lines hashed at once
+_CHUNK = 1 << 17  # bytes of normalised lines hashed at once
 _LANE = 255       # words whose bits fit into one byte per bit
 
 _POWER = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -57,37 +57,57 @@ def normalise(line: str) -> str:
     return _DIGIT.sub("0", norm) if _DIGIT.search(norm) else norm
 
 
+_KNOWN: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    known = _KNOWN.get(int(base))
+    if known is None or len(known) < n:
+        out = np.full(max(n, _CHUNK + 1), base, np.uint64)
+        out[0] = 1
+        known = np.multiply.accumulate(out)
+        if n <= 64 * _CHUNK:
+            _KNOWN[int(base)] = known
+    return known[:n]
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> np.uint64(33))) * np.uint64(m)
+    return h ^ (h >> np.uint64(33))
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word ``raw[starts[i]:ends[i]]``: polynomial by prefix sums, then mixed."""
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_POWER, len(raw)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts]
-    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        h = (h ^ (h >> np.uint64(33))) * np.uint64(m)
-    return h ^ (h >> np.uint64(33))
+    return _mix((sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts])
 
 
-def bits_over_half(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of each run of hashes ``h[starts[i]:starts[i + 1]]`` (no run is empty)."""
-    n = np.diff(starts)
+def _ones(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How often each of 64 bits is set in each run of hashes ``h[starts[i]:starts[i + 1]]`` (no run is empty)."""
     # bits are added eight at a time, a byte each, so runs are cut to 255 hashes first
-    pieces = -(-n // _LANE)
+    pieces = -(-np.diff(starts) // _LANE)
     first = np.concatenate([[0], np.cumsum(pieces)])
     cut = np.repeat(starts[:-1], pieces) + _LANE * (np.arange(first[-1]) - np.repeat(first[:-1], pieces))
     lanes = np.add.reduceat(_SPREAD[h.view(np.uint8).reshape(-1, 8)], cut, axis=0)
-    ones = lanes.view(np.uint8).reshape(-1, 64)
-    ones = np.add.reduceat(ones, first[:-1], axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    return np.add.reduceat(lanes.view(np.uint8).reshape(-1, 64), first[:-1], axis=0, dtype=np.int64)
+
+
+def simhash_of_words(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of word hashes: bits set in over half of its words and its pairs of neighbours.
+
+    The last word is paired with the line's end.  Words alone would not do:
+    lines of one language share their frequent words, whatever they say.
+    """
+    after = np.append(h[1:], np.uint64(0))
+    after[starts[1:] - 1] = 0
+    ones = _ones(h, starts) + _ones(_mix(h * _POWER + after), starts)
+    return np.packbits(ones > np.diff(starts)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def simhashes(lines: list[str]) -> np.ndarray:
-    """SimHash of the words of each normalised line (none is empty)."""
+    """SimHash of each normalised line (none is empty)."""
     out, i = [], 0
     while i < len(lines):
         j, size = i, 0
@@ -98,27 +118,25 @@ def simhashes(lines: list[str]) -> np.ndarray:
         gap = np.flatnonzero((raw == 32) | (raw == 10))
         starts, ends = np.concatenate([[0], gap + 1]), np.concatenate([gap, [len(raw)]])
         line = np.concatenate([[0], np.flatnonzero(raw[gap] == 10) + 1, [len(starts)]])
-        out.append(bits_over_half(word_hashes(raw, starts, ends), line))
+        out.append(simhash_of_words(word_hashes(raw, starts, ends), line))
         i = j
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def line_hashes(texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lines per text, then per line: number in the text, two hashes of the normalised line, SimHash; lines without words are left out."""
-    counts, numbers, a, b, norms = [], [], [], [], []
+    counts, numbers, digests, norms = [], [], [], []
     for raw in texts:
         n = len(norms)
-        for k, line in enumerate(raw.decode("utf-8", "replace").split("\n")):
+        for k, line in enumerate(raw.decode("utf-8", "replace").lower().split("\n")):
             norm = normalise(line)
             if norm:
-                d = xxhash.xxh128_intdigest(norm)
-                a.append(d >> 64)
-                b.append(d & 0xFFFFFFFFFFFFFFFF)
+                digests.append(xxhash.xxh128_digest(norm))
                 numbers.append(k)
                 norms.append(norm)
         counts.append(len(norms) - n)
-    return (counts, np.array(numbers, np.int32), np.array(a, np.uint64).view(np.int64),
-            np.array(b, np.uint64).view(np.int64), simhashes(norms).view(np.int64))
+    both = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+    return counts, np.array(numbers, np.int32), both[:, 0], both[:, 1], simhashes(norms).view(np.int64)
 
 
 def edit_similarity(x: str, y: str, least: float) -> bool:
