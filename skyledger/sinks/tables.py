@@ -146,11 +146,18 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
      .partitionBy(partition_col).parquet(path))
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds any file or partition folder (asked of the path's own file system)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(jpath) and any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(jpath))
+
+
 def _read_partitions(spark: SparkSession, path: str, partition_col: str, values: list):
-    try:
-        return spark.read.parquet(path).filter(F.col(partition_col).isin(values))
-    except Exception:  # noqa: BLE001  (first run: no table yet)
+    """The touched partitions of a stored table, None if there is no table yet; a read error stops the job."""
+    if not table_exists(spark, path):
         return None
+    return spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(partition_col).isin(values))
 
 
 def upsert_latest_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],

@@ -60,3 +60,33 @@ def test_expire_and_materialize(spark):
     assert spark.table("tmp_view_test").count() == 2
     path = os.path.join(tempfile.mkdtemp(prefix="skyledger-mat-"), "t")
     assert K.materialize(df, "table", path=path).count() == 2
+
+
+def test_merge_stops_on_an_unreadable_file_and_keeps_all_rows(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from skyledger.sinks.tables import upsert_partitions
+
+    path = str(tmp_path / "facts")
+    rows = [("a", 1, "2024-01"), ("b", 2, "2024-02"), ("c", 3, "2024-02")]
+    schema = "surrogate_key string, v int, part_month string"
+    spark.createDataFrame(rows, schema).write.partitionBy("part_month").parquet(path)
+    bad = os.path.join(path, "part_month=2024-01", "part-broken.parquet")
+    with open(bad, "wb") as f:
+        f.write(b"not parquet")
+    new = spark.createDataFrame([("b", 20, "2024-02")], schema)
+    with pytest.raises(Exception):  # noqa: B017  (the reader's error, whichever it is)
+        upsert_partitions(spark, path, new)
+    feb = spark.read.parquet(os.path.join(path, "part_month=2024-02"))
+    assert sorted(r.surrogate_key for r in feb.collect()) == ["b", "c"]
+    with open(bad, "wb") as f:
+        f.truncate(0)
+    os.remove(bad)
+    for extra in (f"{path}/part_month=2024-01/.part-broken.parquet.crc",):
+        if os.path.exists(extra):
+            os.remove(extra)
+    upsert_partitions(spark, path, new)
+    got = {r.surrogate_key: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {"a": 1, "b": 20, "c": 3}
