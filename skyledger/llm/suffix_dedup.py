@@ -37,6 +37,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -50,7 +51,7 @@ LENGTH = 200
 GRAM = 32
 MAX_GROUP = 4096          # distinct contexts of one gram sorted together
 BATCH_SYMBOLS = 150_000   # symbols of one suffix array, whole groups
-SEGMENT = 1 << 22         # bytes hashed at once
+SEGMENT = 1 << 20         # bytes hashed at once
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _POS = np.uint64(0xFFFFFF)
@@ -358,7 +359,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      max_group: int = MAX_GROUP) -> DataFrame:
     """``doc_id, kept`` (binary: remaining bytes), ``n_bytes, n_removed, n_spans, kept_sha256`` per document."""
     table, spans = repeated_spans(docs, id_col, text_col, length, max_group)
-    joined = table.select("row", "doc_id", "text").join(spans, "row", "left").select("doc_id", "text", "spans")
+    spans = materialise(spans.withColumn("h", F.xxhash64("row")), "spans")
+    release_shuffles(docs.sparkSession)
+    # most texts keep all their bytes: a bitmap of fixed size spares them the shuffle
+    bitmap = docs.sparkSession.sparkContext.broadcast(hash_bitmap(spans, "h"))
+
+    @F.pandas_udf("boolean")
+    def may_lose(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64)))
+
+    texts = table.select("row", "doc_id", "text").withColumn("loses", may_lose(F.xxhash64("row")))
+    joined = (texts.where("loses").join(spans.drop("h"), "row", "left").select("doc_id", "text", "spans")
+              .union(texts.where("not loses").select("doc_id", "text", F.lit(None).cast("array<int>").alias("spans"))))
     id_field = joined.schema["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
