@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -208,7 +209,8 @@ def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
 def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
     """``key, id, fp, least, least_fp, n`` of lines that share a bucket, written once.
 
-    Of a bucket of two only the pair itself is kept, if it is within ``max_bits``.
+    A bucket of up to four is settled here: a member stays only if another one is
+    within ``max_bits`` (its three neighbours on either side are all there are).
     """
     keys = []
     for t, pair in enumerate(combinations(_BLOCKS, 2)):
@@ -222,9 +224,13 @@ def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
     w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = lines.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
     rows = rows.withColumns({"n": F.count("*").over(w), "least": F.first("id").over(w), "least_fp": F.first("fp").over(w)})
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least_fp"))) <= max_bits
-    return materialise(rows.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("id") != F.col("least")) & near)),
-                       "line-buckets")
+    side = Window.partitionBy("key").orderBy("id")
+    at = [f(F.col("fp"), k).over(side) for k in (1, 2, 3) for f in (F.lag, F.lead)]
+    near = F.lit(False)
+    for x in at:
+        near = near | F.coalesce(F.bit_count(F.col("fp").bitwiseXOR(x)) <= max_bits, F.lit(False))
+    rows = rows.withColumn("near", near).where((F.col("n") > 4) | F.col("near"))
+    return materialise(rows.drop("near"), "line-buckets")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -324,10 +330,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .union(named.join(of_group, "comp").select("a", "b", "first")))
     gone = (at.join(stays, ["a", "b"]).where("at <> first")
             .groupBy("row").agg(F.collect_list("k").alias("gone")))  # at most a document's own lines
-    gone = materialise(gone, "line-gone")
+    gone = materialise(gone.select(F.col("row").alias("gone_row"), F.col("gone").alias("gone_k"),
+                                   F.xxhash64("row").alias("h")), "line-gone")
     release_shuffles(docs.sparkSession)
-    joined = rows.join(gone.withColumnRenamed("row", "gone_row").withColumnRenamed("gone", "gone_k"),
-                       F.col(row) == F.col("gone_row"), "left")
+    # documents that lose nothing need no join: a bitmap of fixed size spares them the shuffle
+    bitmap = docs.sparkSession.sparkContext.broadcast(hash_bitmap(gone, "h"))
+
+    @F.pandas_udf("boolean")
+    def may_lose(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64)))
+
+    loses = fresh(rows, "loses_")
+    rows = rows.drop(out).withColumn(loses, may_lose(F.xxhash64(row)))
+    none = F.lit(None).cast("array<int>").alias("gone_k")
+    joined = (rows.where(F.col(loses)).join(gone.drop("h"), F.col(row) == F.col("gone_row"), "left")
+              .select(*docs.columns, "gone_k").union(rows.where(~F.col(loses)).select(*docs.columns, none)))
     text, cut = F.col(text_col), F.split(F.col(text_col), "\n")
     kept = F.array_join(F.filter(cut, lambda x, i: ~F.array_contains("gone_k", i)), "\n")
     new = F.when(F.col("gone_k").isNull() | text.isNull(), text).otherwise(kept)
