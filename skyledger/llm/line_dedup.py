@@ -222,9 +222,12 @@ def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
     if max_bits > 3:
         raise ValueError("five blocks taken two at a time find up to three differing bits")
     w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    side = Window.partitionBy("key").orderBy("id")
     rows = lines.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
+    # most buckets hold one line: they go before the wider windows, which reuse this sort
+    rows = rows.withColumns({"before": F.lag("fp").over(side), "after": F.lead("fp").over(side)})
+    rows = rows.where("before is not null or after is not null").drop("before", "after")
     rows = rows.withColumns({"n": F.count("*").over(w), "least": F.first("id").over(w), "least_fp": F.first("fp").over(w)})
-    side = Window.partitionBy("key").orderBy("id")
     at = [f(F.col("fp"), k).over(side) for k in (1, 2, 3) for f in (F.lag, F.lead)]
     near = F.lit(False)
     for x in at:
