@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,7 @@ from .common import connected_components, fresh, hash_bitmap, in_bitmap, materia
 MIN_SIMILARITY = 0.8
 MAX_BITS = 3
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # first bit, width
+_KEY_BITS = 26  # of two blocks together, at most
 _WORD = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
 _CHUNK = 1 << 17  # bytes of normalised lines hashed at once
@@ -206,34 +207,74 @@ def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
     return materialise(src.mapInArrow(run, schema), "lines")
 
 
+def _near(side: WindowSpec, max_bits: int) -> Column:
+    """Whether one of the three neighbours on either side is within ``max_bits``."""
+    near = F.lit(False)
+    for k in (1, 2, 3):
+        for f in (F.lag, F.lead):
+            near = near | F.coalesce(F.bit_count(F.col("fp").bitwiseXOR(f("fp", k).over(side))) <= max_bits, F.lit(False))
+    return near
+
+
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` with each bucket's size ``n``, smallest id ``least`` and that one's ``least_fp``."""
+    w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumns({"n": F.count("*").over(w), "least": F.first("id").over(w), "least_fp": F.first("fp").over(w)})
+
+
+def _sub_masks() -> list[list[int]]:
+    """Per pair of blocks, the bits outside it in four masks (signed 64-bit numbers)."""
+    out = []
+    for pair in combinations(_BLOCKS, 2):
+        inside = {first + i for first, width in pair for i in range(width)}
+        rest = [i for i in range(64) if i not in inside]
+        cut = [rest[len(rest) * j // 4:len(rest) * (j + 1) // 4] for j in range(4)]
+        masks = [sum(1 << i for i in bits) for bits in cut]
+        out.append([m - (1 << 64) if m >> 63 else m for m in masks])
+    return out
+
+
+def _without_chance(big: DataFrame, max_bits: int) -> DataFrame:
+    """Members of buckets of over four, without those that have no partner there.
+
+    A bucket's members agree in two blocks; two of them within three bits also
+    agree in one of four parts of the other bits.  A member goes if in each
+    part it meets at most three others, and none of them is within ``max_bits``.
+    """
+    pair = F.shiftrightunsigned("key", _KEY_BITS).cast("int") + 1
+    stays = F.lit(False)
+    for j, masks in enumerate(zip(*_sub_masks())):
+        mask = F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), pair)
+        big = big.withColumn(f"part{j}", F.col("fp").bitwiseAND(mask))
+        sub = Window.partitionBy("key", f"part{j}")
+        stays = stays | (F.count("*").over(sub) > 4) | _near(sub.orderBy("id"), max_bits)
+    return _with_least(big.withColumn("stays", stays).where("stays").select("key", "id", "fp"))
+
+
 def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
-    """``key, id, fp, least, least_fp, n`` of lines that share a bucket, written once.
+    """``key, id, fp, n, least, least_fp`` of lines that share a bucket with a line that may be near, written once.
 
     A bucket of up to four is settled here: a member stays only if another one is
     within ``max_bits`` (its three neighbours on either side are all there are).
+    Larger buckets are cut finer (``_without_chance``).
     """
-    keys = []
-    for t, pair in enumerate(combinations(_BLOCKS, 2)):
-        key = F.lit(t).cast("long")
-        for first, width in pair:
-            part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
-            key = F.shiftleft(key, width).bitwiseOR(part)
-        keys.append(key)
     if max_bits > 3:
         raise ValueError("five blocks taken two at a time find up to three differing bits")
-    w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def block(first: int, width: int) -> Column:
+        return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
+
+    keys = [F.lit(t << _KEY_BITS).bitwiseOR(F.shiftleft(block(*x), y[1])).bitwiseOR(block(*y))
+            for t, (x, y) in enumerate(combinations(_BLOCKS, 2))]
     side = Window.partitionBy("key").orderBy("id")
     rows = lines.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
     # most buckets hold one line: they go before the wider windows, which reuse this sort
     rows = rows.withColumns({"before": F.lag("fp").over(side), "after": F.lead("fp").over(side)})
-    rows = rows.where("before is not null or after is not null").drop("before", "after")
-    rows = rows.withColumns({"n": F.count("*").over(w), "least": F.first("id").over(w), "least_fp": F.first("fp").over(w)})
-    at = [f(F.col("fp"), k).over(side) for k in (1, 2, 3) for f in (F.lag, F.lead)]
-    near = F.lit(False)
-    for x in at:
-        near = near | F.coalesce(F.bit_count(F.col("fp").bitwiseXOR(x)) <= max_bits, F.lit(False))
-    rows = rows.withColumn("near", near).where((F.col("n") > 4) | F.col("near"))
-    return materialise(rows.drop("near"), "line-buckets")
+    rows = _with_least(rows.where("before is not null or after is not null").drop("before", "after"))
+    rows = rows.withColumn("near", _near(side, max_bits)).where((F.col("n") > 4) | F.col("near"))
+    rows = materialise(rows.select("key", "id", "fp", "n", "least", "least_fp"), "line-buckets")
+    big = _without_chance(rows.where("n > 4"), max_bits).select(*rows.columns)
+    return materialise(rows.where("n <= 4").union(big), "line-neighbours")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:

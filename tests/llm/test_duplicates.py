@@ -219,3 +219,28 @@ def test_line_simhash_of_very_long_lines():
         pairs = [int(line_dedup._mix(np.array([(x * int(line_dedup._POWER) + y) % 2**64], np.uint64))[0])
                  for x, y in zip(w, w[1:] + [0])]
         assert got == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in w + pairs) > 2 * len(w))
+
+
+def test_line_candidates_keep_every_near_pair(spark):
+    """Buckets of two to some hundred members: no pair within three bits is lost, and few others stay."""
+    rng = np.random.default_rng(5)
+    fps = []
+    for group in (1, 2, 3, 4, 5, 6, 9, 40, 300):  # members share two blocks, the other bits are random
+        shared = int(rng.integers(1 << 26))
+        fps += [int(rng.integers(1 << 38)) << 26 | shared for _ in range(group)]
+    for fp in fps[::4]:  # and some have a partner one to four bits away
+        flip = rng.choice(64, int(rng.integers(1, 5)), replace=False)
+        fps.append(fp ^ sum(1 << int(b) for b in flip))
+    rows = [(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in enumerate(fps)]
+    got = line_dedup._candidates(spark.createDataFrame(rows, "id long, fp long"), 3).collect()
+    buckets, least = {}, {}
+    for r in got:
+        buckets.setdefault(r["key"], set()).add(r["id"])
+        least.setdefault(r["key"], set()).add((r["least"], r["least_fp"]))
+    near = {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if (fps[a] ^ fps[b]).bit_count() <= 3}
+    met = {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b}
+    assert near <= met
+    linked = {(k, x) for k, ids in buckets.items() for x in ids if any((min(x, y), max(x, y)) in near for y in ids - {x})}
+    assert len(got) == sum(map(len, buckets.values())) < 2 * len(linked)  # few members stay without a partner
+    assert all(len(x) == 1 for x in least.values())
+    assert all(r["least"] <= r["id"] and (r["n"] <= 4 or r["n"] == len(buckets[r["key"]])) for r in got)
