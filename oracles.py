@@ -30,6 +30,27 @@ def mean(x: str) -> str:
     return f"(CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
 
 
+def units(x: str) -> str:
+    """A DECIMAL(18,9) as a whole number of 1e-9."""
+    return f"CAST(({x}) * CAST(1000000000 AS DECIMAL(20,0)) AS HUGEINT)"
+
+
+def half_away(num: str, den: str) -> str:
+    """num / den of whole numbers, den > 0, rounded half away from zero."""
+    return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
+
+
+def numeric_mean(x: str, w: str) -> str:
+    """AVG of a NUMERIC over a window as NUMERIC: nine places, half away from zero."""
+    n = f"NULLIF(COUNT({x}) OVER {w}, 0)"
+    return f"CAST(CAST({half_away(f'SUM({units(x)}) OVER {w}', n)} AS DECIMAL(27,0)) * 0.000000001 AS DECIMAL(18,9))"
+
+
+def anomaly(value: str, baseline: str) -> str:
+    d = f"({units(value)} - {units(baseline)})"
+    return f"CAST(CAST({half_away(d, '10000000')} AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2))"
+
+
 def skey(*cols: str) -> str:
     parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), {NULLKEY})" for c in cols)
     return f"md5(concat_ws('-', {parts}))"
@@ -82,15 +103,15 @@ stg_daily AS (
   WHERE rn = 1
 )"""
 
-ENRICHED = """
+ENRICHED = f"""
 enriched AS (
   SELECT d.location_id, d.date, l.city_name, l.state_name, l.country, l.region, l.mesoregion,
          l.latitude, l.longitude, l.altitude_m,
          d.temp_max_c, d.temp_min_c, d.temp_avg_c, d.precipitation_mm, d.rain_mm,
          d.wind_speed_max_kmh, d.uv_index_max, d.sunrise_at, d.sunset_at,
          CAST(epoch(d.sunset_at) - epoch(d.sunrise_at) AS BIGINT) / 3600.0 AS daylight_hours,
-         CAST(SUM(d.temp_avg_c) OVER w AS DOUBLE) / NULLIF(COUNT(d.temp_avg_c) OVER w, 0) AS temp_avg_30d_c,
-         CAST(SUM(d.precipitation_mm) OVER w AS DOUBLE) / NULLIF(COUNT(d.precipitation_mm) OVER w, 0) AS precip_avg_30d_mm,
+         {numeric_mean('d.temp_avg_c', 'w')} AS temp_avg_30d_c,
+         {numeric_mean('d.precipitation_mm', 'w')} AS precip_avg_30d_mm,
          d._extracted_at
   FROM stg_daily d LEFT JOIN locations l ON d.location_id = l.location_id
   WINDOW w AS (PARTITION BY d.location_id ORDER BY d.date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
@@ -105,10 +126,10 @@ facts AS (
          location_id, city_name, state_name, country, region, mesoregion, latitude, longitude, altitude_m,
          temp_max_c, temp_min_c, temp_avg_c,
          round(temp_max_c - temp_min_c, 2) AS temp_amplitude_c,
-         CAST({rhu('CAST(temp_avg_c AS DOUBLE) - temp_avg_30d_c', 2)} AS DECIMAL(18,2)) AS temp_anomaly_c,
+         {anomaly('temp_avg_c', 'temp_avg_30d_c')} AS temp_anomaly_c,
          temp_avg_30d_c,
          precipitation_mm, rain_mm, precip_avg_30d_mm,
-         CAST({rhu('CAST(precipitation_mm AS DOUBLE) - precip_avg_30d_mm', 2)} AS DECIMAL(18,2)) AS precip_anomaly_mm,
+         {anomaly('precipitation_mm', 'precip_avg_30d_mm')} AS precip_anomaly_mm,
          CASE WHEN precipitation_mm = 0 THEN 'dry' WHEN precipitation_mm < 5 THEN 'light'
               WHEN precipitation_mm < 20 THEN 'moderate' WHEN precipitation_mm < 50 THEN 'heavy'
               ELSE 'extreme' END AS precipitation_class,
@@ -227,13 +248,13 @@ def _queries() -> dict[str, str]:
     q["t3_daily_enriched"] = with_(
         [LOCATIONS, RAW_DAILY, STG_DAILY, ENRICHED],
         "SELECT location_id, date, city_name, mesoregion, " + dbl("latitude", "longitude", "temp_avg_c")
-        + ", daylight_hours, temp_avg_30d_c, precip_avg_30d_mm FROM enriched")
+        + ", daylight_hours, " + dbl("temp_avg_30d_c", "precip_avg_30d_mm") + " FROM enriched")
     q["t4_daily_facts"] = with_(
         DAILY_CHAIN,
         "SELECT surrogate_key, date, year, month, day, year_month, day_of_week, is_weekend, quarter, "
         "location_id, city_name, state_name, country, region, mesoregion, "
         + dbl(*FACT_COLS_DEC)
-        + ", temp_avg_30d_c, precip_avg_30d_mm, precipitation_class, uv_risk_level, daylight_hours FROM facts")
+        + ", " + dbl("temp_avg_30d_c", "precip_avg_30d_mm") + ", precipitation_class, uv_risk_level, daylight_hours FROM facts")
     q["t6_alerts"] = with_(
         ALERT_CHAIN,
         "SELECT surrogate_key, date, year_month, location_id, city_name, state_name, region, mesoregion, "

@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import NUMERIC
 
 UNIT = 1_000_000_000  # 10^scale of NUMERIC
 
 
+def _numeric_mean(units: Column, n: Column) -> Column:
+    """AVG of NUMERIC values from their exact sum in units of 1e-9: rounded half away from zero at nine places."""
+    q = F.try_divide(units.cast(T.DecimalType(27, 0)), n.cast(T.DecimalType(10, 0)))
+    # scaled by a product, not a quotient, so no digit is lost after the rounding
+    return (F.round(q, 0).cast(T.DecimalType(18, 0)) * F.lit(Decimal("0.000000001"))).cast(NUMERIC)
+
+
 def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location_id",
                  order: str = "date", rows: int = 30) -> DataFrame:
     """Mean of the current and ``rows - 1`` preceding rows per partition.
@@ -23,7 +32,8 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
     running sum (an incremental, O(1)-per-row frame) and S(i - n) is a LAG of
     it; the same for the non-NULL count.  A bounded ROWS frame would re-add its
     whole buffer for every row, because Spark's aggregates cannot retract.
-    Decimal sums are exact, so the result equals the frame average.
+    Decimal sums are exact, so the result equals the frame average as NUMERIC
+    (nine places, half away from zero).
 
     The frame runs on rows already unique per (partition, order) — one row per
     location and day — so a partition holds at most one row per calendar day:
@@ -45,8 +55,7 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
         s, n = F.col(f"_s_{out}"), F.col(f"_n_{out}")
         ds = s - F.coalesce(F.lag(s, rows).over(ordered), F.lit(0))
         dn = n - F.coalesce(F.lag(n, rows).over(ordered), F.lit(0))
-        # (double) units / 1e9 is the double of the exact decimal sum
-        outs.append(F.try_divide(ds.cast("double") / F.lit(float(UNIT)), dn.cast("double")).alias(out))
+        outs.append(_numeric_mean(ds, dn).alias(out))
     return staged.select(*df.columns, *outs)
 
 
@@ -111,5 +120,5 @@ def rolling_mean_split(df: DataFrame, cols: dict[str, str], partition: str = "lo
     for o in cols:
         ds = F.col(f"_S_{o}") - F.coalesce(F.col(f"_Sb_{o}"), F.lit(0))
         dn = F.col(f"_N_{o}") - F.coalesce(F.col(f"_Nb_{o}"), F.lit(0))
-        outs.append(F.try_divide(ds.cast("double") / F.lit(float(UNIT)), dn.cast("double")).alias(o))
+        outs.append(_numeric_mean(ds, dn).alias(o))
     return j.select(*df.columns, *outs)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import functions as SF
-from ..functions.numeric import round_half_up
 from ..operators.dedup import latest_per_key
 from ..operators.joins import dim_join
 from ..operators.windows import rolling_mean, rolling_mean_split
@@ -106,8 +105,8 @@ def daily_enriched(stg: DataFrame, locations: DataFrame, rows: int = 30, split:
 
 
 def _anomaly(value: str, baseline: str) -> Column:
-    """round(value - baseline, 2) on the IEEE path, kept as an exact 2-place decimal."""
-    return round_half_up(F.col(value).cast("double") - F.col(baseline), 2).cast(ANOMALY)
+    """round(value - baseline, 2) in decimals, half away from zero."""
+    return F.round(F.col(value).cast(NUMERIC) - F.col(baseline).cast(NUMERIC), 2).cast(ANOMALY)
 
 
 def daily_facts(enriched: DataFrame, updated_at: bool = True) -> DataFrame:

@@ -63,7 +63,7 @@ def test_dedup_invariant_to_input_order(spark, rnd):
 
 def test_rolling_mean_matches_bruteforce(spark):
     stg = layers.stg_daily(spark.createDataFrame(raw_rows(), RAW_DAILY), loaded_at=False)
-    got = rolling_mean(stg, {"m": "precipitation_mm"}).select("location_id", "date", "m").toPandas()
+    got = rolling_mean(stg, {"m": "precipitation_mm"}).select("location_id", "date", F.col("m").cast("double").alias("m")).toPandas()
     pdf = stg.select("location_id", "date", F.col("precipitation_mm").cast("double").alias("p")).toPandas()
     pdf = pdf.sort_values(["location_id", "date"])
     pdf["want"] = pdf.groupby("location_id")["p"].transform(lambda s: s.rolling(30, min_periods=1).mean())
@@ -127,3 +127,29 @@ def test_rolling_mean_split_equals_single_partition(spark):
     b = rolling_mean_split(stg, spec).select("location_id", "date", "t", "p")
     assert b.count() == stg.count()
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_anomaly_rounds_in_decimal(spark):
+    """Means to nine places and anomalies to two, both half away from zero, on values with decimals."""
+    import random
+    from datetime import date, timedelta
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from skyledger.plans.layers import _anomaly
+
+    rng = random.Random(3)
+    rows = [(f"k{k}", date(2023, 1, 1) + timedelta(i),
+             None if rng.random() < 0.05 else Decimal(rng.randint(-300, 600)) / 20) for k in range(3) for i in range(200)]
+    df = spark.createDataFrame(rows, "location_id string, date date, v decimal(18,9)")
+    got = rolling_mean(df, {"m": "v"}).select("location_id", "date", "m", _anomaly("v", "m").alias("a")).collect()
+    got = {(r[0], r[1]): (r[2], r[3]) for r in got}
+    seen = {}
+    for k, d, v in rows:
+        seen.setdefault(k, []).append(v)
+        last = [x for x in seen[k][-30:] if x is not None]
+        m = (sum(last) / len(last)).quantize(Decimal("1e-9"), ROUND_HALF_UP) if last else None
+        a = None if v is None else (v - m).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert got[k, d] == (m, a)
+    one = spark.createDataFrame([(Decimal("20.05"), Decimal("21.125")), (Decimal("25.05"), Decimal("20.045"))],
+                                "v decimal(18,9), m decimal(18,9)")
+    assert [r[0] for r in one.select(_anomaly("v", "m")).collect()] == [Decimal("-1.08"), Decimal("5.01")]
