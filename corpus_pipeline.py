@@ -47,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     apply_conf(spark)
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), one_to_one=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

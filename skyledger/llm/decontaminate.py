@@ -13,10 +13,12 @@ fixed size, so that the corpus itself is not shuffled; the join then compares th
 hash and the canonical window itself, so chance collisions do not count.
 
 Slots: windows that align a document with an item at one offset are taken
-together.  The item's slot values must map to the document's one to one (5
-always becomes 7, and only 5 does); windows of an alignment that maps
-inconsistently do not count.  A pair is reported if at least ``min_windows`` consistent windows match
-(all of the item's windows if it has fewer).
+together.  With ``one_to_one=False`` (the registered queries) each window is judged
+alone: it counts if every slot value of the item becomes one value in it, so
+windows with unchanged slots always count; two values may become one, and a value
+may become another one elsewhere.  With ``one_to_one`` the values of the whole alignment
+must map one to one (5 always becomes 7, and only 5 does), or none of its windows count.
+A pair is reported if at least ``min_windows`` counted windows match (all of the item's windows if it has fewer).
 
 Defined cases: null or empty texts, and texts shorter than the window, have no windows (such items are
 never found); repeated rows are reported
@@ -184,7 +186,7 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, bitmap=None)
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                 min_words: int = MIN_WORDS, min_windows: int = MIN_WINDOWS) -> DataFrame:
+                 min_words: int = MIN_WORDS, min_windows: int = MIN_WINDOWS, one_to_one: bool = True) -> DataFrame:
     """One row per document and item found in it: ``doc_id, text_hash, item_id, n_windows, item_windows, n_slots, reparameterised``.
 
     n_windows: the consistent windows of the best alignment; n_slots: distinct
@@ -203,14 +205,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .withColumn("shift", F.col("pos") - F.col("item_pos"))
             .select("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift", "item_pos",
                     F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("pairs")).distinct())
+    if not one_to_one:  # a window counts if each of its item's values becomes one value
+        p = F.array_distinct("pairs")
+        hits = hits.where(F.size(F.array_distinct(F.transform(p, lambda x: x["b"]))) == F.size(p))
     # an alignment has at most the item's windows, so what it collects is bounded by the item's length
     aligned = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift").agg(
         F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("m"))
     n = F.size("m")
-    consistent = ((F.size(F.array_distinct(F.transform("m", lambda x: x["b"]))) == n)
-                  & (F.size(F.array_distinct(F.transform("m", lambda x: x["d"]))) == n))
+    if one_to_one:
+        aligned = aligned.where((F.size(F.array_distinct(F.transform("m", lambda x: x["b"]))) == n)
+                                & (F.size(F.array_distinct(F.transform("m", lambda x: x["d"]))) == n))
     need = F.least(F.lit(min_windows), F.col("item_windows"))
-    return (aligned.where(consistent & (F.col("n_windows") >= need))
+    return (aligned.where(F.col("n_windows") >= need)
             .groupBy("doc_id", "text_hash", "item_id")
             .agg(F.max(F.struct("n_windows", "item_windows", n.cast("long").alias("n_slots"),
                                 F.exists("m", lambda x: ~x["b"].eqNullSafe(x["d"])).alias("reparameterised"))).alias("x"))

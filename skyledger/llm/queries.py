@@ -58,7 +58,8 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark item was found, as it is or re-parameterised."""
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                      one_to_one=False).drop("text_hash")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,20 @@ def test_decontamination_finds_reparameterised_questions(spark, docs):
     assert decontaminate.drop_contaminated(docs(rows), bench.where("false")).count() == len(rows)
 
 
+def test_decontamination_judges_slots_per_window(spark, docs):
+    item = "Anna has 5 apples and gives 2 of them to her friend before they walk over 5 bridges home together with John."
+    texts = [item.replace("5 apples", "7 apples").replace("5 bridges", "9 bridges"),  # 5 stands for two things
+             item.replace("gives 2", "gives 5"),          # two values become one
+             item.replace("5 bridges", "6 bridges"),      # a near copy, one of two equal numbers changed
+             item, GOOD]
+    bench = spark.createDataFrame([(0, item)], "item_id int, text string")
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.reparameterised for r in decontaminate.contaminated(docs(rows), bench, one_to_one=False).collect()}
+    assert got == {0: True, 1: True, 2: True, 3: False}
+    left = decontaminate.drop_contaminated(docs(rows), bench, one_to_one=False)
+    assert [r.doc_id for r in left.collect()] == [4]
+
+
 def test_shards_are_even_and_stable(spark, docs):
     rows = [(k, f"t{k % 50}") for k in range(3000)] + [(None, "same")] * 500 + [(1, None)]
     df = docs(rows)
