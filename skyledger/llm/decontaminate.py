@@ -1,26 +1,32 @@
 """Benchmark decontamination by template windows.
 
-Texts are canonicalised token by token: a token is a run without white space,
+Texts are canonicalised token by token: a token is a run without white space (one
+character of Chinese, Japanese, Thai, Lao, Khmer or Burmese, which set no spaces),
 stripped of punctuation at its ends and lower-cased; a number becomes ``<num>``, a
-unit after a number ``<unit>``, a capitalised word that does not start a
-sentence ``<name>``.  The replaced values are the slots.  A question copied with
-other numbers, names or units keeps its template.
+unit after a number ``<unit>``, a run of capitalised words that do not start a
+sentence one ``<name>``.  The replaced values are the slots.  A question copied with
+other numbers, names or units keeps its template.  In a second template capitalised
+words that start a sentence are names too; windows of either one match.
 
 Windows of ``window`` template tokens, with at least ``min_words`` of them
 literal words (a row of numbers has no wording to match), are hash-joined between benchmark and documents.  A
+shorter item is one window of its own length.  An item without a window of ``min_words`` literal
+words has windows of plain tokens, numbers and names included: it is found verbatim only
+(an item of one or two words, in every document that says them).  A
 document's windows first pass a bitmap of the benchmark's window hashes, of a
 fixed size, so that the corpus itself is not shuffled; the join then compares the
 hash and the canonical window itself, so chance collisions do not count.
 
 Slots: windows that align a document with an item at one offset are taken
-together.  With ``one_to_one=False`` (the registered queries) each window is judged
+together; with ``one_to_one=False`` those of offsets less than a window apart are, too, so a name of
+another length does not part them.  With ``one_to_one=False`` (the registered queries) each window is judged
 alone: it counts if every slot value of the item becomes one value in it, so
 windows with unchanged slots always count; two values may become one, and a value
 may become another one elsewhere.  With ``one_to_one`` the values of the whole alignment
 must map one to one (5 always becomes 7, and only 5 does), or none of its windows count.
 A pair is reported if at least ``min_windows`` counted windows match (all of the item's windows if it has fewer).
 
-Defined cases: null or empty texts, and texts shorter than the window, have no windows (such items are
+Defined cases: null or empty texts have no windows (such items are
 never found); repeated rows are reported
 alike, once per distinct (id, text); clashing column names do not matter (id and text are read).
 """
@@ -29,6 +35,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +55,14 @@ UNITS = frozenset("mm cm m km inch inches in ft foot feet yard yards mile miles
 _DIGIT = re.compile(r"\d")
 _NUMBER = re.compile(r"[+\-]?[$€£]?\d[\d.,:/]*%?")
 _NUMBER_UNIT = re.compile(r"([+\-]?\d[\d.,]*)([a-z/°]+)")
-_STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "“”‘’«»…–—¿¡"
-_ENDS = re.compile(r"[.!?…:][\"'”’»)\]]*$")
+_STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "“”‘’«»…–—¿¡、。「」『』（）《》！？，：；"
+_ENDS = re.compile(r"[.!?…:。！？：][\"'”’»)\]」』）》]*$")
+# scripts without spaces (Thai, Lao, Burmese, Khmer, Kana, Han) and their punctuation; marks stay with their letter
+_UNSPACED = ("ก-ะาำเ-ๆກ-ະາຳຽ-ໆက-ဪក-ឳ"
+             "、-】ぁ-ヿ㐀-䶿一-鿿豈-﫿！-／：-？\U00020000-\U0003134f")
+_MARKS = "ัิ-ฺ็-๎ັິ-ຼ່-ໍါ-ှ឴-៓"
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_CUTS = re.compile(rf"(?=[{_UNSPACED}])|(?<=[{_UNSPACED}{_MARKS}])(?=[\da-zA-Z])")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 WORD, NUM, NAME, UNIT = range(4)
 MARK = {NUM: "<num>", NAME: "<name>", UNIT: "<unit>"}
@@ -106,9 +119,11 @@ class Canon:
         return n
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the tokens that are not empty: codes, kinds, hashes of the canonical tokens."""
+        """Of the tokens that are not empty: codes, kinds, which are capitalised words at a sentence start."""
         if len(self.core) > self.LIMIT:
             self._reset()
+        if not text.isascii() and _ANY_UNSPACED.search(text):
+            text = _CUTS.sub(" ", text)
         raw = text.split()
         code = np.fromiter(map(self.codes.__getitem__, raw), np.int64, len(raw))
         flag = self.flags[code]
@@ -128,14 +143,61 @@ class Canon:
         kind = np.where(number, NUM, WORD)
         kind[((flag & CAP) > 0) & ~starts] = NAME
         kind[1:][number[:-1] & ((flag[1:] & UNIT_) > 0)] = UNIT
-        return code, kind, np.where(kind == WORD, self.hashes[code], _MARK_HASH[kind])
+        return code, kind, ((flag & CAP) > 0) & starts & (kind == WORD)
+
+    def templates(self, text: str) -> tuple[np.ndarray, list["Template"]]:
+        """Codes of the tokens, and the templates: first words as words, first words as names (if there are any)."""
+        code, kind, first = self.read(text)
+        out = [self._template(code, kind, np.zeros(len(code), bool), first)]
+        if first.any():
+            out.append(self._template(code, np.where(first, NAME, kind), first, first))
+        return code, out
+
+    def plain(self, code: np.ndarray) -> "Template":
+        """The tokens as they are."""
+        at = np.arange(len(code))
+        return Template(at, at + 1, np.zeros(len(code), np.int64), at >= 0, self.hashes[code])
+
+    def _template(self, code: np.ndarray, kind: np.ndarray, changed: np.ndarray, first: np.ndarray) -> "Template":
+        name = kind == NAME
+        goes = np.zeros(len(code), bool)  # a name after a name of the same sentence
+        goes[1:] = name[1:] & name[:-1] & ~first[1:]
+        at = np.flatnonzero(~goes)
+        if len(at) < len(code):
+            kind, changed, code_at = kind[at], changed[at], code[at]
+        else:
+            code_at = code
+        hashes = self.hashes[code_at]
+        marks = np.flatnonzero(kind)
+        hashes[marks] = _MARK_HASH[kind[marks]]
+        return Template(at, np.append(at[1:], len(code)), kind, changed, hashes)
+
+    def window(self, code: np.ndarray, t: "Template", p: int, size: int) -> tuple[str, list[str]]:
+        """Canonical text and slot values of the window at ``p``."""
+        core = [" ".join(self.core[c] for c in code[a:b].tolist())
+                for a, b in zip(t.at[p:p + size].tolist(), t.end[p:p + size].tolist())]
+        kinds = t.kind[p:p + size].tolist()
+        return " ".join([MARK.get(k, x) for k, x in zip(kinds, core)]), [x for k, x in zip(kinds, core) if k]
+
+
+class Template(NamedTuple):
+    """Per canonical token: its raw tokens ``at`` to ``end``, kind, whether it differs from the first template, hash."""
 
-    def tokens(self, text: str) -> tuple[list[str], list[str | None]]:
-        """Canonical tokens, and the slot value of each (None for a literal word)."""
-        code, kind, _ = self.read(text)
-        core = [self.core[c] for c in code.tolist()]
-        kinds = kind.tolist()
-        return [MARK.get(k, t) for k, t in zip(kinds, core)], [t if k else None for k, t in zip(kinds, core)]
+    at: np.ndarray
+    end: np.ndarray
+    kind: np.ndarray
+    changed: np.ndarray
+    hashes: np.ndarray
+
+    def windows(self, size: int, min_words: int, changed: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows, and which have ``min_words`` literal words (with ``changed``, and differ)."""
+        def runs(x: np.ndarray) -> np.ndarray:
+            total = np.zeros(len(x) + 1, np.int32)
+            np.cumsum(x, out=total[1:])
+            return total[size:] - total[:-size]
+
+        ok = runs(self.kind == WORD) >= min_words
+        return window_hashes(self.hashes, size), ok & (runs(self.changed) > 0) if changed else ok
 
 
 _MARK_HASH = np.array([0, *(_h(MARK[k]) for k in (NUM, NAME, UNIT))], np.uint64)
@@ -151,10 +213,45 @@ def window_hashes(tokens: np.ndarray, window: int) -> np.ndarray:
     return h
 
 
-def _windows(df: DataFrame, key: str, window: int, min_words: int, bitmap=None) -> DataFrame:
-    """``key, text_hash, pos, n, hash, canon, slots`` for the windows of column ``text`` that may match."""
-    shared = df.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
-    names = [key, "text_hash", "pos", "n", "hash", "canon", "slots"]
+def _item_windows(canon: Canon, text: str, window: int, min_words: int) -> tuple[int, list[tuple]]:
+    """How many windows an item has, and each: position, size, template (2: plain tokens), hash, canonical text, slots."""
+    code, templates = canon.templates(text)
+    out, n = [], 0
+    for k, t in enumerate([*templates, canon.plain(code)]):
+        plain = k == len(templates)
+        size = min(window, len(t.at))
+        if not size or plain and n:
+            continue
+        h, ok = t.windows(size, 0 if plain else min_words, k > 0 and not plain)
+        n = n or int(ok.sum())
+        out += [(int(t.at[p]), size, 2 if plain else k, int(h[p].astype(np.int64)), *canon.window(code, t, p, size))
+                for p in np.flatnonzero(ok).tolist()]
+    return n, out
+
+
+def _text_windows(canon: Canon, text: str, min_words: int, sizes: list[int], plain: list[int], bitmap: np.ndarray) -> list[tuple]:
+    """The windows of a document that may match, as those of an item; ``sizes`` and ``plain`` are what the items have."""
+    code, templates = canon.templates(text)
+    todo = [(k, t, size, min_words) for k, t in enumerate(templates) for size in sizes]
+    if plain:
+        todo += [(2, canon.plain(code), size, 0) for size in plain]
+    out = []
+    for k, t, size, words in todo:
+        if len(t.at) < size:
+            continue
+        h, ok = t.windows(size, words, k == 1)
+        out += [(int(t.at[p]), size, k, int(h[p].astype(np.int64)), *canon.window(code, t, p, size))
+                for p in np.flatnonzero(ok & in_bitmap(bitmap, h)).tolist()]
+    return out
+
+
+def _windows(df: DataFrame, key: str, window: int, min_words: int, match: tuple | None = None) -> DataFrame:
+    """``key, text_hash, n, pos, size, template, hash, canon, slots`` for the windows of column ``text``.
+
+    ``match``: sizes of the items' template and plain windows, bitmap of their hashes; None for the items themselves.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(match) if match is not None else None
+    names = [key, "text_hash", "n", "pos", "size", "template", "hash", "canon", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon()
@@ -162,26 +259,18 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, bitmap=None)
             cols: list[list] = [[] for _ in names]
             ids, ths = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, th, raw in zip(ids, ths, texts_of(b.column(2))):
-                code, kind, hashes = canon.read(raw.decode("utf-8", "replace"))
-                if len(code) < window:
-                    continue
-                h = window_hashes(hashes, window)
-                literal = np.concatenate([[0], np.cumsum(kind == WORD)])
-                ok = literal[window:] - literal[:-window] >= min_words
-                n = int(ok.sum())
-                if shared is not None:
-                    ok &= in_bitmap(shared.value, h)
-                for p in np.flatnonzero(ok).tolist():
-                    core = [canon.core[c] for c in code[p:p + window].tolist()]
-                    kinds = kind[p:p + window].tolist()
-                    for c, v in zip(cols, (i, th, p, n, int(h[p].astype(np.int64)),
-                                           " ".join([MARK.get(k, t) for k, t in zip(kinds, core)]),
-                                           [t for k, t in zip(kinds, core) if k])):
+                text = raw.decode("utf-8", "replace")
+                n, got = (_item_windows(canon, text, window, min_words) if shared is None
+                          else (0, _text_windows(canon, text, min_words, *shared.value)))
+                for w in got:
+                    for c, v in zip(cols, (i, th, n, *w)):
                         c.append(v)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(),
+                     pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    return df.mapInArrow(run, f"`{key}` long, text_hash long, pos int, n int, hash long, canon string, slots array<string>")
+    return df.mapInArrow(run, f"`{key}` long, text_hash long, n int, pos int, size int, template int, hash long, "
+                              "canon string, slots array<string>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -197,17 +286,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                          F.col(t).cast("binary").alias("text"))
 
     items = _windows(side(benchmark, item_col, item_text_col, "item_id"), "item_id", window, min_words).distinct()
-    bitmap = hash_bitmap(items, "hash")
-    found = _windows(side(docs, id_col, text_col, "doc_id"), "doc_id", window, min_words, bitmap)
-    i = items.select("item_id", F.col("text_hash").alias("item_hash"), F.col("pos").alias("item_pos"),
+    sizes = [(r.size, r.plain) for r in items.select("size", (F.col("template") == 2).alias("plain")).distinct().collect()]
+    match = (*([x for x, p in sorted(sizes) if p == plain] for plain in (False, True)), hash_bitmap(items, "hash"))
+    found = _windows(side(docs, id_col, text_col, "doc_id"), "doc_id", window, min_words, match)
+    i = items.select("item_id", F.col("text_hash").alias("item_hash"), F.col("pos").alias("item_pos"), "template",
                      F.col("n").alias("item_windows"), "hash", "canon", F.col("slots").alias("item_slots"))
-    hits = (found.join(i, ["hash", "canon"])
+    hits = (found.drop("template").join(i, ["hash", "canon"])
             .withColumn("shift", F.col("pos") - F.col("item_pos"))
-            .select("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift", "item_pos",
-                    F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("pairs")).distinct())
+            .select("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift", "item_pos", "template",
+                    F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d")).alias("pairs")))
     if not one_to_one:  # a window counts if each of its item's values becomes one value
         p = F.array_distinct("pairs")
         hits = hits.where(F.size(F.array_distinct(F.transform(p, lambda x: x["b"]))) == F.size(p))
+        # shifts less than a window apart are in one of the stripes of two windows, each half over the next
+        stripe = F.floor(F.col("shift") / window).cast("int")
+        hits = hits.withColumn("shift", F.explode(F.array(stripe, stripe + 1)))
+    # a window counts once, by its first template
+    hits = (hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift", "item_pos")
+            .agg(F.min(F.struct("template", "pairs"))["pairs"].alias("pairs")))
     # an alignment has at most the item's windows, so what it collects is bounded by the item's length
     aligned = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift").agg(
         F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("m"))

@@ -138,6 +138,33 @@ def test_decontamination_judges_slots_per_window(spark, docs):
     assert [r.doc_id for r in left.collect()] == [4]
 
 
+def test_decontamination_of_short_items_names_and_scripts_without_spaces(spark, docs):
+    items = ["What is the capital of Peru?", "Is 7 > 5?", "12 + 30 = 42 and 7 * 6 = 42 .",
+             "Anna has many old books. Bob reads them all. Carl buys ten more. Dora sells some now. Ed keeps one.",
+             "Early that day Mary Ann took her new bike and rode it all the way to town.",
+             "小明有5个苹果，他把其中两个给了他的朋友，然后一起走路回家。",
+             "สมชายมีแอปเปิ้ลหลายลูกและแบ่งให้เพื่อน"]
+    swap = items[3]
+    for a, b in (("Anna", "Gina"), ("Bob", "Hal"), ("Carl", "Ian"), ("Dora", "Jo"), ("Ed", "Kim")):
+        swap = swap.replace(a, b)
+    found = {0: "Quiz: what is the capital of Peru? Lima.", 1: "He asked: Is 7 > 5? Yes.", 2: "So 12 + 30 = 42 and 7 * 6 = 42 .",
+             3: swap, 4: items[4].replace("Mary Ann", "Sue"), 5: "题目：" + items[5].replace("5", "8") + "答案是三。",
+             6: "โจทย์ " + items[6] + "กี่ลูก"}
+    rows = [*found.items(), (10, "Is 8 > 5?"), (11, "So 13 + 30 = 43 and 7 * 6 = 42 ."), (12, "小明走路去学校，然后一起吃苹果。"), (13, GOOD)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    got = decontaminate.contaminated(docs(rows), bench, one_to_one=False).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in found]
+    assert {r.doc_id for r in got if r.reparameterised} == {3, 4, 5}
+
+
+def test_decontamination_adds_up_shifts(spark, docs):
+    item = "Today near Mary Ann the tall old man saw one boat go by there again"  # 3 windows up to the name, 4 after it
+    bench = spark.createDataFrame([(0, item)], "item_id int, text string")
+    rows = [(0, item.replace("Mary Ann", "Sue")), (1, item.replace("Mary Ann the", "Sue a"))]
+    got = decontaminate.contaminated(docs(rows), bench, one_to_one=False).collect()
+    assert [(r.doc_id, r.n_windows, r.item_windows) for r in got] == [(0, 7, 7)]
+
+
 def test_shards_are_even_and_stable(spark, docs):
     rows = [(k, f"t{k % 50}") for k in range(3000)] + [(None, "same")] * 500 + [(1, None)]
     df = docs(rows)
