@@ -1,8 +1,10 @@
 """Main text of HTML pages by composite text density.
 
-The page is parsed into a DOM without its noise: elements that never hold
-article text (menus, headers, footers, sidebars, forms, scripts, styles,
-...) and elements whose class, id or role names such a part (adverts, notices, comments, ...).
+The page is parsed into a DOM without what is never text (scripts, styles, hidden
+parts, ...).  Elements that seldom hold article text (menus, headers, footers, sidebars,
+forms) and elements with a class, id or role that names such a part (adverts,
+notices, comments, ...; a whole class name, each of its parts such a word) are left out as
+well, but never one that holds an article, a main or the largest density sum of the page.
 
 For every node: C characters, T tags, LC link characters, LT link tags of its
 subtree, and the composite density
@@ -44,8 +46,8 @@ from .common import texts_of
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes".split())
-SKIP = RAW | frozenset("nav header footer aside form button select menu dialog svg math canvas object audio video "
-                       "head datalist".split())
+SOFT = frozenset("nav header footer aside form menu dialog".split())  # may wrap the text of a page
+SKIP = RAW | SOFT | frozenset("button select svg math canvas object audio video head datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr img".split())
 PARTS = frozenset("ad ads advert adverts advertisement adsense banner promo promoted sponsor sponsored comment comments "
@@ -70,36 +72,37 @@ _SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "noise", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "up", "kids", "noise", "hint", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, up: "Node | None", noise: bool):
-        self.tag, self.up, self.noise = tag, up, noise
+    def __init__(self, tag: str, up: "Node | None", noise: bool, hint: bool):
+        self.tag, self.up, self.noise, self.hint = tag, up, noise, hint
         self.kids: list = []  # nodes and strings, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _is_noise(tag: str, attrs: str) -> bool:
-    if tag in SKIP:
-        return True
+def _is_noise(tag: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element never holds text, and whether its name, class, id or role hints that it holds none."""
+    if tag in SKIP and tag not in SOFT:
+        return True, False
+    hint = tag in SOFT
     if not attrs or tag in ("html", "body", "article", "main"):
-        return "comment" in attrs.lower() if tag == "article" and attrs else False
+        return False, hint or tag == "article" and "comment" in attrs.lower()
     for k, v in _ATTR.findall(attrs):
         k = k.lower()
-        if k == "hidden":
-            return True
         v = v.strip("\"'").lower()
+        if k == "hidden" or k == "aria-hidden" and v == "true":
+            return True, False
         if k in ("class", "id"):
-            if any(w in PARTS for w in re.split(r"[\s_-]+", v)):
-                return True
-        elif k == "role" and v in ROLES or k == "aria-hidden" and v == "true":
-            return True
-    return False
+            hint = hint or any(all(w in PARTS for w in re.split("[_-]+", name)) for name in v.split())
+        elif k == "role" and v in ROLES:
+            hint = True
+    return False, hint
 
 
 def parse(page: str) -> Node:
     """The DOM's root; text nodes have their character references decoded."""
-    root = top = Node("html", None, False)
+    root = top = Node("html", None, False, False)
     at, n = 0, len(page)
 
     def text(s: str) -> None:
@@ -141,7 +144,7 @@ def parse(page: str) -> Node:
                 close({"h1", "h2", "h3", "h4", "h5", "h6"}, SCOPE)
             if tag in SAME:
                 close(SAME[tag], frozenset(("ul", "ol", "dl", "table", "select")))
-            node = Node(tag, top, _is_noise(tag, attrs))
+            node = Node(tag, top, *_is_noise(tag, attrs))
             top.kids.append(node)
             if tag in VOID or attrs.endswith("/") and tag not in RAW and tag not in ("p", "div", "a", "span", "b"):
                 continue
@@ -198,6 +201,8 @@ def _measure(root: Node) -> list[Node]:
         order.append(x)
         stack.extend(k for k in x.kids if isinstance(k, Node) and not k.noise)
     for x in reversed(order):  # children before parents
+        x.chars = x.tags = x.link_chars = x.link_tags = 0
+        x.density = 0.0
         for k in x.kids:
             if isinstance(k, str):
                 x.chars += len(_SPACE.sub(" ", k).strip())
@@ -221,16 +226,33 @@ def _own_text(x: Node) -> int:
     return sum(len(_SPACE.sub(" ", k).strip()) for k in x.kids if isinstance(k, str))
 
 
+def _best(nodes: list[Node]) -> Node:
+    """The node with the largest density sum."""
+    return max(nodes, key=lambda x: _own_text(x) + sum(k.density for k in x.kids if isinstance(k, Node) and not k.noise))
+
+
+def _up(x: Node | None) -> Iterator[Node]:
+    """``x`` and the nodes around it, innermost first."""
+    while x is not None:
+        yield x
+        x = x.up
+
+
 def main_text(page: str) -> str:
     """The main text of one page."""
     root = parse(page)
     nodes = _measure(root)
+    if any(x.hint for x in nodes):  # a hint is not followed around the text itself
+        holds = [x for x in nodes if x.tag in ("article", "main") and not x.hint]
+        for inner in [_best(nodes), *holds]:
+            for x in _up(inner):
+                x.hint = False
+        for x in nodes:
+            x.noise = x.hint
+        nodes = _measure(root)
     if not root.chars:
         return ""
-    best = max(nodes, key=lambda x: _own_text(x) + sum(k.density for k in x.kids if isinstance(k, Node) and not k.noise))
-    path = [best]
-    while path[-1].up is not None:
-        path.append(path[-1].up)
+    path = list(_up(_best(nodes)))
     for x in reversed(path):
         if x.tag in ("article", "main"):
             # several articles side by side (a front page) are read together with their siblings below

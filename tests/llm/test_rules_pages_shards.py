@@ -100,6 +100,21 @@ def test_main_text(inner, want):
     assert html_text.main_text(PAGE % inner) == want
 
 
+LONG = [f"Paragraph {k} tells at some length what happened on that day in the town by the river." for k in range(6)]
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("wrap", ["<div class='content has-sidebar'>%s</div>", "<div class=no-sidebar>%s</div>",
+                                  "<div class='post with-comments'>%s</div>", "<div id=search-results-article>%s</div>",
+                                  "<div class=social-history>%s</div>", "<div class=sidebar>%s</div>", "<form>%s</form>"])
+def test_hints_never_drop_the_text(wrap):
+    for inner in (paragraphs(LONG), f"<article>{paragraphs(LONG)}</article>"):
+        assert html_text.main_text(PAGE % (wrap % inner)) == "\n".join(LONG)
+
+
 def test_pages_without_much(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "just text"), (4, "<div>" * 5000 + "deep"), (5, "<p>a < b"), (5, "<")],
                                "page_id int, html string").withColumnRenamed("page_id", "n_chars")
