@@ -16,9 +16,9 @@ so without links the density is characters per tag, times a factor of 1 or more)
 children's densities (own text counts as one leaf child).  The node with the
 largest sum carries the main text; the smallest density on its path to the
 body is the threshold.  From the body down the path, every node beside the
-path whose density reaches the threshold belongs to the text as well; if an
-``article`` or ``main`` holds the path, all of the outermost one does, short
-paragraphs included.
+path whose density reaches the threshold belongs to the text as well.
+Departures: beside the path but inside an ``article`` or ``main`` that holds it,
+short blocks stay, too; lists mostly of links go below the threshold, wherever they are.
 
 Text: character references decoded; white space inside a block becomes one
 space; blocks are trimmed and joined by one line break in page order, empty
@@ -253,15 +253,17 @@ def main_text(page: str) -> str:
     if not root.chars:
         return ""
     path = list(_up(_best(nodes)))
-    for x in reversed(path):
-        if x.tag in ("article", "main"):
-            # several articles side by side (a front page) are read together with their siblings below
-            return "\n".join(_blocks(x))
     threshold = min(x.density for x in path)
-    for x, inner in zip(path[1:], path):  # beside the path: what is as dense as the path stays
-        for k in x.kids:
+    outer = max((i for i, x in enumerate(path) if x.tag in ("article", "main")), default=0)
+    for i, (x, inner) in enumerate(zip(path[1:], path), 1):  # beside the path: what is as dense as the path stays
+        for k in x.kids if i > outer else ():
             if isinstance(k, Node) and k is not inner and not k.noise and k.density < threshold and k.tag not in INLINE:
                 k.noise = True
+    around = set(map(id, path))
+    for x in nodes:
+        if (x.link_tags > 1 and 2 * x.link_chars > x.chars and x.density < threshold and x.tag not in INLINE
+                and id(x) not in around):
+            x.noise = True
     return "\n".join(_blocks(root))
 
 

@@ -107,6 +107,16 @@ def paragraphs(texts):
     return "".join(f"<p>{t}</p>" for t in texts)
 
 
+def test_density_selects_on_every_page():
+    three = "".join(f"<article>{paragraphs(LONG[k:k + 2])}</article>" for k in (0, 2, 4))
+    assert html_text.main_text(PAGE % f"<div>{three}</div>") == "\n".join(LONG)  # several articles side by side
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Another page {k}</a></li>" for k in range(8)) + "</ul>"
+    for tag in ("main", "article", "div"):  # link lists go, whatever holds them
+        assert html_text.main_text(PAGE % f"<{tag}>{paragraphs(LONG)}{links}</{tag}>") == "\n".join(LONG)
+    low = f"<div>{links}{links}</div>"
+    assert html_text.main_text(PAGE % f"{low}<div><div>{paragraphs(LONG)}</div></div>{low}") == "\n".join(LONG)  # no article
+
+
 @pytest.mark.parametrize("wrap", ["<div class='content has-sidebar'>%s</div>", "<div class=no-sidebar>%s</div>",
                                   "<div class='post with-comments'>%s</div>", "<div id=search-results-article>%s</div>",
                                   "<div class=social-history>%s</div>", "<div class=sidebar>%s</div>", "<form>%s</form>"])
