@@ -16,6 +16,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-SMOKE = "/root/testdata/sf0.001"

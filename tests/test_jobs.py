@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from smoke_tables import SMOKE
 from skyledger.operators.dedup import latest_per_key
 from skyledger.plans import bridge
 from skyledger.plans.jobs import backfill, daily_job

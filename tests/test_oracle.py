@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SMOKE
+from smoke_tables import SMOKE
 
 import __spark_entry__ as E
 

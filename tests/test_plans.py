@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SMOKE
+from smoke_tables import SMOKE
 
 
 def physical(df) -> str:
