@@ -29,6 +29,15 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files behind ``df`` (rows of ``materialise`` that nothing reads any more), wherever they lie."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished phases now.
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (bpe, decontaminate, html_text, line_dedup, quality_rules, sharding, simhash_dedup, suffix_dedup,
-               token_counts, url_filter)
+from . import (bpe, decontaminate, html_text, lexical_search, line_dedup, quality_rules, sharding, simhash_dedup,
+               suffix_dedup, token_counts, url_filter, vector_codes)
 from .common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,9 +83,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), COUNT_RANKS, public_tokenizers.PATTERN)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 4 parts of every vector, their errors and the codebooks' digest."""
+    rows, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                       F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality_rules, op3_url_filter, op4_html_text, op5_suffix_dedup, op6_simhash_dedup,
-    op7_decontaminate, op8_bpe, op9_sharding, op10_token_counts)} | {"pipeline": corpus_pipeline.run}
+    op7_decontaminate, op8_bpe, op9_sharding, op10_token_counts, op12_vector_codes, op13_lexical_search)} | {"pipeline": corpus_pipeline.run}
 
 # Base statistics and verdict in DuckDB: windows are compared as lists of words.
 _LINE = """
@@ -135,3 +147,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND kept_words >= 20 AND kept_chars >= 0.7 * word_chars) AS kept
 FROM base
 """}
+
+
+def _vector_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Every distance of every round: plain k-means of the parts."""
+    ctes = [f"""
+v AS (SELECT row_number() OVER (ORDER BY vec_id, e) AS r, vec_id, label,
+        list_transform(e, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM (SELECT vec_id, label, embedding AS e FROM embeddings)
+      WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT r, p, list_slice(e, p * (len(e) // {parts}) + 1, (p + 1) * (len(e) // {parts})) AS s
+      FROM v, range(0, {parts}) t(p)),
+c0 AS (SELECT p, r - 1 AS k, s AS c FROM x WHERE r <= {entries})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""
+d{i} AS (SELECT r, x.p, k, list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+      FROM x JOIN c{i} ON x.p = c{i}.p),
+a{i} AS (SELECT r, p, arg_min(k, d * {entries} + k) AS k, min(d) AS d FROM d{i} GROUP BY r, p)""")
+        if i < rounds:
+            ctes.append(f"""
+u{i} AS (SELECT p, k, j, sum(s) AS t, count(*) AS n
+      FROM (SELECT p, k, unnest(s) AS s, unnest(range(1, len(s) + 1)) AS j FROM x JOIN a{i} USING (r, p)) GROUP BY p, k, j),
+n{i} AS (SELECT p, k, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM u{i} GROUP BY p, k),
+c{i + 1} AS (SELECT p, k, coalesce(n{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN n{i} USING (p, k))""")
+    return "WITH " + ",".join(ctes) + f""",
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS h FROM c{rounds}),
+o AS (SELECT r, string_agg(lower(printf('%02x', k)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM o JOIN v USING (r), h"""
+
+
+ORACLE_SQL["op12_vector_codes"] = _vector_sql()
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+ORACLE_SQL["op13_lexical_search"] = f"""
+WITH q AS (SELECT r, item_id, unnest(list_distinct({_TERMS})) AS t
+           FROM (SELECT row_number() OVER () AS r, * FROM benchmark)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(ts)) AS n_terms FROM d WHERE len(ts) > 0),
+tf AS (SELECT r AS dr, doc_id, n, t, count(*) AS tf
+       FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+s AS (SELECT q.r, item_id, dr, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))) AS score
+      FROM tf JOIN q USING (t) JOIN w USING (t), total GROUP BY q.r, item_id, dr, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id, dr) AS rank FROM s WHERE score > 0)
+WHERE rank <= 50"""
