@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (bpe, decontaminate, html_text, lexical_search, line_dedup, quality_rules, sharding, simhash_dedup,
-               suffix_dedup, token_counts, url_filter, vector_codes)
+from . import (bpe, decontaminate, html_text, lexical_search, line_dedup, packing, quality_rules, sharding,
+               simhash_dedup, suffix_dedup, token_counts, url_filter, vector_codes)
 from .common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 COUNT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block",
              "net/fr/": "block"}
 
@@ -83,6 +84,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), COUNT_RANKS, public_tokenizers.PATTERN)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece's sequence of at most 4096 tokens and its place there."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), PACK_TOKENIZER, capacity=4096, end=1)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of 4 parts of every vector, their errors and the codebooks' digest."""
     rows, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
@@ -97,7 +103,8 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality_rules, op3_url_filter, op4_html_text, op5_suffix_dedup, op6_simhash_dedup,
-    op7_decontaminate, op8_bpe, op9_sharding, op10_token_counts, op12_vector_codes, op13_lexical_search)} | {"pipeline": corpus_pipeline.run}
+    op7_decontaminate, op8_bpe, op9_sharding, op10_token_counts, op11_packing,
+    op12_vector_codes, op13_lexical_search)} | {"pipeline": corpus_pipeline.run}
 
 # Base statistics and verdict in DuckDB: windows are compared as lists of words.
 _LINE = """
