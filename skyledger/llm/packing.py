@@ -24,7 +24,10 @@ ignored.  Special tokens' strings in a text are read as the tokenizer's file say
 from __future__ import annotations
 
 import functools
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -36,44 +39,55 @@ from pyspark.sql import types as T
 
 from .common import discard, materialise
 
-CACHE_WORDS = 600_000  # encoded words kept per worker: the first ones met
+CACHE_WORDS = 800_000  # encoded words kept per worker: the first ones met
+
+# Letters that the normaliser leaves alone (but for their case) and the splitter takes as one word: a run of them
+# goes to the model at once.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u4e00-\u9fa5]+")
+# Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on in order.
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTE_CHARS = {b: 256 + n for n, b in enumerate(_OTHERS)}
+
+
+class _Words(dict):
+    """Packed ids of words; encodes what it does not know yet and keeps it while there is room."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1]]
+        elif _LETTERS.fullmatch(word):
+            low = word.lower()
+            ids = self[low] if low != word else array("I", [t.id for t in self.model.tokenize(
+                low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(self) < CACHE_WORDS:
+            self[word] = ids
+        return ids
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as unsigned 32-bit integers in the machine's order.
 
-    With ``by_word`` texts are cut at spaces and line feeds and each distinct word is encoded once: right for
-    tokenizers that split at white space and drop it, cut between a letter and a full stop or comma, and fold ASCII
-    letters (``word_bpe`` does all three).
+    With ``by_word`` texts are cut at spaces and line feeds and words are looked up: right for
+    tokenizers that split at white space and drop it, split between a letter and a full stop or comma, take a run of
+    letters as one word and fold ASCII letters (``word_bpe`` does all four).
     """
 
     def __init__(self, path: str, by_word: bool):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = by_word
-        self.known: dict[str, bytes] = {}
-        self.tails = {"": b""} | {t: self._encode([t])[0] for t in ".,"}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.words = _Words(self.tokenizer) if by_word else None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._encode(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        parts = {}
-        for word in set().union(*split):
-            head, tail = (word[:-1], word[-1]) if word[-1:] in self.tails and word[-2:-1].isalpha() else (word, "")
-            parts[word] = (head.lower() if head.isascii() and head.isalpha() else head, tail)
-        ids = {head: self.known.get(head) for head, _ in parts.values()}
-        new = [head for head, got in ids.items() if got is None]
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            ids.update(zip(part, self._encode(part)))
-        room = CACHE_WORDS - len(self.known)
-        self.known.update((head, ids[head]) for head in new[:max(room, 0)])
-        get = {word: ids[head] + self.tails[tail] for word, (head, tail) in parts.items()}.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        if self.words is None:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        get = self.words.__getitem__
+        return [b"".join(map(get, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
@@ -99,6 +113,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, end: int, by_word: bool =
             for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(chars)) + 1):
                 row, piece, length, crc = [], [], [], []
                 for i, ids in zip(rows.tolist(), encode([texts[i] for i in rows])):
+                    if sys.byteorder == "big":
+                        ids = np.frombuffer(ids, np.uint32).astype("<u4").tobytes()
                     ids += last
                     for n, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
