@@ -34,6 +34,39 @@ def max_date(df: DataFrame, col: str = "date", month_col: str = "year_month") ->
     return df.select(F.max(col)).scalar()
 
 
+def partition_list(df: DataFrame, col: str) -> list[str] | None:
+    """Values of the partition folders of the stored table ``df`` (as read, unfiltered) in ascending order; None if
+    ``col`` is not its partition column.
+
+    One row's file name gives the table's folder, the file system lists the rest: no data is scanned, and
+    the list has one entry per day or month, whatever the number of files.
+    """
+    from ..sinks.stored import partitions
+    one = df.select(F.input_file_name()).first()
+    if one is None or f"/{col}=" not in one[0]:
+        return None
+    return partitions(df.sparkSession, one[0].split(f"/{col}=")[0], col)
+
+
+def latest_date(df: DataFrame, condition: Column | None = None, col: str = "date") -> Column:
+    """A25 as a literal: MAX(col) of the rows of ``df`` that meet ``condition``, NULL if there is none.
+
+    On a table partitioned by ``col`` the newest partitions are asked first, then four times as many, until a row meets the
+    condition: for a series that is up to date one partition is read.  As a literal the date prunes partitions when the
+    query is planned.  Any other table is asked with ``max_date``.
+    """
+    rows = df if condition is None else df.filter(condition)
+    days = partition_list(df, col)
+    if not days:
+        return max_date(rows, col)
+    n = 1
+    while True:
+        found = rows.filter(F.col(col) >= F.lit(days[-min(n, len(days))]).cast("date")).select(F.max(col)).first()[0]
+        if found is not None or n >= len(days):
+            return F.lit(found).cast("date")
+        n *= 4
+
+
 def last_days(df: DataFrame, days: int, col: str = "date", anchor: Column | None = None) -> DataFrame:
     """``col >= MAX(col) - days`` (both ends closed: 7 days cover 8 dates).
 

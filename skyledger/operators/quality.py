@@ -238,28 +238,87 @@ def failing_condition(test: str, col: str, arg=None) -> Column:
     raise ValueError(test)
 
 
-def run_suite(tables: Mapping[str, DataFrame], suites: Mapping[str, list[tuple]] | None = None) -> DataFrame:
-    """Failures per declared test; one aggregation pass per table for the
-    row-level tests, one grouped count per uniqueness test.  Tables without a
-    column a test names are reported with NULL failures (test not applicable).
-    Returns (model, test, column, failures)."""
+def _row_tests(model: str, columns: Sequence[str], suites: Mapping[str, list[tuple]]) -> list[tuple]:
+    return [t for t in suites.get(model, []) if t[0] != "unique" and t[1] in columns]
+
+
+def row_metrics(model: str, df: DataFrame, suites: Mapping[str, list[tuple]] | None = None) -> list[Column]:
+    """Row count and one failure count per row-level test, as aggregates: to scan for, or to observe while ``df`` is written."""
+    tests = _row_tests(model, df.columns, SUITES if suites is None else suites)
+    return [F.count(F.lit(1)).alias("n_rows"),
+            *(F.count_if(failing_condition(*t)).alias(f"c{i}") for i, t in enumerate(tests))]
+
+
+def observe(df: DataFrame, model: str, observation) -> DataFrame:
+    """``df`` whose suite metrics are counted by whatever job reads it (``Observation.get`` after that job)."""
+    return df.observe(observation, *row_metrics(model, df))
+
+
+SUMMARY = "model string, test string, column string, failures long"
+
+
+def run_suite(tables: Mapping[str, DataFrame], suites: Mapping[str, list[tuple]] | None = None,
+              metrics: Mapping[str, Mapping[str, int]] | None = None,
+              singular: Mapping[tuple[str, str, str], DataFrame] | None = None) -> DataFrame:
+    """``(model, test, column, failures)``, one row per declared test.
+
+    Row-level tests take one aggregation per table, or none where ``metrics`` holds what was observed while the table
+    was written; observed counts are used only if their row count is the table's (a stage that ran again after a lost
+    executor counts twice, and is then counted by a scan).  Uniqueness takes one grouped count per test.  A test whose column the table
+    lacks is reported with NULL failures.  ``singular``: further tests by (model, test, column), given as their failing rows.
+    """
     suites = SUITES if suites is None else suites
-    parts = []
+    parts, known = [], []
+    spark = next(iter(tables.values())).sparkSession
     for model, df in tables.items():
-        tests = suites.get(model, [])
-        row_tests = [t for t in tests if t[0] != "unique" and t[1] in df.columns]
-        if row_tests:
-            aggs = [F.count_if(failing_condition(*t)).alias(f"c{i}") for i, t in enumerate(row_tests)]
-            counts = df.agg(*aggs)
+        row_tests = _row_tests(model, df.columns, suites)
+        seen = (metrics or {}).get(model)
+        if seen is not None and seen["n_rows"] != df.count():
+            seen = None
+        if seen is not None:
+            known += [(model, t[0], t[1], seen[f"c{i}"]) for i, t in enumerate(row_tests)]
+        elif row_tests:
+            counts = df.agg(*row_metrics(model, df, suites))
             stack = ", ".join(f"'{t[0]}', '{t[1]}', c{i}" for i, t in enumerate(row_tests))
             parts.append(counts.selectExpr(f"'{model}' AS model",
                                            f"stack({len(row_tests)}, {stack}) AS (test, column, failures)"))
-        for t in tests:
-            if t[0] == "unique" and t[1] in df.columns:
-                n = unique(df, t[1]).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(n.select(F.lit(model).alias("model"), F.lit("unique").alias("test"),
-                                      F.lit(t[1]).alias("column"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
+        for t in suites.get(model, []):
+            if t[1] not in df.columns:
+                known.append((model, t[0], t[1], None))
+            elif t[0] == "unique":
+                parts.append(_counted(unique(df, t[1]), model, "unique", t[1]))
+    for (model, test, col), rows in (singular or {}).items():
+        parts.append(_counted(rows, model, test, col))
+    out = spark.createDataFrame(known, SUMMARY)
+    for p in parts:
         out = out.unionByName(p)
     return out
+
+
+def _counted(rows: DataFrame, model: str, test: str, col: str) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(model).alias("model"), F.lit(test).alias("test"), F.lit(col).alias("column"), "failures")
+
+
+def singular_tests(facts: DataFrame, alerts: DataFrame, raw_daily: DataFrame, locations: DataFrame,
+                   as_of_date: Column, as_of_time: Column) -> dict[tuple[str, str, str], DataFrame]:
+    """D5-D9 as members of the suite, keyed by (model, test, column)."""
+    return {
+        ("daily_facts", "unique_key", "location_id, date"): unique_key(facts, "location_id", "date"),
+        ("daily_facts", "min_above_max", "temp_min_c"): expression(facts, F.col("temp_min_c") > F.col("temp_max_c")),
+        ("daily_facts", "date_gaps", "date"): date_gaps(facts, as_of_date, 30),
+        ("raw_daily", "location_freshness", "_extracted_at"): location_freshness(locations, raw_daily, as_of_time, 25),
+        ("alerts", "relationship", "location_id"): relationship(alerts, locations),
+    }
+
+
+def tagged_failures(df: DataFrame, model: str, suites: Mapping[str, list[tuple]] | None = None) -> DataFrame:
+    """K9: every failing row of the model's row-level tests, once per test it fails (``test`` = ``<test>__<column>``).
+
+    One scan evaluates all tests; rows that fail none leave before anything is shuffled or written.
+    """
+    tests = _row_tests(model, df.columns, SUITES if suites is None else suites)
+    if not tests:
+        return df.filter(F.lit(False)).withColumn("test", F.lit(""))
+    tags = F.array_compact(F.array(*(F.when(failing_condition(*t), F.lit(f"{t[0]}__{t[1]}")) for t in tests)))
+    return df.withColumn("_tags", tags).filter(F.size("_tags") > 0).withColumn("test", F.explode("_tags")).drop("_tags")

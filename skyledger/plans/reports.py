@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label_pt
 from ..functions.numeric import clean_floor, mean, round_half_even, round_half_up, to_double
-from ..operators.filters import half_open, isin_filter, last_days, max_date, optional_eq, require
+from ..operators.filters import half_open, isin_filter, last_days, latest_date, max_date, optional_eq, require
 from ..operators.ordering import top_k
-from ..operators.windows import latest_per_group, previous_value
+from ..operators.windows import previous_value
 
 
 def _period(df: DataFrame, days: int, meso=None, severity=None, city=None,
@@ -66,10 +66,11 @@ def temp_trend(facts: DataFrame, days: int = 30, meso=None) -> DataFrame:
 
 
 def _latest_rows(facts: DataFrame, meso=None) -> DataFrame:
+    """One row per location by an aggregate: the map side keeps one candidate each, nothing is sorted."""
     f = optional_eq(require(facts, "mesoregion"), "mesoregion", meso)
-    return latest_per_group(f.select("location_id", "date", "city_name", "mesoregion", "latitude",
-                                     "longitude", "temp_max_c", "precipitation_mm"),
-                            ["location_id"], [F.col("date").desc()])
+    cols = ["date", "city_name", "mesoregion", "latitude", "longitude", "temp_max_c", "precipitation_mm"]
+    g = f.groupBy("location_id").agg(F.max_by(F.struct(*cols), "date").alias("r"))
+    return g.select("location_id", *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
 def latest_per_location(facts: DataFrame, meso=None) -> DataFrame:
@@ -205,8 +206,7 @@ def _city_hourly(hourly: DataFrame, city: str) -> DataFrame:
 
 def hour_profile(hourly: DataFrame, city: str, days: int = 7) -> DataFrame:
     """24-hour profile of one city over its last ``days`` (+1) dates."""
-    h = _city_hourly(hourly, city)
-    h = last_days(h, days)  # anchored on the city's own MAX(date)
+    h = last_days(_city_hourly(hourly, city), days, anchor=city_day(hourly, city))
     per_day = F.try_divide(F.sum("precipitation_mm").cast("double"),
                            F.nullif(F.count_distinct("date"), F.lit(0)).cast("double"))
     return (h.groupBy("hour")
@@ -220,13 +220,13 @@ def hour_profile(hourly: DataFrame, city: str, days: int = 7) -> DataFrame:
 def city_window(hourly: DataFrame, city: str, days: int = 7,
                 cols: Sequence[str] = ("temperature_c", "relative_humidity_pct")) -> DataFrame:
     """One city's hourly series over its last ``days`` (+1) dates."""
-    h = last_days(_city_hourly(hourly, city), days)
+    h = last_days(_city_hourly(hourly, city), days, anchor=city_day(hourly, city))
     return to_double(h.select("observed_at", *cols)).orderBy("observed_at")
 
 
 def city_day(hourly: DataFrame, city: str) -> Column:
     """Default reference day for the day-vs-history pages: the city's latest date."""
-    return max_date(_city_hourly(hourly, city))
+    return latest_date(hourly, F.col("city_name") == F.lit(city))
 
 
 def day_profile(hourly: DataFrame, city: str, day: Column | str | None = None) -> DataFrame:
@@ -251,6 +251,7 @@ def prior_profile(hourly: DataFrame, city: str, day: Column | str | None = None,
 
 def compare_profiles(hourly: DataFrame, city: str, day: Column | str | None = None) -> DataFrame:
     """The day's profile LEFT JOIN the prior profile on hour, per-hour difference."""
+    day = city_day(hourly, city) if day is None else day
     a = day_profile(hourly, city, day)
     h = prior_profile(hourly, city, day)
     m = a.join(h, "hour", "left")
@@ -383,7 +384,7 @@ def max_dates(facts: DataFrame, alerts: DataFrame, hourly: DataFrame) -> DataFra
     """MAX(date) of each mart, one row."""
     return facts.sparkSession.range(1).select(max_date(facts).alias("max_daily"),
                                                max_date(alerts).alias("max_alerts"),
-                                               max_date(hourly).alias("max_hourly"))
+                                               latest_date(hourly).alias("max_hourly"))
 
 
 def max_date_per_city(hourly: DataFrame) -> DataFrame:

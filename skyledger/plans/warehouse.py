@@ -12,13 +12,19 @@ files, not from raw.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import uuid
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from ..operators.quality import observe
 from ..session import scratch_path
+from ..sinks.stored import _read_text, _write_text, exists
 from ..sinks.tables import write_partitioned
+from . import layers
 from .marts import Marts
 
 
@@ -35,23 +41,48 @@ class StoredMarts:
         self.daily_order = marts.daily_order
         self.hourly_order = marts.hourly_order
 
-    def _table(self, name: str, df: DataFrame, part: str, cluster: tuple[str, ...]) -> DataFrame:
-        """Write ``df`` partitioned by its own column ``part`` (once), read it back typed."""
+    def _table(self, name: str, chain: dict[str, Callable[[DataFrame | None], DataFrame]], part: str,
+               cluster: tuple[str, ...]) -> DataFrame:
+        """Write the last layer of ``chain`` partitioned by its own column ``part`` (once), read it back typed.
+
+        ``chain`` names the layers from raw to the table, each made from the one before; the suite metrics of all of them are
+        observed by the one job that writes the table and kept beside it.
+        """
         path = os.path.join(self.root, name)
-        if not _exists(self.spark, os.path.join(path, "_SUCCESS")):
+        df = None
+        seen = {}
+        for model, layer in chain.items():
+            seen[model] = Observation(f"{name}-{model}-{uuid.uuid4().hex}")
+            df = observe(layer(df), model, seen[model])
+        if not exists(self.spark, os.path.join(path, "_SUCCESS")):
             write_partitioned(df, path, grain=None, time_col=part, cluster=cluster)
+            _write_text(self.spark, os.path.join(path, "_metrics.json"), json.dumps({m: o.get for m, o in seen.items()}))
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def metrics(self) -> dict[str, dict[str, int]]:
+        """Suite metrics of every layer, as observed when the marts were written."""
+        self.build()
+        out: dict[str, dict[str, int]] = {}
+        for name in ("daily_facts", "alerts", "hourly_facts"):
+            file = os.path.join(self.root, name, "_metrics.json")
+            out |= json.loads(_read_text(self.spark, file)) if exists(self.spark, file) else {}
+        return out
+
     @cached_property
     def facts(self) -> DataFrame:
         # monthly partitions, clustered by (location_id, date) as the source's mart
-        return self._table("daily_facts", self.m.facts, "year_month", ("location_id", "date"))
+        m = self.m
+        return self._table("daily_facts", {
+            "raw_daily": lambda _: m.raw_daily,
+            "stg_daily": lambda raw: layers.stg_daily(raw, m.daily_order, loaded_at=m.stamps),
+            "daily_enriched": lambda stg: layers.daily_enriched(stg, m.locations),
+            "daily_facts": lambda e: layers.daily_facts(e, updated_at=m.stamps)},
+            "year_month", ("location_id", "date"))
 
     @cached_property
     def alerts(self) -> DataFrame:
         # derived from the written facts, not by recomputing the daily chain
-        from .layers import alerts
-        return self._table("alerts", alerts(self.facts), "year_month", ("location_id", "date"))
+        return self._table("alerts", {"alerts": lambda _: layers.alerts(self.facts)}, "year_month", ("location_id", "date"))
 
     def build(self) -> None:
         """Materialise every mart now (otherwise each is built on first use)."""
@@ -60,7 +91,12 @@ class StoredMarts:
     @cached_property
     def hourly_facts(self) -> DataFrame:
         # daily partitions, clustered by (location_id, mesoregion) as the source's mart
-        return self._table("hourly_facts", self.m.hourly_facts, "date", ("location_id", "mesoregion"))
+        m = self.m
+        return self._table("hourly_facts", {
+            "raw_hourly": lambda _: m.raw_hourly,
+            "stg_hourly": lambda raw: layers.stg_hourly(raw, m.hourly_order, loaded_at=m.stamps),
+            "hourly_facts": lambda stg: layers.hourly_facts(stg, m.locations, updated_at=m.stamps)},
+            "date", ("location_id", "mesoregion"))
 
     # staging / intermediate stay views (as in the source project)
     @property
@@ -76,16 +112,6 @@ class StoredMarts:
         return self.m.enriched
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
-    except Exception:  # noqa: BLE001  (no JVM access: fall back to the local view)
-        return os.path.exists(path)
-
-
 def input_fingerprint(paths: list[str]) -> str:
     """Identity of the inputs (path, size, mtime) so a changed input rebuilds the marts."""
     h = hashlib.sha1()

@@ -2,21 +2,17 @@
 
 Writes never overwrite a path that the same plan reads: merged partitions are
 staged under the shared checkpoint folder first (``session.scratch_path``),
-then swapped in with dynamic partition overwrite, which replaces only the
-partitions present in the staged data.
+then swapped in one by one under a redo note (``stored``).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
-from ..operators.incremental import merge_upsert
-from ..session import scratch_path
 
 
 def append_raw(df: DataFrame, path: str, partition_col: str = "date", truncate: bool = False) -> None:
@@ -120,62 +116,30 @@ def materialize(df: DataFrame, kind: str, name: str | None = None, path: str | N
 
 
 def store_failures(failures: DataFrame, path: str) -> None:
-    """K9: persist a check's failing rows."""
-    failures.write.mode("overwrite").parquet(path)
+    """K9: persist failing rows, those of a tagged table in one folder per test."""
+    w = failures.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy("test") if "test" in failures.columns else w).parquet(path)
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str = "surrogate_key",
                       partition_col: str = "part_month") -> None:
-    """U1 on a partitioned table: merge ``source`` into the partitions it touches.
-
-    The touched partition values (a short list: months or days of one
-    increment) are the only thing brought to the driver; they become a static
-    partition filter, so untouched partitions are neither read nor rewritten.
-    The merged partitions are staged in the shared checkpoint folder, then
-    swapped in with dynamic partition overwrite.
-    """
-    from ..operators.incremental import materialize
-    source = materialize(source)      # the increment is read three times below
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
-    target = _read_partitions(spark, path, partition_col, touched)
-    merged = source if target is None else merge_upsert(target, source, key)
-    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds any file or partition folder (asked of the path's own file system)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jpath) and any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(jpath))
-
-
-def _read_partitions(spark: SparkSession, path: str, partition_col: str, values: list):
-    """The touched partitions of a stored table, None if there is no table yet; a read error stops the job."""
-    if not table_exists(spark, path):
-        return None
-    return spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(partition_col).isin(values))
+    """U1 on a stored table (see ``stored.merge_table``)."""
+    from .stored import merge_table
+    merge_table(spark, path, source, partition_col, key)
 
 
 def upsert_latest_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                              order: Sequence[Column], partition_col: str = "part_date") -> None:
     """Latest row per key over ``batch`` and the target partitions it touches.
 
-    Used by the streaming upsert: the batch's partition values (a handful of
-    days) are collected, only those partitions are read, deduplicated together
-    with the batch (map-side top-1 before the shuffle) and swapped in through a
-    staged copy with dynamic partition overwrite.
+    Used by the streaming upsert: the touched partitions are deduplicated together with the batch (map-side top-1 before the
+    shuffle) and swapped in; a batch that is run again gives the same result.
     """
-    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    if not touched:
+    from .stored import change_partitions, read_table, replace_partitions
+    if read_table(spark, path) is None:
+        rows = latest_per_key(batch, keys, order)
+        if not rows.isEmpty():
+            replace_partitions(spark, path, rows, partition_col)
         return
-    current = _read_partitions(spark, path, partition_col, touched)
-    both = batch if current is None else current.unionByName(batch.select(*current.columns))
-    merged = latest_per_key(both, keys, order)
-    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    change_partitions(spark, path, batch, partition_col,
+                      lambda old, new: latest_per_key(old.unionByName(new.select(*old.columns)), keys, order))

@@ -77,8 +77,40 @@ def with_lateness(stream: DataFrame, col: str = "observed_at", days: int = 4) ->
     return stream.withWatermark(col, f"{days} days")
 
 
+def daily_means(stream: DataFrame, col: str = "timestamp", days: int = 4, key: str = "location_id",
+                value: str = "temperature_2m") -> DataFrame:
+    """ST3: rows, non-NULL values and their sum per ``key`` and day, as event-time state over all triggers.
+
+    A row is late, and dropped, once its day has ended ``days`` or more before the newest event time of the earlier triggers;
+    state of days that have ended is evicted by the same mark, so it holds the days within the lateness only.  In update mode
+    every trigger returns the days that changed.
+    """
+    s = with_lateness(stream, col, days)
+    return s.groupBy(key, F.window(col, "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(value).alias("n_values"),
+        F.sum(F.col(value).cast("decimal(18,3)")).alias("total")).select(
+        key, F.col("w.start").cast("date").alias("day"), "n_rows", "n_values", "total")
+
+
+def stream_days(days: DataFrame, target_path: str, checkpoint: str, key: str = "location_id",
+                available_now: bool = True) -> StreamingQuery:
+    """ST3: the changed days of every trigger replace the stored ones (partitioned by month; ``stored.upsert_table``)."""
+    from ..sinks.stored import upsert_table
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch.sparkSession, target_path,
+                     batch.withColumn("part_month", F.date_format("day", "yyyy-MM")), "part_month", [key, "day"])
+    w = days.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def stream_dedup(stream: DataFrame, keys: Sequence[str], col: str = "timestamp", days: int = 4) -> DataFrame:
-    """ST4 (+ST3): drop re-sent observations within a ``days``-late watermark (first copy wins)."""
+    """ST4 (+ST3): drop re-sent observations, also those of later triggers; the first copy wins.
+
+    A key stays in the state until the watermark has passed its time by ``days``; a copy that comes later than that is late
+    itself and dropped as such, so no copy gets through and the state holds the last ``2 * days`` days of keys.
+    """
     return with_lateness(stream, col, days).dropDuplicatesWithinWatermark(list(keys))
 
 
