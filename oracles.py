@@ -522,6 +522,19 @@ def hours_diff(later: str, earlier: str) -> str:
     return f"CAST(trunc((epoch({later}) - epoch({earlier})) / 3600) AS BIGINT)"
 
 
+# Failing rows of the singular tests in the suite, over the views of ALL_CHAIN.
+SINGULAR = {
+    "d5_facts": "SELECT location_id, date FROM facts GROUP BY location_id, date HAVING COUNT(*) > 1",
+    "d6": "SELECT * FROM facts WHERE temp_min_c > temp_max_c",
+    "d7": "SELECT * FROM (SELECT date - lag(date) OVER (PARTITION BY location_id ORDER BY date) AS gap FROM facts "
+          "WHERE date >= (SELECT max(date) FROM facts) - 30) g WHERE gap > 1",
+    "d8": "SELECT * FROM (SELECT l.location_id, max(r._extracted_at) AS t FROM locations l LEFT JOIN raw_daily r "
+          "USING (location_id) GROUP BY l.location_id) x WHERE t IS NULL OR "
+          "floor((epoch((SELECT max(_extracted_at) FROM raw_daily)) - epoch(t)) / 3600) > 25",
+    "d9": "SELECT * FROM alerts WHERE location_id NOT IN (SELECT location_id FROM locations)",
+}
+
+
 def _dq() -> dict[str, str]:
     from skyledger.operators.quality import SUITES
     q: dict[str, str] = {}
@@ -598,6 +611,7 @@ def _dq() -> dict[str, str]:
     for model, view in present.items():
         for test, col, *arg in SUITES[model]:
             if col in absent:
+                parts.append(f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", NULL AS failures")
                 continue
             c = f'"{col}"'
             if test == "not_null":
@@ -613,6 +627,12 @@ def _dq() -> dict[str, str]:
                 continue
             parts.append(f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
                          f"COUNT(CASE WHEN {cond} THEN 1 END) AS failures FROM {view}")
+    for model, test, col, key in (("daily_facts", "unique_key", "location_id, date", "d5_facts"),
+                                  ("daily_facts", "min_above_max", "temp_min_c", "d6"), ("daily_facts", "date_gaps", "date", "d7"),
+                                  ("raw_daily", "location_freshness", "_extracted_at", "d8"),
+                                  ("alerts", "relationship", "location_id", "d9")):
+        parts.append(f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
+                     f"(SELECT COUNT(*) FROM ({SINGULAR[key]}) f) AS failures")
     q["d16_run_suite"] = with_(ALL_CHAIN + [SPINE, CALENDAR], "\nUNION ALL\n".join(parts))
     return q
 
@@ -706,6 +726,98 @@ def oracle_queries() -> dict[str, str]:  # noqa: F811
     q.update(_io())
     q.update(_conv())
     q["t3_daily_enriched_split"] = q["t3_daily_enriched"]
+    q.update(_stored(q))
+    return q
+
+
+def _stored(base: dict[str, str]) -> dict[str, str]:
+    """Queries over stored tables, landed documents and streams; dates and times as text, as those queries return them."""
+    q: dict[str, str] = {}
+    uniq_h = ('uniq AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location_id, "timestamp" '
+              'ORDER BY event_id DESC) AS rn FROM raw_hourly) x WHERE rn = 1)')
+    landed = ('span AS (SELECT min(CAST("timestamp" AS DATE)) AS a, max(CAST("timestamp" AS DATE)) AS b FROM uniq), '
+              'based AS (SELECT u.*, CAST(floor(3 * (CAST("timestamp" AS DATE) - a) / (b - a + 1)) AS INTEGER) AS base FROM uniq u, span), '
+              'landed AS (SELECT *, CASE WHEN relative_humidity_2m = 7 THEN least(base + 1, 2) ELSE base END AS landing FROM based), '
+              'mark AS (SELECT l.n, (SELECT max("timestamp") FROM landed WHERE landing < l.n) - INTERVAL 4 DAY AS w '
+              'FROM (SELECT unnest([0, 1, 2]) AS n) l)')
+    q["st3_late_days"] = with_([RAW_HOURLY, uniq_h, landed], """
+SELECT location_id, strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day, count(*) AS n_rows, count(temperature_2m) AS n_values,
+       CAST(sum(CAST(temperature_2m AS DECIMAL(18,3))) AS DOUBLE) AS total
+FROM landed JOIN mark ON landing = n WHERE w IS NULL OR CAST("timestamp" AS DATE) + INTERVAL 1 DAY > w
+GROUP BY location_id, CAST("timestamp" AS DATE)""")
+    q["st4_resent_rows"] = with_([RAW_HOURLY, uniq_h, landed], """
+SELECT location_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS observed_at, temperature_2m
+FROM landed JOIN mark ON landing = n WHERE w IS NULL OR "timestamp" > w""")
+
+    def rejects(raw: str, period: str, n: str, array: str) -> str:
+        h = f"(CAST(location_id AS INTEGER) * 7 + {n}) % 13"
+        return with_([raw], f"""
+SELECT 'rows' AS kind, NULL AS reason, location_id, p AS period, c AS n FROM g WHERE h NOT IN (3, 5, 7)
+UNION ALL
+SELECT 'rejects', CASE h WHEN 3 THEN 'ragged: {array}' WHEN 5 THEN 'unparseable: no time' ELSE 'malformed' END,
+       CASE WHEN h = 7 THEN NULL ELSE location_id END, NULL, CAST(sum(ceil(c / 48.0)) AS BIGINT)
+FROM g WHERE h IN (3, 5, 7) GROUP BY 2, 3""").replace("\nSELECT 'rows'", f""", g AS (
+  SELECT location_id, {period} AS p, count(*) AS c, {h} AS h FROM {raw.split()[0]} GROUP BY location_id, {period}, {h})
+SELECT 'rows'""", 1)
+    day = 'CAST("timestamp" AS DATE)'
+    q["s1_rejects"] = rejects(RAW_HOURLY, f"strftime({day}, '%Y-%m-%d')", f"({day} - DATE '1970-01-01')", "temperature_2m")
+    q["s2_rejects"] = rejects(RAW_DAILY, "strftime(date, '%Y-%m')", "(year(date) * 12 + month(date))", "rain_sum")
+    q["s4_locations_csv"] = with_(
+        [LOCATIONS], "SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
+                     "CAST(altitude_m AS DOUBLE) AS altitude_m) FROM locations")
+    q["s9_window_rows"] = with_(
+        [RAW_DAILY], "SELECT location_id, strftime(date, '%Y-%m-%d') AS date, temperature_2m_max FROM raw_daily "
+                     "WHERE date >= (SELECT max(date) FROM raw_daily) - 45")
+    q["k1_append_truncate"] = with_(
+        [RAW_HOURLY], f"SELECT 'append' AS load, strftime({day}, '%Y-%m-%d') AS part_date, 2 * count(*) AS n FROM raw_hourly "
+                      f"GROUP BY {day} UNION ALL SELECT 'truncate', strftime({day}, '%Y-%m-%d'), count(*) FROM raw_hourly "
+                      f"WHERE {day} >= DATE '2024-01-20' GROUP BY {day}")
+    q["k3_upsert_stored"] = ("SELECT * REPLACE (strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp\", "
+                             "strftime(_extracted_at, '%Y-%m-%d %H:%M:%S') AS _extracted_at) FROM (\n"
+                             + base["k3_upsert_raw_hourly"] + ") k")
+    uniq_d = ("uniq_daily AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location_id, date ORDER BY l_orderkey DESC, "
+              "l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) AS rn FROM raw_daily_geo) x WHERE rn = 1)")
+    top = "(SELECT max(date) FROM raw_daily)"
+    q["k4_upsert_daily_stored"] = with_(
+        [RAW_DAILY, RAW_DAILY_GEO, uniq_d],
+        f"SELECT location_id, strftime(date, '%Y-%m-%d') AS date, CASE WHEN date >= {top} - 30 THEN latitude + 1.0 ELSE latitude END "
+        f"AS latitude, longitude, CASE WHEN date >= {top} - 60 THEN temperature_2m_max + 1.0 ELSE temperature_2m_max END "
+        "AS temperature_2m_max, temperature_2m_min FROM uniq_daily")
+    q["k6_expire_stored"] = with_(
+        [RAW_HOURLY], f"SELECT strftime({day}, '%Y-%m-%d') AS part_date, count(*) AS n FROM raw_hourly "
+                      f"WHERE {day} >= (SELECT max({day}) FROM raw_hourly) - 10 GROUP BY {day}")
+    q["k8_view_and_table"] = with_(
+        ALERT_CHAIN, "SELECT s.location_id, count(*) AS n_days, count(a.alert_type) AS n_alerts FROM stg_daily s LEFT JOIN alerts a "
+                     "ON a.location_id = s.location_id AND a.date = s.date GROUP BY s.location_id")
+    from skyledger.operators.quality import SUITES
+    parts = []
+    for test, col, *arg in SUITES["daily_facts"]:
+        if test == "unique" or col == "_dbt_updated_at":
+            continue
+        cond = (f'"{col}" IS NULL' if test == "not_null" else
+                f'"{col}" NOT IN (' + ", ".join(f"'{v}'" for v in arg[0]) + ")" if test == "accepted_values" else
+                f'"{col}" < {arg[0][0]} OR "{col}" > {arg[0][1]}')
+        parts.append(f"SELECT '{test}__{col}' AS test, location_id, strftime(date, '%Y-%m-%d') AS date FROM facts WHERE {cond}")
+    q["k9_stored_failures"] = with_(DAILY_CHAIN, "\nUNION ALL\n".join(parts))
+    q["u1_merge_stored"] = as_text("u1_merge_upsert", base["u1_merge_upsert"])
+    q["u5_schema_sync"] = with_(
+        DAILY_CHAIN, "SELECT surrogate_key, location_id, strftime(date, '%Y-%m-%d') AS date, year_month, "
+                     "CAST(temp_max_c AS DOUBLE) AS temp_max_c, CASE WHEN date >= (SELECT max(date) FROM facts) - 35 "
+                     "THEN temp_max_c > 30 END AS is_hot FROM facts")
+    bad = "(CAST(location_id AS INTEGER) * 7 + year(date) * 12 + month(date)) % 13"
+    q["t8_daily_job"] = with_(
+        DAILY_CHAIN, f"""SELECT location_id, strftime(date, '%Y-%m-%d') AS date, CAST(temp_max_c AS DOUBLE) AS value FROM facts
+WHERE {bad} NOT IN (3, 5, 7)
+UNION ALL
+SELECT 'rejected', CASE h WHEN 3 THEN 'ragged: rain_sum' WHEN 5 THEN 'unparseable: no time' ELSE 'malformed' END,
+       CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT location_id, year_month, {bad} AS h FROM facts) d WHERE h IN (3, 5, 7) GROUP BY h""")
+    q["u7_backfill"] = with_(
+        [RAW_DAILY], f"""SELECT location_id, count(DISTINCT date) AS n_rows, CAST(1 AS BIGINT) AS n_loads, CAST(CASE WHEN
+  CAST(location_id AS INTEGER) % 2 = 0 AND min(date) < (SELECT min(date) FROM raw_daily) + 7 THEN 0 ELSE 1 END AS INTEGER) AS load_hour
+FROM raw_daily GROUP BY location_id""")
+    q["o5_freshness_order"] = with_(
+        [LOCATIONS, RAW_HOURLY], f"SELECT l.location_id, CAST((SELECT max({day}) FROM raw_hourly) - max(CAST(r.\"timestamp\" AS DATE)) "
+                                 "AS INTEGER) AS age_days FROM locations l LEFT JOIN raw_hourly r USING (location_id) GROUP BY l.location_id")
     return q
 
 

@@ -460,13 +460,15 @@ def d15_complete_locations(spark, sf_dir):
 
 @register("d16_run_suite")
 def d16_run_suite(spark, sf_dir):
+    from ..operators.filters import max_date
     from .layers import calendar
     m = _w(spark, sf_dir)
     tables = {"raw_daily": m.raw_daily, "raw_hourly": m.raw_hourly, "stg_daily": m.stg_daily,
               "stg_hourly": m.stg_hourly, "daily_enriched": m.enriched, "daily_facts": m.facts,
               "alerts": m.alerts, "hourly_facts": m.hourly_facts, "locations": m.locations,
               "calendar": calendar(_data_span_spine(spark, sf_dir))}
-    return Q.run_suite(tables)
+    singular = Q.singular_tests(m.facts, m.alerts, m.raw_daily, m.locations, max_date(m.facts), _as_of(m))
+    return Q.run_suite(tables, metrics=m.metrics(), singular=singular)
 
 
 # ── sources ──────────────────────────────────────────────────────────────────
@@ -609,20 +611,22 @@ def st1_stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).drop("part_date")
 
 
-def _land_raw_hourly(spark, sf_dir, parts: int = 3):
+def _land_raw_hourly(spark, sf_dir):
+    """Raw hourly rows as landed files, as many as there are tasks, and how many files make a third of them."""
     landing = _scratch(spark, "landing-parquet")
     raw = ST.select_raw_columns(_m(spark, sf_dir).raw_hourly, "hourly")
-    raw.withColumn("part_date", F.to_date("timestamp")).repartition(parts).write.parquet(landing)
-    return landing, raw.schema.add("part_date", "date")
+    raw.withColumn("part_date", F.to_date("timestamp")).write.parquet(landing)
+    n_files = len(spark.read.parquet(landing).inputFiles())
+    return landing, raw.schema.add("part_date", "date"), -(-n_files // 3)
 
 
 @register("st2_stream_upsert")
 def st2_stream_upsert(spark, sf_dir):
     """ST2: micro-batches upserted by key (latest extraction wins) == batch dedup."""
     from ..streaming.ingest import read_landing, stream_upsert
-    landing, schema = _land_raw_hourly(spark, sf_dir)
+    landing, schema, third = _land_raw_hourly(spark, sf_dir)
     target = _scratch(spark, "raw-hourly-upserted")
-    stream = read_landing(spark, landing, "parquet", schema, max_files_per_trigger=1)
+    stream = read_landing(spark, landing, "parquet", schema, max_files_per_trigger=third)
     q = stream_upsert(stream, target, ["location_id", "timestamp"], [F.col("_extracted_at").desc()],
                       _scratch(spark, "ckpt"))
     q.awaitTermination()
@@ -638,7 +642,7 @@ def st4_stream_dedup(spark, sf_dir):
     as late, by design.
     """
     from ..streaming.ingest import read_landing, stream_dedup
-    landing, schema = _land_raw_hourly(spark, sf_dir)
+    landing, schema, _ = _land_raw_hourly(spark, sf_dir)
     sink = _scratch(spark, "dedup")
     s = stream_dedup(read_landing(spark, landing, "parquet", schema), ["location_id", "timestamp"],
                      "timestamp", 4)
@@ -655,3 +659,6 @@ def f6_f7_conversions(spark, sf_dir):
     h = _w(spark, sf_dir).hourly_facts
     return h.select("location_id", "observed_at", SF.beaufort("wind_speed_kmh").alias("beaufort"),
                     SF.c_to_f("temperature_c").cast("double").alias("temperature_f"))
+
+
+from . import registry_stored  # noqa: E402, F401  (registers its queries)

@@ -16,8 +16,9 @@ from ..operators.dedup import latest_per_key
 
 
 def append_raw(df: DataFrame, path: str, partition_col: str = "date", truncate: bool = False) -> None:
-    """K1 (+K7 ``truncate``): typed append, partitioned by day."""
-    (df.write.mode("overwrite" if truncate else "append").partitionBy(partition_col).parquet(path))
+    """K1 (+K7 ``truncate``, which replaces the whole table, whatever partitions ``df`` holds): typed append, partitioned by day."""
+    (df.write.mode("overwrite" if truncate else "append").option("partitionOverwriteMode", "static")
+     .partitionBy(partition_col).parquet(path))
 
 
 def partition_column(df: DataFrame, grain: str | None, col: str) -> tuple[DataFrame, str]:
