@@ -3,8 +3,10 @@
 The page is parsed into a DOM without what is never text (scripts, styles, hidden
 parts, ...).  Elements that seldom hold article text (menus, headers, footers, sidebars,
 forms) and elements with a class, id or role that names such a part (adverts,
-notices, comments, ...; a whole class name, each of its parts such a word) are left out as
-well, but never one that holds an article, a main or the largest density sum of the page.
+notices, comments, ...; a whole class name, each of its parts such a word or a neutral one like ``area``) are left out
+before anything is measured, however long they are.  They stay only where the article would go with them:
+a header with a heading inside an ``article`` or ``main``; what holds the ``article``, or is a form, if the page has little text outside (a third for forms, else a tenth); and, on a
+page that has no other text, what holds the largest density sum.
 
 For every node: C characters, T tags, LC link characters, LT link tags of its
 subtree, and the composite density
@@ -13,12 +15,14 @@ subtree, and the composite density
 
 (counts below 1 are taken as 1; only the argument of the logarithm sees links,
 so without links the density is characters per tag, times a factor of 1 or more).  A node's density sum adds its
-children's densities (own text counts as one leaf child).  The node with the
-largest sum carries the main text; the smallest density on its path to the
+children's densities (own text counts as one leaf child).  The The node with the
+largest sum carries the main text (one in an ``article`` or ``main``, unless three times that sum lies outside); the
+smallest density on its path to the
 body is the threshold.  From the body down the path, every node beside the
 path whose density reaches the threshold belongs to the text as well.
-Departures: beside the path but inside an ``article`` or ``main`` that holds it,
-short blocks stay, too; lists mostly of links go below the threshold, wherever they are.
+Departures, so that no text of the article is lost: beside the path, but inside an ``article`` or ``main`` that holds it, all blocks
+stay; elsewhere blocks below the threshold stay if at most half of their text is links and they are headings or hold paragraphs or stand
+between blocks that stay.  Lists (and boxes without paragraphs) mostly of links go below the threshold, wherever they are.
 
 Text: character references decoded; white space inside a block becomes one
 space; blocks are trimmed and joined by one line break in page order, empty
@@ -55,6 +59,12 @@ PARTS = frozenset("ad ads advert adverts advertisement adsense banner promo prom
                   "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar widget widgets "
                   "share sharing social related recommended newsletter subscribe subscription signup login search "
                   "pagination pager skip toc".split())
+#: Words that may stand beside those of PARTS in a name.
+NEUTRAL = frozenset("area list section wrapper wrap container box block item items inner outer bar panel page site user reader top "
+                    "bottom left right global primary secondary thread form link links text".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p blockquote pre figcaption dd li td".split())
+LISTS = frozenset("ul ol dl menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: Elements that a new block closes, if open within the nearest scope.
@@ -81,6 +91,11 @@ class Node:
         self.density = 0.0
 
 
+def _names_a_part(name: str) -> bool:
+    words = [w for w in re.split("[_-]+", name) if w and not w.isdigit()]
+    return any(w in PARTS for w in words) and all(w in PARTS or w in NEUTRAL for w in words)
+
+
 def _is_noise(tag: str, attrs: str) -> tuple[bool, bool]:
     """Whether an element never holds text, and whether its name, class, id or role hints that it holds none."""
     if tag in SKIP and tag not in SOFT:
@@ -94,7 +109,7 @@ def _is_noise(tag: str, attrs: str) -> tuple[bool, bool]:
         if k == "hidden" or k == "aria-hidden" and v == "true":
             return True, False
         if k in ("class", "id"):
-            hint = hint or any(all(w in PARTS for w in re.split("[_-]+", name)) for name in v.split())
+            hint = hint or any(_names_a_part(name) for name in v.split())
         elif k == "role" and v in ROLES:
             hint = True
     return False, hint
@@ -226,9 +241,9 @@ def _own_text(x: Node) -> int:
     return sum(len(_SPACE.sub(" ", k).strip()) for k in x.kids if isinstance(k, str))
 
 
-def _best(nodes: list[Node]) -> Node:
-    """The node with the largest density sum."""
-    return max(nodes, key=lambda x: _own_text(x) + sum(k.density for k in x.kids if isinstance(k, Node) and not k.noise))
+def _sum(x: Node) -> float:
+    """Density sum: own text and the children's densities."""
+    return _own_text(x) + sum(k.density for k in x.kids if isinstance(k, Node) and not k.noise)
 
 
 def _up(x: Node | None) -> Iterator[Node]:
@@ -238,31 +253,94 @@ def _up(x: Node | None) -> Iterator[Node]:
         x = x.up
 
 
+def _in_article(x: Node) -> bool:
+    return any(y.tag in ("article", "main") for y in _up(x))
+
+
+def _follow_hints(root: Node, nodes: list[Node]) -> list[Node]:
+    """Make noise of what the hints name, but for what holds the article itself; the nodes left, measured."""
+    for x in nodes:  # a header of the article, not of the page
+        if x.tag in HEADINGS:
+            head = next((y for y in _up(x) if y.hint), None)
+            if head is not None and head.tag == "header" and _in_article(head) and not any(y.hint for y in _up(head.up)):
+                head.hint = False
+    holds = [x for x in nodes if x.tag in ("article", "main", "form") and any(y.hint for y in _up(x))
+             and not (x.tag != "form" and x.hint)]
+    best = max(nodes, key=_sum)
+    for x in nodes:
+        x.noise = x.hint
+    left = _measure(root)
+    if any(x.tag in ("article", "main") and x.chars for x in left):
+        return left
+    outside = root.chars
+    for x in holds:  # text inside, without the parts that hints name there
+        inner = [x.hint, x.noise]
+        x.hint = x.noise = False
+        _measure(x)
+        x.hint, x.noise = inner
+    # an article before a form, the largest first; most pages in a form are one form, other parts seldom hold the article
+    holds = [x for x in holds if x.chars > outside * (3 if all(y.tag == "form" for y in _up(x) if y.hint) else 10)]
+    inner = max(holds, key=lambda x: (x.tag != "form", x.chars), default=None if outside else best)
+    if inner is not None:
+        for x in _up(inner):
+            x.hint = x.noise = False
+    return _measure(root)
+
+
+def _stays(k: Node, between: bool) -> bool:
+    """Whether a block below the threshold may belong to the article."""
+    if not k.chars or 2 * k.link_chars > k.chars:
+        return False
+    stack = [k]
+    while stack and not between:
+        x = stack.pop()
+        between = x.tag in PROSE
+        stack += [y for y in x.kids if isinstance(y, Node) and not y.noise]
+    return between
+
+
+def _has(x: Node, tags: frozenset) -> bool:
+    stack = list(x.kids)
+    while stack:
+        k = stack.pop()
+        if isinstance(k, Node) and not k.noise:
+            if k.tag in tags:
+                return True
+            stack += k.kids
+    return False
+
+
+_P = frozenset(("p",))
+
+
 def main_text(page: str) -> str:
     """The main text of one page."""
     root = parse(page)
     nodes = _measure(root)
-    if any(x.hint for x in nodes):  # a hint is not followed around the text itself
-        holds = [x for x in nodes if x.tag in ("article", "main") and not x.hint]
-        for inner in [_best(nodes), *holds]:
-            for x in _up(inner):
-                x.hint = False
-        for x in nodes:
-            x.noise = x.hint
-        nodes = _measure(root)
+    if any(x.hint for x in nodes):
+        nodes = _follow_hints(root, nodes)
     if not root.chars:
         return ""
-    path = list(_up(_best(nodes)))
+    best = max(nodes, key=_sum)
+    if not _in_article(best):
+        inside = max((x for x in nodes if x.chars and _in_article(x)), key=_sum, default=None)
+        if inside is not None and best not in _up(inside) and _sum(best) < 3 * _sum(inside):
+            best = inside
+    path = list(_up(best))
     threshold = min(x.density for x in path)
     outer = max((i for i, x in enumerate(path) if x.tag in ("article", "main")), default=0)
     for i, (x, inner) in enumerate(zip(path[1:], path), 1):  # beside the path: what is as dense as the path stays
-        for k in x.kids if i > outer else ():
-            if isinstance(k, Node) and k is not inner and not k.noise and k.density < threshold and k.tag not in INLINE:
+        if i <= outer:
+            continue
+        blocks = [k for k in x.kids if isinstance(k, Node) and not k.noise and k.tag not in INLINE]
+        dense = [j for j, k in enumerate(blocks) if k is inner or k.density >= threshold]
+        for j, k in enumerate(blocks):
+            if k is not inner and k.density < threshold and not _stays(k, bool(dense) and dense[0] < j < dense[-1]):
                 k.noise = True
     around = set(map(id, path))
     for x in nodes:
-        if (x.link_tags > 1 and 2 * x.link_chars > x.chars and x.density < threshold and x.tag not in INLINE
-                and id(x) not in around):
+        if x.link_tags > 1 and 2 * x.link_chars > x.chars and x.density < threshold and id(x) not in around and (
+                x.tag in LISTS or x.tag in ("div", "section", "table") and not _has(x, _P)):
             x.noise = True
     return "\n".join(_blocks(root))
 
