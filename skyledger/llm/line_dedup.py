@@ -4,7 +4,7 @@ Normalised line: lower case, digits as ``0``, words of letters and digits joined
 by one space.  A line without words is never removed.
 
 1. One pass over the texts gives each line the 128-bit hash of its normalised
-   form and a 64-bit SimHash of its words and pairs of neighbouring words.  Documents, lines and a row id
+   form and a 64-bit SimHash of its words, weighted by their length.  Documents, lines and a row id
    are written once; all that follows reads that table.
 2. Equal normalised lines are one line (with map-side combining, so a line
    that a third of all documents share costs one row per task).
@@ -96,21 +96,37 @@ def _ones(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(lanes.view(np.uint8).reshape(-1, 64), first[:-1], axis=0, dtype=np.int64)
 
 
-def simhash_of_words(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of each run of word hashes: bits set in over half of its words and its pairs of neighbours.
+def simhash_of_words(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHash of each run of word hashes: bits set in over half of its words, a word of ``n`` bytes counting ``n * n / 16`` times.
 
-    The last word is paired with the line's end.  Words alone would not do:
-    lines of one language share their frequent words, whatever they say.
+    Long words tell lines apart, short ones are shared by all lines of a language.  A tie takes the
+    first word's bit: else lines of few words would have few bits set, and meet by chance.
     """
-    after = np.append(h[1:], np.uint64(0))
-    after[starts[1:] - 1] = 0
-    ones = _ones(h, starts) + _ones(_mix(h * _POWER + after), starts)
-    return np.packbits(ones > np.diff(starts)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    times = np.clip(sizes * sizes // 16, 1, 16)
+    ends = np.concatenate([[0], np.cumsum(times)])[starts]
+    ones = 2 * _ones(np.repeat(h, times), ends)
+    ones += np.unpackbits(h[starts[:-1]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.packbits(ones > np.diff(ends)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+# Scripts without spaces between words: Thai to Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]{2,}")
+
+
+def _pairs(run: re.Match) -> str:
+    s = run[0]
+    return " " + " ".join(s[i:i + 2] for i in range(len(s) - 1)) + " "
+
+
+def feature_words(norm: str) -> str:
+    """The words whose hashes make the SimHash: a run of characters of a script without spaces gives its pairs of neighbours."""
+    return " ".join(_UNSPACED.sub(_pairs, norm).split()) if _UNSPACED.search(norm) else norm
 
 
 def simhashes(lines: list[str]) -> np.ndarray:
     """SimHash of each normalised line (none is empty)."""
     out, i = [], 0
+    lines = [x if x.isascii() else feature_words(x) for x in lines]
     while i < len(lines):
         j, size = i, 0
         while j < len(lines) and size < _CHUNK:
@@ -120,7 +136,7 @@ def simhashes(lines: list[str]) -> np.ndarray:
         gap = np.flatnonzero((raw == 32) | (raw == 10))
         starts, ends = np.concatenate([[0], gap + 1]), np.concatenate([gap, [len(raw)]])
         line = np.concatenate([[0], np.flatnonzero(raw[gap] == 10) + 1, [len(starts)]])
-        out.append(simhash_of_words(word_hashes(raw, starts, ends), line))
+        out.append(simhash_of_words(word_hashes(raw, starts, ends), line, ends - starts))
         i = j
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 

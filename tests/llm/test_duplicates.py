@@ -216,9 +216,39 @@ def test_line_simhash_of_very_long_lines():
         at = [0] + [i + 1 for i, c in enumerate(raw) if c == 32]
         h = line_dedup.word_hashes(np.frombuffer(raw, np.uint8), np.array(at), np.array([a - 1 for a in at[1:]] + [len(raw)]))
         w = [int(x) for x in h]
-        pairs = [int(line_dedup._mix(np.array([(x * int(line_dedup._POWER) + y) % 2**64], np.uint64))[0])
-                 for x, y in zip(w, w[1:] + [0])]
-        assert got == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in w + pairs) > 2 * len(w))
+        times = [min(max(len(x) ** 2 // 16, 1), 16) for x in n.split()]
+        assert got == sum(1 << k for k in range(64)
+                          if 2 * sum(t * (x >> k & 1) for x, t in zip(w, times)) + (w[0] >> k & 1) > sum(times))
+
+
+def test_recall_of_planted_line_pairs():
+    """Share of planted pairs at edit similarity 0.8 or more that are within three bits: what the candidate search can find."""
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.choice([2, 3, 3, 4, 5, 6, 7, 9, 11])))
+    han = lambda: chr(rnd.randrange(0x4e00, 0x9fa5))
+    share = {}
+    for n in (15, 30, 60):
+        pairs = []
+        for _ in range(200):
+            x = [word() for _ in range(n)]
+            y = list(x)
+            y[rnd.randrange(n)] = word()
+            pairs.append((" ".join(x), " ".join(y)))
+        share[n] = near_share(pairs)
+    pairs = []
+    for _ in range(200):
+        x = [han() for _ in range(80)]
+        y = list(x)
+        y[rnd.randrange(80)] = han()
+        pairs.append(("".join(x), "".join(y)))
+    share["han"] = near_share(pairs)
+    assert share[15] >= 0.3 and share[30] >= 0.35 and share[60] >= 0.55 and share["han"] >= 0.3
+
+
+def near_share(pairs):
+    a, b = (line_dedup.simhashes([line_dedup.normalise(p[i]) for p in pairs]).tolist() for i in (0, 1))
+    return sum((x ^ y).bit_count() <= line_dedup.MAX_BITS for x, y in zip(a, b)) / len(pairs)
 
 
 def test_line_candidates_keep_every_near_pair(spark):
