@@ -50,7 +50,8 @@ from .suffix_array import suffix_array
 LENGTH = 200
 GRAM = 32
 MAX_GROUP = 4096          # distinct contexts of one gram sorted together
-BATCH_SYMBOLS = 150_000   # symbols of one suffix array, whole groups
+BATCH_SYMBOLS = 50_000    # symbols of one suffix array, whole groups
+SEEN = 50_000             # contexts a reading task remembers, to send each once
 SEGMENT = 1 << 20         # bytes hashed at once
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -177,6 +178,8 @@ def _context_bytes(table: DataFrame, length: int, wanted: np.ndarray, large: np.
         want, big = shared.value
         seen: set[tuple[int, int]] = set()
         for b in batches:
+            if len(seen) > SEEN:
+                seen.clear()  # a context sent twice is dropped where its group is gathered
             row, f = _items(b, 1)
             hit = np.flatnonzero(in_bitmap(want, f["gram"]) & (in_bitmap(big, f["gram"]) == of_large))
             buf, off = utf8_batch(b.column(0))
@@ -231,11 +234,11 @@ def repeated_windows(strings: list[bytes], anchors: list[int], length: int) -> n
         return marked
     data = np.concatenate([np.frombuffer(raw, np.uint8), np.zeros(length, np.uint8)])
     common = np.zeros(len(p), np.int64)  # common prefix with the suffix before
-    cols = np.arange(length)
+    windows = np.lib.stride_tricks.sliding_window_view(data, length)  # a view: rows are copied a thousand at a time
     near = np.flatnonzero(data[p[1:]] == data[p[:-1]]) + 1
-    for i in range(0, len(near), 20_000):
-        j = near[i:i + 20_000]
-        differs = data[p[j][:, None] + cols] != data[p[j - 1][:, None] + cols]
+    for i in range(0, len(near), 1000):
+        j = near[i:i + 1000]
+        differs = windows[p[j]] != windows[p[j - 1]]
         n = np.where(differs.any(axis=1), differs.argmax(axis=1), length)
         common[j] = np.minimum(n, np.minimum(rest[j], rest[j - 1]))
     long = common >= least
