@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -26,18 +28,38 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for made in _made:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files behind ``df`` (rows of ``materialise`` that nothing reads any more), wherever they lie."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+_made: list[list[str]] = []
+
+
+@contextmanager
+def intermediates() -> Iterator[list[str]]:
+    """The paths that ``materialise`` writes in the meantime."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield made
+    finally:
+        _made.remove(made)
+
+
+def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, wherever they lie; missing ones do not matter."""
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files behind ``df`` (rows of ``materialise`` that nothing reads any more)."""
+    delete_paths(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of finished phases now.
 
@@ -136,3 +158,20 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the 64-bit hashes may be in the bitmap."""
     low = hashes.view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def without(rows: DataFrame, gone: DataFrame, hashed: Column, on: Column) -> DataFrame:
+    """``rows`` without those that the condition ``on`` finds in ``gone``, whose column ``h`` holds their hash ``hashed``.
+
+    A bitmap of fixed size keeps the rows it does not know out of the join's shuffle: few texts travel if few rows go.
+    """
+    bitmap = rows.sparkSession.sparkContext.broadcast(hash_bitmap(gone, "h"))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64)))
+
+    flag = fresh(rows, "maybe_")
+    marked = rows.withColumn(flag, maybe(hashed))
+    kept = marked.where(F.col(flag)).drop(flag).join(gone.drop("h"), on, "left_anti")
+    return kept.unionByName(marked.where(~F.col(flag)).drop(flag))

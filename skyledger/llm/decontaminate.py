@@ -19,10 +19,10 @@ hash and the canonical window itself, so chance collisions do not count.
 
 Slots: windows that align a document with an item at one offset are taken
 together; with ``one_to_one=False`` those of offsets less than a window apart are, too, so a name of
-another length does not part them.  With ``one_to_one=False`` (the registered queries) each window is judged
-alone: it counts if every slot value of the item becomes one value in it, so
-windows with unchanged slots always count; two values may become one, and a value
-may become another one elsewhere.  With ``one_to_one`` the values of the whole alignment
+another length does not part them.  With ``one_to_one=False`` (the registered queries) the largest
+consistent set of windows counts: windows with unchanged slots always do; of the others those in which each value
+of the item becomes the value that it becomes in most of them (two values may become
+one).  With ``one_to_one`` the values of the whole alignment
 must map one to one (5 always becomes 7, and only 5 does), or none of its windows count.
 A pair is reported if at least ``min_windows`` counted windows match (all of the item's windows if it has fewer).
 
@@ -34,6 +34,7 @@ alike, once per distinct (id, text); clashing column names do not matter (id and
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, hash_bitmap, in_bitmap, texts_of
+from .common import fresh, hash_bitmap, in_bitmap, materialise, texts_of, without
 
 WINDOW, MIN_WORDS, MIN_WINDOWS = 8, 4, 5
 
@@ -273,6 +274,38 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, match: tuple
                               "canon string, slots array<string>")
 
 
+def consistent_windows(windows: list[list[tuple]]) -> list[list[tuple]]:
+    """The largest set of windows whose slots agree: unchanged ones, and changed ones that follow the most frequent new values.
+
+    A window is a list of (item's value, document's value) pairs.
+    """
+    changed = [w for w in windows if any(b != d for b, d in w)]
+    votes: dict[str, Counter] = {}
+    for w in changed:
+        for b, d in set(w):
+            votes.setdefault(b, Counter())[d] += 1
+    best = {b: min(c.items(), key=lambda x: (-x[1], str(x[0])))[0] for b, c in votes.items()}
+    return [w for w in windows if all(b == d for b, d in w) or all(best[b] == d for b, d in w)]
+
+
+def _consistent(aligned: DataFrame) -> DataFrame:
+    """``aligned`` (with the slots of its ``windows``) reduced to the consistent ones: ``n_windows, n_slots, reparameterised``."""
+    keep = ["doc_id", "text_hash", "item_id", "item_windows"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [consistent_windows([[(x["b"], x["d"]) for x in w] for w in ws]) for ws in b.column(len(keep)).to_pylist()]
+            pairs = [{p for w in ws for p in w} for ws in got]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:len(keep)], pa.array([len(ws) for ws in got], pa.int64()), pa.array([len(p) for p in pairs], pa.int64()),
+                 pa.array([any(x != y for x, y in p) for p in pairs], pa.bool_())],
+                [*keep, "n_windows", "n_slots", "reparameterised"])
+
+    rows = aligned.select(*keep, "windows")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, item_id long, item_windows int, "
+                                "n_windows long, n_slots long, reparameterised boolean")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                  min_words: int = MIN_WORDS, min_windows: int = MIN_WINDOWS, one_to_one: bool = True) -> DataFrame:
@@ -306,23 +339,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .agg(F.min(F.struct("template", "pairs"))["pairs"].alias("pairs")))
     # an alignment has at most the item's windows, so what it collects is bounded by the item's length
     aligned = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "item_windows", "shift").agg(
-        F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("m"))
+        F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("m"),
+        F.collect_list("pairs").alias("windows"))
     n = F.size("m")
     if one_to_one:
         aligned = aligned.where((F.size(F.array_distinct(F.transform("m", lambda x: x["b"]))) == n)
                                 & (F.size(F.array_distinct(F.transform("m", lambda x: x["d"]))) == n))
     need = F.least(F.lit(min_windows), F.col("item_windows"))
+    if one_to_one:
+        aligned = aligned.select("*", n.cast("long").alias("n_slots"),
+                                 F.exists("m", lambda x: ~x["b"].eqNullSafe(x["d"])).alias("reparameterised"))
+    else:
+        aligned = _consistent(aligned.where(F.col("n_windows") >= need))
     return (aligned.where(F.col("n_windows") >= need)
             .groupBy("doc_id", "text_hash", "item_id")
-            .agg(F.max(F.struct("n_windows", "item_windows", n.cast("long").alias("n_slots"),
-                                F.exists("m", lambda x: ~x["b"].eqNullSafe(x["d"])).alias("reparameterised"))).alias("x"))
+            .agg(F.max(F.struct("n_windows", "item_windows", "n_slots", "reparameterised")).alias("x"))
             .select("doc_id", "text_hash", "item_id", "x.*"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **params) -> DataFrame:
-    """``docs`` without the documents in which an item was found."""
-    i, h = fresh(docs, "bad_id"), fresh(docs, "bad_hash")
+    """``docs`` without the documents in which an item was found; texts that no item was found in are not shuffled."""
+    i, t = fresh(docs, "bad_id"), fresh(docs, "bad_hash")
     bad = contaminated(docs, benchmark, id_col, text_col, **params).select(
-        F.col("doc_id").alias(i), F.col("text_hash").alias(h)).distinct()
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(h)), "left_anti")
+        F.col("doc_id").alias(i), F.col("text_hash").alias(t), F.col("text_hash").alias("h")).distinct()
+    bad = materialise(bad, "contaminated")
+    on = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(t))
+    return without(docs, bad, F.xxhash64(text_col), on).select(*docs.columns)

@@ -12,8 +12,9 @@ At scale: keys are only counted per arc (shards x vnodes counters, whatever
 the data's size); the driver passes the counters' overflow clockwise, which gives at
 most ``shards * (vnodes + 1)`` intervals ``(arc, from rank, to rank) -> shard, first
 slot``.  Rows find their interval by their rank in the arc.  Ranks come from
-sub-cells of an arc: rows are salted by their physical place in the written
-intermediate, so a key that a third of all rows share still spreads over ``salts`` tasks.
+sub-cells of an arc, dealt by a hash of the whole row and ordered by place on the ring and that hash, so the same
+rows get the same shards and slots in every run, however they are stored.  Only rows that are equal in all columns tie; where very many are, they
+are spread over ``salts`` cells by place, which changes nothing that can be seen.
 
 Defined cases: a null key is a key like any other; repeated rows take slots of
 their own; an empty table gives an empty result; a null text counts 0 bytes.
@@ -65,23 +66,34 @@ def place(counts: list[int], owner: list[int], shards: int) -> list[tuple[int, i
     return out
 
 
-def assign(df: DataFrame, key_cols: list[str], shards: int = 40, vnodes: int = 100, salts: int = 16) -> DataFrame:
+def assign(df: DataFrame, key_cols: list[str], shards: int = 40, vnodes: int = 100, salts: int = 16,
+           hot_rows: int = 10_000) -> DataFrame:
     """``df`` (all columns) with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
-    ``df`` must not have columns of these names; ``key_cols`` decide the place on the ring.
+    ``df`` must not have columns of these names; ``key_cols`` decide the place on the ring.  Rows that are equal in all columns are ``hot``
+    if there are ``hot_rows`` of them or more, and then ranked in ``salts`` tasks.
     """
+    if {"shard", "slot"} & {c.lower() for c in df.columns}:
+        raise ValueError("the table has a column shard or slot already: rename it")
     spark = df.sparkSession
     points, owner = ring(shards, vnodes)
-    arc, pos, sub, rank = (fresh(df, x) for x in ("arc_", "pos_", "sub_", "rank_"))
+    arc, pos, sub, rank, same, place_ = (fresh(df, x) for x in ("arc_", "pos_", "sub_", "rank_", "same_", "place_"))
 
     @F.pandas_udf("int")
     def arc_of(h: pd.Series) -> pd.Series:
         return pd.Series((np.searchsorted(points, h.to_numpy(np.int64)) % len(points)).astype(np.int32))
 
-    rows = materialise(df.withColumn(pos, F.xxhash64(*key_cols)).withColumn(arc, arc_of(F.col(pos))), "shard-rows")
-    place_in_file = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-    rows = rows.select("*", F.pmod(F.xxhash64(pos, *place_in_file), F.lit(salts)).cast("int").alias(sub),
-                       place_in_file[0].alias(pos + "f"), place_in_file[1].alias(pos + "i"))
+    rows = materialise(df.select("*", F.xxhash64(*key_cols).alias(pos), F.xxhash64(*df.columns).alias(same),
+                                 F.monotonically_increasing_id().alias(place_)).withColumn(arc, arc_of(F.col(pos))), "shard-rows")
+    # equal rows stay together in one cell, whatever their place: which of them gets which slot does not matter
+    sub_of = F.pmod(F.col(same), F.lit(salts)).cast("long")
+    hot = materialise(rows.groupBy(arc, same).count().where(F.col("count") >= hot_rows).withColumn(
+        "at", F.row_number().over(Window.partitionBy(arc).orderBy(same))).select(F.col(same).alias("hot_"), "at"), "shard-hot")
+    if hot.isEmpty():
+        rows = rows.withColumn(sub, sub_of)
+    else:  # a cell group of its own for each, after the others
+        rows = rows.join(hot, F.col(same) == F.col("hot_"), "left").withColumn(
+            sub, F.coalesce(F.col("at") * salts + F.pmod(F.xxhash64(place_), F.lit(salts)), sub_of)).drop("hot_", "at")
     cells = rows.groupBy(arc, sub).agg(F.count("*").alias("n"))
     counts = [0] * len(points)
     for r in cells.groupBy(arc).agg(F.sum("n").alias("n")).collect():  # at most shards * vnodes rows
@@ -89,7 +101,7 @@ def assign(df: DataFrame, key_cols: list[str], shards: int = 40, vnodes: int = 1
     plan = spark.createDataFrame(place(counts, owner, shards) or [(0, 0, 0, 0, 0)],
                                  f"`{arc}` int, lo long, hi long, shard int, slot0 long")
     before = cells.select(arc, sub, (F.sum("n").over(Window.partitionBy(arc).orderBy(sub)) - F.col("n")).alias("base"))
-    w = Window.partitionBy(arc, sub).orderBy(pos, pos + "f", pos + "i")
+    w = Window.partitionBy(arc, sub).orderBy(pos, same, place_)
     ranked = (rows.withColumn(rank, F.row_number().over(w) - 1).join(before, [arc, sub])
               .withColumn(rank, F.col(rank) + F.col("base")))
     # bounded by shards * (vnodes + 1) rows, whatever the data's size

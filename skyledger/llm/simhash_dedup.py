@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, materialise, texts_of
+from .common import connected_components, fresh, materialise, texts_of, without
 
 SEED = 42
 _CHUNK = 1 << 16  # hashes whose bits are counted at once (64 bytes each)
@@ -107,21 +107,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: the smallest id (nulls last; then by the text's hash).
+    """``docs`` with one row of each component: the smallest id (nulls last; then by the text's hash, then by place).
 
-    Of rows with one fingerprint the map side already drops all but one per task
-    (``row_number() = 1`` becomes a window group limit before the shuffle), so
-    a hot group of copies never meets in one task.
+    Texts are written once and then only filtered.  What is ranked and joined are narrow rows: per fingerprint one candidate
+    (an aggregate with map-side combining, so a hot group of copies never meets in one task), per component one
+    of those; the rows that go are found by their row id.
     """
-    fp, rank, order = fresh(docs, "fp"), fresh(docs, "rn"), fresh(docs, "ord")
-    rows = materialise(with_fingerprints(docs, text_col, shingle, fp), "simhash-docs")
-    first = rows.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("least"))
+    fp, row = fresh(docs, "fp"), fresh(docs, "row_")
+    rows = materialise(with_fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), text_col, shingle, fp),
+                       "simhash-docs")
+    narrow = rows.select(F.col(fp).alias("fp"), F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"),
+                                                         F.xxhash64(text_col).alias("t"), F.col(row).alias("row")).alias("at"))
+    first = materialise(narrow.groupBy("fp").agg(F.min("at").alias("at")), "simhash-firsts")
     comps = connected_components(links(first, radius), "simhash")
-    # all but one fingerprint of each component lose: the one whose smallest id is smallest stays
-    best = first.join(comps, F.col("fp") == F.col("node")).select(
-        "fp", "comp", F.struct(F.col("least").isNull(), "least", "fp").alias("key"))
-    stays = best.groupBy("comp").agg(F.min("key").alias("win"))
-    losers = best.join(stays, "comp").where("key <> win").select(F.col("fp").alias("loser"))
-    w = Window.partitionBy(fp).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col))
-    one = rows.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1)
-    return one.join(losers, F.col(fp) == F.col("loser"), "left_anti").select(*docs.columns)
+    # one fingerprint of each component stays: the one whose first row comes first
+    named = first.join(comps, F.col("fp") == F.col("node"), "left").select(F.coalesce("comp", "fp").alias("comp"), "at")
+    stays = named.groupBy("comp").agg(F.min("at").alias("at")).select(F.col("at.row").alias("stay"))
+    gone = materialise(rows.select(F.col(row).alias("gone_row")).join(stays, F.col("gone_row") == F.col("stay"), "left_anti")
+                       .withColumn("h", F.xxhash64("gone_row")), "simhash-gone")
+    return without(rows, gone, F.xxhash64(row), F.col(row) == F.col("gone_row")).select(*docs.columns)

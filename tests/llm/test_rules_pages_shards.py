@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm import decontaminate, html_text, quality_rules, queries, sharding, simhash_dedup, url_filter
@@ -163,6 +164,11 @@ def test_decontamination_judges_slots_per_window(spark, docs):
     assert [r.doc_id for r in left.collect()] == [4]
 
 
+def test_consistent_windows_keep_the_largest_set():
+    w = [[("40", "7")], [("40", "7"), ("x", "y")], [("40", "9")], [("40", "40")], [], [("x", "z")]]
+    assert decontaminate.consistent_windows(w) == [w[0], w[1], w[3], w[4]]
+
+
 def test_decontamination_of_short_items_names_and_scripts_without_spaces(spark, docs):
     items = ["What is the capital of Peru?", "Is 7 > 5?", "12 + 30 = 42 and 7 * 6 = 42 .",
              "Anna has many old books. Bob reads them all. Carl buys ten more. Dora sells some now. Ed keeps one.",
@@ -205,6 +211,29 @@ def test_shards_are_even_and_stable(spark, docs):
     assert sharding.assign(df.where("false"), ["doc_id"]).count() == 0
 
 
+def test_shards_do_not_depend_on_where_rows_lie(spark, docs):
+    rows = [(k, f"t{k % 50}") for k in range(2000)] + [(None, "same")] * 900 + [(1, None)] * 3
+    df = docs(rows).select("doc_id", "text")
+    a, b, c = (Counter(map(tuple, sharding.assign(x, ["doc_id"], hot_rows=h).collect()))
+               for x, h in ((df, 100), (df.repartition(7, "text"), 100), (docs(rows[::-1]).select("doc_id", "text").coalesce(1), 100)))
+    assert a == b == c
+    assert sum(a.values()) == len(rows) and len({(r[2], r[3]) for r in a}) == len(rows)
+
+
+def test_keys_stay_with_the_owner_of_their_arc_until_it_is_full(spark, docs):
+    """Row by row against a walk of the ring."""
+    rows = [(k, "x") for k in range(1500)]
+    got = {r.doc_id: r.shard for r in sharding.assign(docs(rows), ["doc_id"], shards=7, vnodes=20).collect()}
+    at = {r.doc_id: r.h for r in docs(rows).select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    points, owner = sharding.ring(7, 20)
+    room = [1500 // 7 + (s < 1500 % 7) for s in range(7)]
+    homes = dict(zip(at, sharding.home_shards(list(at.values()), 7, 20)))
+    for s in range(7):  # a shard whose arcs ask for no more than its room keeps all of its keys
+        mine = [k for k, h in homes.items() if h == s]
+        assert sum(got[k] == s for k in mine) >= min(len(mine), 1) and (len(mine) > room[s] or all(got[k] == s for k in mine))
+    assert len(points) == len(owner) == 140
+
+
 def test_overflow_goes_clockwise():
     owner = [0, 1, 2, 0, 1, 2]
     plan = sharding.place([10, 0, 0, 0, 2, 0], owner, 3)
