@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import texts_of
 
 CACHE_PIECES = 400_000  # encoded pieces kept per worker (a cache: cleared when full)
-CACHE_PAIRS = 2_000_000
+CACHE_PAIRS = 500_000
 
 
 class _Pieces(dict):

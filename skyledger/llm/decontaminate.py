@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, hash_bitmap, in_bitmap, materialise, texts_of, without
+from .common import fresh, give_back, hash_bitmap, in_bitmap, materialise, texts_of, without
 
 WINDOW, MIN_WORDS, MIN_WINDOWS = 8, 4, 5
 
@@ -79,7 +79,7 @@ def _h(s: str) -> int:
 class Canon:
     """Canonical tokens of texts.  What a raw token is, is worked out once per worker; texts are arrays of codes."""
 
-    LIMIT = 600_000
+    LIMIT = 400_000
 
     def __init__(self) -> None:
         self._reset()
@@ -269,6 +269,8 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, match: tuple
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(),
                      pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+        del canon
+        give_back()
 
     return df.mapInArrow(run, f"`{key}` long, text_hash long, n int, pos int, size int, template int, hash long, "
                               "canon string, slots array<string>")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, hash_bitmap, in_bitmap, materialise, release_shuffles, texts_of
+from .common import connected_components, fresh, give_back, hash_bitmap, in_bitmap, materialise, release_shuffles, texts_of
 
 MIN_SIMILARITY = 0.8
 MAX_BITS = 3
@@ -219,6 +219,7 @@ def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
             items = pa.StructArray.from_arrays([pa.array(k), pa.array(x), pa.array(y), pa.array(fp)], ["k", "a", "b", "fp"])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(off), items)],
                                              [*b.schema.names, out])
+        give_back()
 
     return materialise(src.mapInArrow(run, schema), "lines")
 

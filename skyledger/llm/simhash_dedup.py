@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, materialise, texts_of, without
+from .common import connected_components, fresh, give_back, materialise, texts_of, without
 
 SEED = 42
 _CHUNK = 1 << 16  # hashes whose bits are counted at once (64 bytes each)
@@ -66,6 +66,7 @@ def with_fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, o
             col = b.column(b.schema.get_field_index(text_col))
             fp = np.fromiter((simhash(t, shingle) for t in texts_of(col)), np.uint64, len(col)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], [*b.schema.names, out])
+        give_back()
 
     return df.mapInArrow(run, schema)
 

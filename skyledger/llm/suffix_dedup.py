@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_bitmap, in_bitmap, materialise, release_shuffles, utf8_batch
+from .common import give_back, hash_bitmap, in_bitmap, materialise, release_shuffles, utf8_batch
 from .suffix_array import suffix_array
 
 LENGTH = 200
@@ -141,6 +141,7 @@ def _context_table(docs: DataFrame, length: int) -> DataFrame:
                 ["gram", "ctx", "lo", "k", "a"])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(cut), items)],
                                              [*b.schema.names, "c"])
+        give_back()
 
     return materialise(src.mapInArrow(run, schema), "contexts")
 
@@ -306,6 +307,7 @@ def _marks(rows: DataFrame, length: int) -> DataFrame:
             held += group.values()
         if held:
             yield judge(held)
+        give_back()
 
     return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, MARKS)
 
