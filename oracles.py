@@ -210,7 +210,7 @@ WMO_CASE = "CASE h.wmo_weather_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v
 
 HOURLY_FACTS = f"""
 hourly_facts AS (
-  SELECT {skey('h.location_id', 'h.observed_at')} AS surrogate_key, h.observed_at,
+  SELECT {skey('h.location_id', "CAST(h.observed_at AS VARCHAR) || '+00'")} AS surrogate_key, h.observed_at,
          CAST(h.observed_at AS DATE) AS date, hour(h.observed_at) AS hour, year(h.observed_at) AS year,
          month(h.observed_at) AS month, strftime(CAST(h.observed_at AS DATE), '%Y-%m') AS year_month,
          h.location_id, l.city_name, l.state_name, l.region, l.mesoregion, l.latitude, l.longitude,
@@ -601,6 +601,37 @@ def _dq() -> dict[str, str]:
     q["d15_complete_locations"] = with_(
         [RAW_HOURLY], "SELECT COUNT(DISTINCT location_id) AS municipios_completos FROM raw_hourly WHERE location_id IN "
                       "(SELECT location_id FROM raw_hourly GROUP BY location_id HAVING COUNT(*) >= 20016)")
+    q["d2_unique_extraction"] = with_(
+        [RAW_DAILY], "SELECT _extracted_at, COUNT(*) AS n_records FROM raw_daily WHERE _extracted_at IS NOT NULL "
+                     "GROUP BY _extracted_at HAVING COUNT(*) > 1")
+    q["d6_narrow_day"] = with_(
+        D, "SELECT location_id, date, CAST(temp_min_c AS DOUBLE) AS temp_min_c, CAST(temp_max_c AS DOUBLE) AS temp_max_c "
+           "FROM facts WHERE temp_min_c + 5 > temp_max_c")
+    week_age = hours_diff(ASOF, "max(r._extracted_at)")
+    q["d8_location_freshness_week"] = with_(
+        [LOCATIONS, RAW_DAILY],
+        f"SELECT e.location_id, max(r._extracted_at) AS latest_extracted_at, {week_age} AS age_hours, "
+        "CASE WHEN count(r._extracted_at) = 0 THEN 'never_loaded' ELSE 'stale' END AS status FROM locations e "
+        "LEFT JOIN raw_daily r ON r.location_id = e.location_id AND r.date > (SELECT max(date) FROM raw_daily) - 7 "
+        f"GROUP BY e.location_id HAVING count(r._extracted_at) = 0 OR {week_age} > 5")
+    q["d9_relationship_region"] = with_(
+        ALERT_CHAIN, "SELECT a.location_id, a.date, a.alert_type FROM alerts a LEFT JOIN (SELECT location_id AS asia FROM "
+                     "locations WHERE mesoregion = 'ASIA') l ON l.asia = a.location_id WHERE l.asia IS NULL")
+    q["j5_members_region"] = with_(
+        [LOCATIONS, RAW_HOURLY, STG_HOURLY],
+        "SELECT h.location_id, h.observed_at FROM stg_hourly h JOIN locations l ON l.location_id = h.location_id "
+        "WHERE l.mesoregion = 'ASIA'")
+    q["d10_source_freshness_late"] = with_(
+        [RAW_DAILY], "SELECT max_loaded_at, CAST(h AS BIGINT) AS age_hours, CASE WHEN h > 49 THEN 'error' WHEN h > 25 THEN 'warn' "
+                     "ELSE 'pass' END AS status FROM (SELECT max(_extracted_at) AS max_loaded_at FROM raw_daily) m, "
+                     "(SELECT unnest([25, 30, 60]) AS h) a")
+    q["d11_recent_load_late"] = with_(
+        [RAW_DAILY], "SELECT (SELECT COUNT(*) FROM raw_daily WHERE h = 0 AND _extracted_at >= max_loaded_at - INTERVAL 1 HOUR) "
+                     "AS recent_rows, max_loaded_at, CASE WHEN h = 0 THEN 'pass' ELSE 'fail' END AS status "
+                     "FROM (SELECT max(_extracted_at) AS max_loaded_at FROM raw_daily) m, (SELECT unnest([0, 8]) AS h) a")
+    q["d15_complete_locations_daily"] = with_(
+        [RAW_DAILY], "SELECT COUNT(*) AS municipios_completos FROM (SELECT location_id FROM raw_daily "
+                     "GROUP BY location_id HAVING COUNT(*) >= 600) x")
     present = {
         "raw_daily": "raw_daily", "raw_hourly": "raw_hourly", "stg_daily": "stg_daily", "stg_hourly": "stg_hourly",
         "daily_enriched": "enriched", "daily_facts": "facts", "alerts": "alerts", "hourly_facts": "hourly_facts",
@@ -824,6 +855,13 @@ FROM raw_daily GROUP BY location_id""")
 # Date / timestamp output columns per query (from the Spark schemas); at the driver boundary
 # both engines hand them over as ISO text: dates 'YYYY-MM-DD', timestamps 'YYYY-MM-DD HH:MM:SS'.
 TEMPORAL: dict[str, tuple[list[str], list[str]]] = {
+    'd2_unique_extraction': ([], ['_extracted_at']),
+    'd6_narrow_day': (['date'], []),
+    'd8_location_freshness_week': ([], ['latest_extracted_at']),
+    'd9_relationship_region': (['date'], []),
+    'j5_members_region': ([], ['observed_at']),
+    'd10_source_freshness_late': ([], ['max_loaded_at']),
+    'd11_recent_load_late': ([], ['max_loaded_at']),
     't1_stg_daily': (['date'], ['sunrise_at', 'sunset_at', '_extracted_at']),
     't3_daily_enriched': (['date'], []),
     't3_daily_enriched_split': (['date'], []),

@@ -14,3 +14,8 @@ def surrogate_key(*cols) -> Column:
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_PLACEHOLDER))
              for c in cols]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def instant_text(c) -> Column:
+    """An instant as key text: ``YYYY-MM-DD HH:MM:SS+00`` (the session's zone is UTC)."""
+    return F.concat((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("+00"))

@@ -21,7 +21,7 @@ def _numeric_mean(units: Column, n: Column) -> Column:
     return (F.round(q, 0).cast(T.DecimalType(18, 0)) * F.lit(Decimal("0.000000001"))).cast(NUMERIC)
 
 
-def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location_id",
+def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str | Sequence[str] = "location_id",
                  order: str = "date", rows: int = 30) -> DataFrame:
     """Mean of the current and ``rows - 1`` preceding rows per partition.
 
@@ -40,8 +40,8 @@ def rolling_mean(df: DataFrame, cols: dict[str, str], partition: str = "location
     its size is bounded by the covered period, not by the data volume, and
     every metric shares one sort.
     """
-    run = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = Window.partitionBy(partition).orderBy(order)
+    ordered = Window.partitionBy(*([partition] if isinstance(partition, str) else partition)).orderBy(order)
+    run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tmp = {}
     for out, src in cols.items():
         # exact fixed-point units of 1e-9 (NUMERIC scale) in a long: running sums stay
@@ -77,48 +77,26 @@ def rolling_mean_split(df: DataFrame, cols: dict[str, str], partition: str = "lo
                        order: str = "date", rows: int = 30, block=None) -> DataFrame:
     """W3/W4 for series too long for one task per key: the same result as ``rolling_mean``.
 
-    Each key is cut into blocks (default: calendar year of ``order``); every
-    window runs per (key, block), bounded by the block length.  Block totals
-    (one row per key and block) give each row its global running sums and row
-    index; the sums ``rows`` positions back come from an equi-join on
-    (key, row index), which hash-spreads even a single hot key over all tasks.
-    All sums are exact fixed-point longs, so the means equal the frame average.
+    Each key is cut into blocks (default: calendar year of ``order``).  The last
+    ``rows - 1`` rows of a block are handed on to the blocks after it, as far as
+    they reach (past sparse blocks, too), and ``rolling_mean`` runs per
+    (key, block), so a hot key is spread over all tasks and no row is joined
+    with another.  How far a row reaches follows from the row counts per key
+    and block; they come from a second, column-pruned read of ``df`` and share
+    the partitioning of the first window.  ``partition`` and ``order`` are not NULL, as in
+    the staging tables; rows where they are stay, averaged in their own block only.
     """
-    blk = (block or F.year)(F.col(order))
-    d = df.withColumn("_blk", blk)
-    w_in = Window.partitionBy(partition, "_blk").orderBy(order)
-    run_in = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    extra = [F.row_number().over(w_in).alias("_rn")]
-    units = {}
-    for out, src in cols.items():
-        units[out] = (F.col(src).cast(NUMERIC) * F.lit(UNIT)).cast("bigint")
-        extra += [F.coalesce(F.sum(units[out]).over(run_in), F.lit(0)).alias(f"_si_{out}"),
-                  F.count(src).over(run_in).alias(f"_ni_{out}")]
-    # read three times below (totals, offsets join, index self-join): written once to the
-    # shared checkpoint folder instead of recomputing the upstream chain per branch
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    d = d.select("*", *extra).checkpoint(eager=True)
-    tot = d.groupBy(partition, "_blk").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.coalesce(F.sum(units[o]), F.lit(0)).alias(f"_S_{o}") for o in cols],
-        *[F.count(cols[o]).alias(f"_N_{o}") for o in cols])
-    before = Window.partitionBy(partition).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(partition, "_blk",
-                      F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_r0"),
-                      *[F.coalesce(F.sum(f"_S_{o}").over(before), F.lit(0)).alias(f"_S0_{o}") for o in cols],
-                      *[F.coalesce(F.sum(f"_N_{o}").over(before), F.lit(0)).alias(f"_N0_{o}") for o in cols])
-    g = d.join(offs, [partition, "_blk"]).select(
-        "*", (F.col("_r0") + F.col("_rn")).alias("_idx"),
-        *[(F.col(f"_S0_{o}") + F.col(f"_si_{o}")).alias(f"_S_{o}") for o in cols],
-        *[(F.col(f"_N0_{o}") + F.col(f"_ni_{o}")).alias(f"_N_{o}") for o in cols])
-    back = g.select(partition, (F.col("_idx") + rows).alias("_idx"),
-                    *[F.col(f"_S_{o}").alias(f"_Sb_{o}") for o in cols],
-                    *[F.col(f"_N_{o}").alias(f"_Nb_{o}") for o in cols])
-    j = g.join(back, [partition, "_idx"], "left")
-    outs = []
-    for o in cols:
-        ds = F.col(f"_S_{o}") - F.coalesce(F.col(f"_Sb_{o}"), F.lit(0))
-        dn = F.col(f"_N_{o}") - F.coalesce(F.col(f"_Nb_{o}"), F.lit(0))
-        outs.append(_numeric_mean(ds, dn).alias(o))
-    return j.select(*df.columns, *outs)
+    d = df.withColumn("_blk", (block or F.year)(F.col(order)))
+    blocks = Window.partitionBy(partition).orderBy("_blk")
+    counts = (d.groupBy(partition, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_upto", F.sum("_n").over(blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    # a block holds a row at least, so no row reaches further than rows - 1 blocks
+    later = F.struct(F.col("_blk").alias("to"), (F.col("_upto") - F.col("_n")).alias("before"))
+    reach = counts.select(partition, "_blk", "_upto", F.collect_list(later).over(blocks.rowsBetween(1, rows - 1)).alias("_later"))
+    from_end = Window.partitionBy(partition, "_blk").orderBy(F.col(order).desc())
+    j = d.withColumn("_end", F.row_number().over(from_end)).join(reach, [partition, "_blk"], "left")
+    halo = F.filter("_later", lambda b: b["before"] - F.col("_upto") + F.col("_end") < rows)
+    to = F.concat(F.array("_blk"), F.coalesce(F.transform(halo, lambda b: b["to"]), F.slice(F.array("_blk"), 1, 0)))
+    handed = j.select(*df.columns, "_blk", F.explode(to).alias("_to"))
+    rolled = rolling_mean(handed, cols, [partition, "_to"], order, rows)
+    return rolled.filter(F.col("_blk").eqNullSafe(F.col("_to"))).select(*df.columns, *cols)

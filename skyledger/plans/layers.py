@@ -149,7 +149,7 @@ def hourly_facts(stg: DataFrame, locations: DataFrame, updated_at: bool = True)
     j = dim_join(stg, dim, "location_id", "left")
     ts = F.col("observed_at")
     cols = [
-        SF.surrogate_key("location_id", "observed_at").alias("surrogate_key"),
+        SF.surrogate_key("location_id", SF.instant_text("observed_at")).alias("surrogate_key"),
         "observed_at",
         F.to_date(ts).alias("date"),
         F.hour(ts).cast("bigint").alias("hour"),

@@ -458,6 +458,69 @@ def d15_complete_locations(spark, sf_dir):
     return Q.complete_locations(_m(spark, sf_dir).raw_hourly, 20016)
 
 
+def _hours(n: int):
+    return F.make_dt_interval(F.lit(0), F.lit(n))
+
+
+@register("d2_unique_extraction")
+def d2_unique_extraction(spark, sf_dir):
+    """D2 where it fails: extraction instants shared by several raw rows."""
+    return Q.unique(_m(spark, sf_dir).raw_daily, "_extracted_at")
+
+
+@register("d6_narrow_day")
+def d6_narrow_day(spark, sf_dir):
+    """D6 with failing and passing rows: days whose span is under five degrees."""
+    f = Q.expression(_w(spark, sf_dir).facts, F.col("temp_min_c") + 5 > F.col("temp_max_c"))
+    return to_double(f.select("location_id", "date", "temp_min_c", "temp_max_c"))
+
+
+@register("d8_location_freshness_week")
+def d8_location_freshness_week(spark, sf_dir):
+    """D8/J4 on the table's last seven days: locations without a row, stale and fresh ones."""
+    from ..operators.filters import max_date
+    m = _m(spark, sf_dir)
+    week = m.raw_daily.filter(F.col("date") > F.date_sub(max_date(m.raw_daily), 7))
+    return Q.location_freshness(m.locations, week, _as_of(m), 5)
+
+
+@register("d9_relationship_region")
+def d9_relationship_region(spark, sf_dir):
+    """D9 against the locations of one region: alerts of the others fail."""
+    m = _w(spark, sf_dir)
+    parent = m.locations.filter(F.col("mesoregion") == MESO)
+    return Q.relationship(m.alerts, parent).select("location_id", "date", "alert_type")
+
+
+@register("j5_members_region")
+def j5_members_region(spark, sf_dir):
+    """Hourly observations of one region's locations."""
+    from ..operators.joins import members
+    m = _m(spark, sf_dir)
+    return members(m.stg_hourly, m.locations.filter(F.col("mesoregion") == MESO)).select("location_id", "observed_at")
+
+
+@register("d10_source_freshness_late")
+def d10_source_freshness_late(spark, sf_dir):
+    """D10 asked 25, 30 and 60 hours after the newest load: pass at the threshold, warn, error."""
+    m = _m(spark, sf_dir)
+    at = [Q.source_freshness(m.raw_daily, _as_of(m) + _hours(h), 25, 49) for h in (25, 30, 60)]
+    return at[0].unionByName(at[1]).unionByName(at[2])
+
+
+@register("d11_recent_load_late")
+def d11_recent_load_late(spark, sf_dir):
+    """D11 for the hour before the newest load (a part of the rows) and asked eight hours after it (none)."""
+    m = _m(spark, sf_dir)
+    return Q.recent_load(m.raw_daily, _as_of(m), 1).unionByName(Q.recent_load(m.raw_daily, _as_of(m) + _hours(8), 7))
+
+
+@register("d15_complete_locations_daily")
+def d15_complete_locations_daily(spark, sf_dir):
+    """D15 where about half of the locations are complete."""
+    return Q.complete_locations(_m(spark, sf_dir).raw_daily, 600)
+
+
 @register("d16_run_suite")
 def d16_run_suite(spark, sf_dir):
     from ..operators.filters import max_date

@@ -85,6 +85,8 @@ def test_surrogate_key_and_rounding(spark):
     got = [r[0] for r in df.select(SF.surrogate_key("a", "d")).collect()]
     assert got[0] == hashlib.md5(b"1-2024-01-01").hexdigest()
     assert got[1] == hashlib.md5(b"_dbt_utils_surrogate_key_null_-2024-01-01").hexdigest()
+    at = spark.createDataFrame([("1", dt.datetime(2024, 1, 1, 5))], "a string, t timestamp")
+    assert at.select(SF.surrogate_key("a", SF.instant_text("t"))).first()[0] == hashlib.md5(b"1-2024-01-01 05:00:00+00").hexdigest()
     r = spark.createDataFrame([(2.25,), (-2.25,), (0.15,)], "x double")
     assert [v[0] for v in r.select(SF.round_half_up("x", 1)).collect()] == [2.3, -2.3, 0.2]
     assert [v[0] for v in r.select(SF.round_half_even("x", 1)).collect()] == [2.2, -2.2, 0.2]

@@ -129,6 +129,27 @@ def test_rolling_mean_split_equals_single_partition(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+def test_rolling_mean_split_hot_and_sparse_series(spark):
+    """A hot key of 40 years, and keys whose blocks hold fewer rows than the frame reaches back; one join."""
+    from decimal import Decimal
+
+    from skyledger.operators.windows import rolling_mean_split
+    rng = random.Random(8)
+    start = dt.date(1980, 1, 1)
+    rows = [("hot", start + dt.timedelta(i), Decimal(rng.randint(-300, 600)) / 20) for i in range(40 * 365)]
+    for k in range(3):
+        rows += [(f"sparse{k}", start + dt.timedelta(i), None if rng.random() < 0.1 else Decimal(rng.randint(-300, 600)) / 20)
+                 for i in sorted(rng.sample(range(40 * 365), 60 + 100 * k))]
+    df = spark.createDataFrame(rows, "location_id string, date date, v decimal(18,9)")
+    plain = rolling_mean(df, {"m": "v"})
+    for block in (F.year, lambda c: F.date_trunc("month", c)):
+        split = rolling_mean_split(df, {"m": "v"}, block=block)
+        assert split.columns == plain.columns and sorted(map(tuple, split.collect()), key=str) == sorted(
+            map(tuple, plain.collect()), key=str)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1   # the row counts only
+
+
 def test_anomaly_rounds_in_decimal(spark):
     """Means to nine places and anomalies to two, both half away from zero, on values with decimals."""
     import random
