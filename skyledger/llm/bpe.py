@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import give_back, texts_of
 
 CACHE_PIECES = 400_000  # encoded pieces kept per worker (a cache: cleared when full)
 CACHE_PAIRS = 500_000
@@ -164,6 +164,12 @@ class Bpe:
                 at -= size[tok]
                 tok = shorter[tok]
 
+    def forget(self) -> None:
+        """Drop the caches: a worker lives on after a task, and the next stage's tasks need its memory."""
+        self.pieces.clear()
+        self.pairs.clear()
+        give_back()
+
     def encode_packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
@@ -186,12 +192,13 @@ def _map(df: DataFrame, text_col: str, schema: str, make) -> DataFrame:
     keep = [c for c in df.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make_row, names, types = make()
+        bpe, make_row, names, types = make()
         for b in batches:
             rows = [make_row(t) for t in texts_of(b.column(b.schema.get_field_index(text_col)))]
             cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), *cols],
                                              [*keep, *names])
+        bpe.forget()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
     return df.mapInArrow(run, f"{kept}, {schema}" if kept else schema)
@@ -201,7 +208,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", out:
     """``df`` with ``text_col`` replaced by its token ids (``array<int>`` in column ``out``, a new name)."""
     def make():
         bpe = load(path, pattern)
-        return (lambda t: [bpe.encode(t.decode("utf-8", "replace"))]), [out], [pa.list_(pa.int32())]
+        return bpe, (lambda t: [bpe.encode(t.decode("utf-8", "replace"))]), [out], [pa.list_(pa.int32())]
 
     return _map(df.withColumn(text_col, F.col(text_col).cast("binary")), text_col, f"`{out}` array<int>", make)
 
@@ -236,7 +243,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
             back = bpe.decode(np.frombuffer(packed, "<u4").tolist())
             return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest()
 
-        return row, ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()]
+        return bpe, row, ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()]
 
     return _map(df.withColumn(text_col, F.col(text_col).cast("binary")), text_col,
                 "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
