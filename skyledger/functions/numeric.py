@@ -23,12 +23,6 @@ def mean(x) -> Column:
     return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
 
 
-def windowed_mean(x, w) -> Column:
-    """Same as ``mean`` over a window specification."""
-    x = _c(x)
-    return F.try_divide(F.sum(x).over(w).cast("double"), F.count(x).over(w).cast("double"))
-
-
 def round_half_up(x, n: int = 0) -> Column:
     """ROUND half away from zero on a double: sign * floor(|x| * 10^n + 0.5) / 10^n."""
     x = _c(x).cast("double")

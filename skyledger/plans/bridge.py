@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import dim_join
+from ..session import session_key
 
 # Parameters used by the registered queries (present at every test scale).
 CITY = "Supplier#000000001"
@@ -53,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     from pyspark import StorageLevel
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (*session_key(spark), path)
     if key not in _tables:
         df = spark.read.parquet(path)
         if name in FACT_TABLES:

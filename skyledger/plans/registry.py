@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import to_double
+from ..session import session_key
 from . import reports as R
 from .bridge import CITY, MESO
 from .marts import from_test_tables
@@ -38,7 +39,7 @@ def _m(spark, sf_dir):
     DataFrames are immutable plans, so one composed chain per session and input
     directory is reused by every query (plan construction is paid once).
     """
-    k = (id(spark), sf_dir)
+    k = (*session_key(spark), sf_dir)
     if k not in _chains:
         _chains[k] = from_test_tables(spark, sf_dir, stamps=False)
     return _chains[k]

@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.quality import observe
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 from ..sinks.stored import _read_text, _write_text, exists
 from ..sinks.tables import write_partitioned
 from . import layers
@@ -130,11 +130,7 @@ _stores: dict[tuple, StoredMarts] = {}
 def stored(spark: SparkSession, marts: Marts, key: str, inputs: list[str]) -> StoredMarts:
     """The materialised marts for ``marts``; built on first use per session and input."""
     fp = input_fingerprint(inputs)
-    k = (id(spark), key, fp)
+    k = (*session_key(spark), key, fp)
     if k not in _stores:
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # noqa: BLE001
-            app = "session"
-        _stores[k] = StoredMarts(spark, marts, scratch_path(spark, f"marts-{app}-{key}-{fp}"))
+        _stores[k] = StoredMarts(spark, marts, scratch_path(spark, f"marts-{'-'.join(session_key(spark))}-{key}-{fp}"))
     return _stores[k]

@@ -60,6 +60,14 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+def session_key(spark: SparkSession) -> tuple[str, str]:
+    """What names a session for good: an object's address may be taken again by a later session."""
+    try:
+        return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
+    except Exception:  # noqa: BLE001  (remote session)
+        return "session", str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, staged tables and streaming checkpoints.
 
