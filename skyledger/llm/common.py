@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -173,17 +173,23 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def without(rows: DataFrame, gone: DataFrame, hashed: Column, on: Column) -> DataFrame:
-    """``rows`` without those that the condition ``on`` finds in ``gone``, whose column ``h`` holds their hash ``hashed``.
-
-    A bitmap of fixed size keeps the rows it does not know out of the join's shuffle: few texts travel if few rows go.
-    """
-    bitmap = rows.sparkSession.sparkContext.broadcast(hash_bitmap(gone, "h"))
+def maybe_among(few: DataFrame, col: str) -> Callable[..., Column]:
+    """A test of hashes against a bitmap of those in ``few[col]``: true for all of them, and for some others by chance."""
+    bitmap = few.sparkSession.sparkContext.broadcast(hash_bitmap(few, col))
 
     @F.pandas_udf("boolean")
     def maybe(h: pd.Series) -> pd.Series:
         return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64)))
 
+    return maybe
+
+
+def without(rows: DataFrame, gone: DataFrame, hashed: Column, on: Column) -> DataFrame:
+    """``rows`` without those that the condition ``on`` finds in ``gone``, whose column ``h`` holds their hash ``hashed``.
+
+    A bitmap of fixed size keeps the rows it does not know out of the join's shuffle: few texts travel if few rows go.
+    """
+    maybe = maybe_among(gone, "h")
     flag = fresh(rows, "maybe_")
     marked = rows.withColumn(flag, maybe(hashed))
     kept = marked.where(F.col(flag)).drop(flag).join(gone.drop("h"), on, "left_anti")

@@ -12,7 +12,8 @@ by one space.  A line without words is never removed.
    two blocks at least, so distinct lines meet under the ten pairs of blocks (25
    or 26 bits each).  In each bucket every member is first compared with the smallest one (a
    star, linear in the bucket); then members that are still in different groups
-   are compared with each other, so no link between different lines is lost.
+   are compared with each other, so no link between different lines is lost.  Two lines that share several
+   buckets are a pair of one of them only.
 4. Pairs within three bits are verified: edit similarity (1 - distance / longer
    length, code points of the normalised lines) of ``min_similarity`` or more.
 5. Connected groups of verified pairs; the first occurrence of each group (by document id, nulls
@@ -30,14 +31,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, give_back, hash_bitmap, in_bitmap, materialise, release_shuffles, texts_of
+from .common import connected_components, fresh, give_back, hash_bitmap, in_bitmap, materialise, maybe_among, release_shuffles, texts_of
 
 MIN_SIMILARITY = 0.8
 MAX_BITS = 3
@@ -46,7 +46,8 @@ _KEY_BITS = 26  # of two blocks together, at most
 _WORD = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
 _CHUNK = 1 << 17  # bytes of normalised lines hashed at once
-_LANE = 255       # words whose bits fit into one byte per bit
+_HEAVY = 16       # weight of a word, at most
+_LANE = 255 // _HEAVY  # words whose weighted bits fit into one byte per bit
 
 _POWER = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
@@ -54,7 +55,13 @@ _INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+# ASCII as normalised: digits are zero, all but letters, digits and line ends is space
+_ASCII = bytes(10 if c == 10 else 48 if 48 <= c <= 57 else ord(chr(c).lower()) if c < 128 and chr(c).isalpha() else 32 for c in range(256))
+
+
 def normalise(line: str) -> str:
+    if line.isascii():
+        return " ".join(line.encode().translate(_ASCII).decode().split())
     norm = " ".join(_WORD.findall(line.lower()))
     return _DIGIT.sub("0", norm) if _DIGIT.search(norm) else norm
 
@@ -86,13 +93,13 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return _mix((sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts])
 
 
-def _ones(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """How often each of 64 bits is set in each run of hashes ``h[starts[i]:starts[i + 1]]`` (no run is empty)."""
-    # bits are added eight at a time, a byte each, so runs are cut to 255 hashes first
+def _ones(h: np.ndarray, times: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How often each of 64 bits is set in each run of hashes ``h[starts[i]:starts[i + 1]]`` (no run is empty), a hash counting ``times``."""
+    # bits are added eight at a time, a byte each, so runs are cut first to as many hashes as a byte can hold
     pieces = -(-np.diff(starts) // _LANE)
     first = np.concatenate([[0], np.cumsum(pieces)])
     cut = np.repeat(starts[:-1], pieces) + _LANE * (np.arange(first[-1]) - np.repeat(first[:-1], pieces))
-    lanes = np.add.reduceat(_SPREAD[h.view(np.uint8).reshape(-1, 8)], cut, axis=0)
+    lanes = np.add.reduceat(_SPREAD[h.view(np.uint8).reshape(-1, 8)] * times.astype(np.uint64)[:, None], cut, axis=0)
     return np.add.reduceat(lanes.view(np.uint8).reshape(-1, 64), first[:-1], axis=0, dtype=np.int64)
 
 
@@ -102,11 +109,10 @@ def simhash_of_words(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
     Long words tell lines apart, short ones are shared by all lines of a language.  A tie takes the
     first word's bit: else lines of few words would have few bits set, and meet by chance.
     """
-    times = np.clip(sizes * sizes // 16, 1, 16)
-    ends = np.concatenate([[0], np.cumsum(times)])[starts]
-    ones = 2 * _ones(np.repeat(h, times), ends)
+    times = np.clip(sizes * sizes // 16, 1, _HEAVY)
+    ones = 2 * _ones(h, times, starts)
     ones += np.unpackbits(h[starts[:-1]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(ones > np.diff(ends)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    return np.packbits(ones > np.add.reduceat(times, starts[:-1])[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 # Scripts without spaces between words: Thai to Myanmar, Khmer, kana, Han.
@@ -146,8 +152,11 @@ def line_hashes(texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray,
     counts, numbers, digests, norms = [], [], [], []
     for raw in texts:
         n = len(norms)
-        for k, line in enumerate(raw.decode("utf-8", "replace").lower().split("\n")):
-            norm = normalise(line)
+        if raw.isascii():
+            lines = [" ".join(x.split()) for x in raw.translate(_ASCII).decode().split("\n")]
+        else:
+            lines = map(normalise, raw.decode("utf-8", "replace").split("\n"))
+        for k, norm in enumerate(lines):
             if norm:
                 digests.append(xxhash.xxh128_digest(norm))
                 numbers.append(k)
@@ -339,34 +348,51 @@ def _texts(rows: DataFrame, text_col: str, out: str, want: DataFrame) -> DataFra
                        .select("id", "norm"), "line-texts")
 
 
+def _first_key(p: str, q: str) -> Column:
+    """The first pair of blocks on which two fingerprints agree: of the buckets they share, the one that gives the pair."""
+    differ = F.col(p).bitwiseXOR(F.col(q))
+    first = F
+    for t, pair in enumerate(combinations(_BLOCKS, 2)):
+        mask = sum(((1 << width) - 1) << start for start, width in pair)
+        agree = differ.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)) == 0
+        first = first.when(agree, t)
+    return first
+
+
+def _open_pairs(open_: DataFrame, max_bits: int) -> DataFrame:
+    """``x, y`` of near lines of different ``comp``: each pair from one of the buckets it shares, or from none if it is of that one's star."""
+    p = open_.select("key", "least", F.col("id").alias("x"), F.col("fp").alias("fx"), F.col("comp").alias("cx"))
+    q = open_.select("key", F.col("id").alias("y"), F.col("fp").alias("fy"), F.col("comp").alias("cy"))
+    apart = (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & (F.bit_count(F.col("fx").bitwiseXOR(F.col("fy"))) <= max_bits)
+    once = (F.col("x") != F.col("least")) & (_first_key("fx", "fy") == F.shiftrightunsigned("key", _KEY_BITS))
+    return p.join(q, "key").where(apart & once).select("x", "y")
+
+
 def line_groups(rows: DataFrame, text_col: str, out: str, max_bits: int, least: float) -> DataFrame:
     """``a, b, comp`` of the distinct lines that are linked to another one."""
     lines = rows.select(F.explode(out).alias("l")).select("l.a", "l.b", "l.fp").distinct()
     lines = materialise(lines.withColumn("id", F.monotonically_increasing_id()), "line-ids")
     buckets = _candidates(lines, max_bits)
     release_shuffles(rows.sparkSession)
+    # all that follows needs only the few lines left in a bucket: they are found in one pass, and their texts in one scan
+    ids = materialise(buckets.select("id").distinct().withColumn("h", F.xxhash64("id")), "line-near-ids")
+    maybe = maybe_among(ids, "h")
+    lines = materialise(lines.select("id", "a", "b").where(maybe(F.xxhash64("id"))).join(ids.select("id"), "id"), "line-near")
+    texts = _texts(rows, text_col, out, lines)
     close = lambda p, q: F.bit_count(F.col(p).bitwiseXOR(F.col(q))) <= max_bits
-    def check(pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs, "line-candidates")
-        names = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-        texts = _texts(rows, text_col, out, lines.join(names, "id").select("id", "a", "b"))
-        return materialise(_verified(pairs, texts, least), "line-pairs")
-
     stars = (buckets.where((F.col("id") != F.col("least")) & close("fp", "least_fp"))
              .select(F.col("least").alias("x"), F.col("id").alias("y")).distinct())
-    first = check(stars)
+    stars = materialise(stars, "line-candidates")
+    first = materialise(_verified(stars, texts, least), "line-pairs")
     comps = connected_components(first, "line-stars")
     # what the stars left apart: members of one bucket in different groups
     open_ = buckets.where("n > 2").join(comps, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "fp", F.coalesce("comp", "id").alias("comp"))
+        "key", "id", "fp", "least", F.coalesce("comp", "id").alias("comp"))
     w = Window.partitionBy("key")
     open_ = materialise(open_.withColumns({"c0": F.min("comp").over(w), "c1": F.max("comp").over(w)})
-                        .where("c0 <> c1").select("key", "id", "fp", "comp"), "line-open")
-    p = open_.select("key", F.col("id").alias("x"), F.col("fp").alias("fx"), F.col("comp").alias("cx"))
-    q = open_.select("key", F.col("id").alias("y"), F.col("fp").alias("fy"), F.col("comp").alias("cy"))
-    rest = p.join(q, "key").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & close("fx", "fy"))
-    rest = rest.select("x", "y").distinct().join(stars, ["x", "y"], "left_anti")
-    second = check(rest)
+                        .where("c0 <> c1").select("key", "id", "fp", "least", "comp"), "line-open")
+    rest = materialise(_open_pairs(open_, max_bits).join(stars, ["x", "y"], "left_anti"), "line-candidates")
+    second = materialise(_verified(rest, texts, least), "line-pairs")
     release_shuffles(rows.sparkSession)
     if not second.isEmpty():
         comps = connected_components(first.union(second), "line-groups")
@@ -389,18 +415,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of_group = named.where("comp is not null").groupBy("comp").agg(F.min("at").alias("first"))
     stays = (named.where("comp is null").select("a", "b", F.col("at").alias("first"))
              .union(named.join(of_group, "comp").select("a", "b", "first")))
-    gone = (at.join(stays, ["a", "b"]).where("at <> first")
+    # lines that occur once and are like no other are kept out of the shuffle by a bitmap of fixed size
+    repeated = maybe_among(named, "a")
+    gone = (at.where(repeated("a")).join(stays, ["a", "b"]).where("at <> first")
             .groupBy("row").agg(F.collect_list("k").alias("gone")))  # at most a document's own lines
     gone = materialise(gone.select(F.col("row").alias("gone_row"), F.col("gone").alias("gone_k"),
                                    F.xxhash64("row").alias("h")), "line-gone")
     release_shuffles(docs.sparkSession)
     # documents that lose nothing need no join: a bitmap of fixed size spares them the shuffle
-    bitmap = docs.sparkSession.sparkContext.broadcast(hash_bitmap(gone, "h"))
-
-    @F.pandas_udf("boolean")
-    def may_lose(h: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(bitmap.value, h.to_numpy(np.int64)))
-
+    may_lose = maybe_among(gone, "h")
     loses = fresh(rows, "loses_")
     rows = rows.drop(out).withColumn(loses, may_lose(F.xxhash64(row)))
     none = F.lit(None).cast("array<int>").alias("gone_k")

@@ -274,3 +274,37 @@ def test_line_candidates_keep_every_near_pair(spark):
     assert len(got) == sum(map(len, buckets.values())) < 2 * len(linked)  # few members stay without a partner
     assert all(len(x) == 1 for x in least.values())
     assert all(r["least"] <= r["id"] and (r["n"] <= 4 or r["n"] == len(buckets[r["key"]])) for r in got)
+
+
+def test_open_pairs_come_once_and_all(spark):
+    """Near copies of one group that share up to ten buckets: each pair that no star holds comes from one bucket."""
+    rng = np.random.default_rng(9)
+    base = int(rng.integers(1 << 62))
+    fps = [base ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 3)), replace=False)) for _ in range(120)]
+    rows = [(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in enumerate(fps)]
+    buckets = line_dedup._candidates(spark.createDataFrame(rows, "id long, fp long"), 3)
+    got = [(r.x, r.y) for r in line_dedup._open_pairs(buckets.where("n > 2").selectExpr("*", "id % 50 as comp"), 3).collect()]
+    stars = {(r.least, r.id) for r in buckets.collect() if r.id != r.least}
+    want = {(a, b) for a in range(120) for b in range(a + 1, 120) if (fps[a] ^ fps[b]).bit_count() <= 3 and a % 50 != b % 50}
+    assert len(got) == len(set(got)) and set(got) <= want <= set(got) | stars
+
+
+def test_texts_of_lines_are_read_once(spark, docs, monkeypatch):
+    """Stars and what they leave apart take the lines' texts from one scan."""
+    scans, texts = [], line_dedup._texts
+    monkeypatch.setattr(line_dedup, "_texts", lambda *a: scans.append(a) or texts(*a))
+    rnd = random.Random(13)
+    line = prose(rnd, 40)
+    rows = [(k, line[:-1 - k % 3] + "xyz"[:k % 3] + str(k) * (k % 2)) for k in range(12)]
+    got = line_dedup.dedup_lines(docs(rows).coalesce(1)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for (i, _), t in zip(rows, brute_lines(rows)))
+    assert len(scans) == 1
+
+
+def test_normalised_lines_of_ascii_are_as_of_any_text():
+    raw = "".join(map(chr, range(128)))
+    for t in (raw, "A_b-1\t2\x1cC", "", "\r", "Zoë 12", "ß\n" + raw):
+        words = [line_dedup._DIGIT.sub("0", " ".join(line_dedup._WORD.findall(x.lower()))) for x in t.split("\n")]
+        assert [line_dedup.normalise(x) for x in t.split("\n")] == words
+        assert line_dedup.line_hashes([t.encode()])[2].tolist() == [
+            int.from_bytes(xxhash.xxh128_digest(w)[:8], "big", signed=True) for w in words if w]
