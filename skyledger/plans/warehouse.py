@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.joins import fits_broadcast
-from ..operators.quality import observe
+from ..operators.quality import observe, unique
 from ..session import scratch_path, session_key
 from ..sinks.stored import _read_text, _write_text, exists
 from ..sinks.tables import write_partitioned
@@ -69,6 +69,16 @@ class StoredMarts:
             out |= json.loads(_read_text(self.spark, file)) if exists(self.spark, file) else {}
         return out
 
+    def sized_as(self) -> dict[str, DataFrame]:
+        """The layers that stay views, by a written table of as many rows, so that counting them does not dedup raw again.
+
+        Facts are the enriched rows; a staged row meets one location at most where location ids are unique.
+        """
+        out = {"daily_enriched": self.facts}
+        if unique(self.locations, "location_id").isEmpty():
+            out |= {"stg_daily": self.facts, "stg_hourly": self.hourly_facts}
+        return out
+
     @cached_property
     def facts(self) -> DataFrame:
         # monthly partitions, clustered by (location_id, date) as the source's mart

@@ -3,11 +3,13 @@
 import datetime as dt
 import glob
 import tempfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.incremental import merge_upsert
+from skyledger.operators.quality import run_suite, unique
 from skyledger.plans import bridge, layers
 from skyledger.plans.marts import Marts
 from skyledger.plans.warehouse import StoredMarts
@@ -51,6 +53,38 @@ def test_stored_marts_equal_the_composed_ones(spark, marts):
         assert len(glob.glob(f"{month}/*.parquet")) <= len(glob.glob(month.replace("/alerts/", "/daily_facts/") + "/*.parquet"))
 
 
+def test_suite_counts_views_by_the_tables_they_fill(spark, marts):
+    hourly = spark.createDataFrame([("1", dt.datetime(2023, 1, 1, h), *[1.0] * 3, "tz", *[1.0] * 4, 1, 1.0, 1, 1.0, 1, dt.datetime(2023, 1, 2))
+                                    for h in (1, 1, 2)], "location_id string, timestamp timestamp, latitude double, longitude double, "
+                                   "elevation double, timezone string, temperature_2m double, relative_humidity_2m double, precipitation double, "
+                                   "wind_speed_10m double, wind_direction_10m long, surface_pressure double, cloud_cover long, "
+                                   "visibility double, weather_code long, _extracted_at timestamp")
+    for locations in (marts.locations, marts.locations.unionByName(marts.locations.where("location_id = '1'"))):
+        m = Marts(marts.raw_daily, hourly, locations, stamps=False)
+        s = StoredMarts(spark, m, tempfile.mkdtemp(prefix="skyledger-marts-"))
+        views = {"stg_daily": m.stg_daily, "daily_enriched": m.enriched, "stg_hourly": m.stg_hourly}
+        sized = s.sized_as()
+        assert {k: v.count() for k, v in sized.items()} == {k: views[k].count() for k in sized}
+        # a repeated location multiplies the rows it meets: then staging is counted itself
+        assert set(sized) == (set(views) if locations is marts.locations else {"daily_enriched"})
+        # a view with a stored table of its size is not evaluated: this one would fail
+        dead = views["stg_daily"].withColumn("location_id", F.raise_error(F.lit("evaluated")))
+        suites = {"daily_enriched": [("not_null", "location_id")]}
+        got = run_suite({"daily_enriched": dead.filter(F.col("location_id").isNull())}, suites, s.metrics(), s.sized_as())
+        assert [tuple(r) for r in got.collect()] == [("daily_enriched", "not_null", "location_id", 0)]
+
+
+def test_uniqueness_shuffles_keys_as_bytes(spark):
+    keys = ["0123456789abcdef" * 2] * 2 + ["0123456789ABCDEF" * 2] * 2 + ["x", "x", "y", "0123456789abcdef" * 2 + "\n", None, None]
+    keys += [bytes.fromhex("41" * 16).decode()] * 3 + ["41" * 16] * 2  # a key's bytes as a text of its own
+    df = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)], "k string, n int")
+    want = {k: n for k, n in Counter(keys).items() if n > 1 and k is not None}
+    assert {r.k: r.n_records for r in unique(df, "k").collect()} == want
+    assert unique(df, "k").columns == ["k", "n_records"]
+    assert {r.n for r in unique(df, "n").collect()} == {0, 1}
+    assert "hashpartitioning(k" not in plan(unique(df, "k")) and "unhex" in plan(unique(df, "k"))
+
+
 def test_merge_leaves_rows_outside_the_increment_alone(spark):
     target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z"), ("d", None, "w"), (None, 3, "v")], "k string, d int, v string")
     source = spark.createDataFrame([("c", 3, "new"), ("e", 4, "new")], "k string, d int, v string")
