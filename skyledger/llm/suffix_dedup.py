@@ -52,7 +52,7 @@ GRAM = 32
 MAX_GROUP = 4096          # distinct contexts of one gram sorted together
 BATCH_SYMBOLS = 50_000    # symbols of one suffix array, whole groups
 SEEN = 50_000             # contexts a reading task remembers, to send each once
-SEGMENT = 1 << 20         # bytes hashed at once
+SEGMENT = 1 << 17         # bytes hashed at once: some 80 bytes of arrays each
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _POS = np.uint64(0xFFFFFF)
@@ -131,16 +131,19 @@ def _context_table(docs: DataFrame, length: int) -> DataFrame:
     src = docs.withColumn("row", F.monotonically_increasing_id())
     schema = T.StructType([*src.schema.fields, T.StructField("c", T.ArrayType(item))])
 
+    def lists(b: pa.RecordBatch) -> pa.ListArray:
+        buf, off = utf8_batch(b.column(b.schema.get_field_index("text")))
+        doc, lo, k, g, h, a = contexts(buf, off, length)
+        cut = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
+        items = pa.StructArray.from_arrays(
+            [pa.array(g), pa.array(h), *(pa.array(x.astype(np.int32)) for x in (lo, k, a))],
+            ["gram", "ctx", "lo", "k", "a"])
+        return pa.ListArray.from_arrays(pa.array(cut), items)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, off = utf8_batch(b.column(b.schema.get_field_index("text")))
-            doc, lo, k, g, h, a = contexts(buf, off, length)
-            cut = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
-            items = pa.StructArray.from_arrays(
-                [pa.array(g), pa.array(h), *(pa.array(x.astype(np.int32)) for x in (lo, k, a))],
-                ["gram", "ctx", "lo", "k", "a"])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(cut), items)],
-                                             [*b.schema.names, "c"])
+            yield pa.RecordBatch.from_arrays([*b.columns, lists(b)], [*b.schema.names, "c"])
+        b = None
         give_back()
 
     return materialise(src.mapInArrow(run, schema), "contexts")
@@ -166,6 +169,8 @@ def _repeated(table: DataFrame, grams: np.ndarray) -> DataFrame:
             rows = b.column(0).to_numpy()[row[hit]]
             yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(f[x][hit]) for x in ("gram", "ctx", "lo", "k"))],
                                              ["row", "gram", "ctx", "lo", "k"])
+        b = row = f = hit = rows = None
+        give_back()
 
     return materialise(table.select("row", "c").mapInArrow(run, "row long, gram long, ctx long, lo int, k int"),
                        "repeated")
@@ -195,6 +200,9 @@ def _context_bytes(table: DataFrame, length: int, wanted: np.ndarray, large: np.
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)],
                                              ["gram", "ctx", "k", "a", "bytes"])
+        b = row = f = hit = buf = off = raw = start = cols = v = None
+        seen.clear()
+        give_back()
 
     return table.select("text", "c").mapInArrow(run, "gram long, ctx long, k int, a int, bytes binary")
 
@@ -307,6 +315,7 @@ def _marks(rows: DataFrame, length: int) -> DataFrame:
             held += group.values()
         if held:
             yield judge(held)
+        held, group, b, x = [], {}, None, None
         give_back()
 
     return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, MARKS)
@@ -402,6 +411,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             types = [pa.binary(), *[pa.int64()] * 3, pa.string()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
                                              ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        b = buf = off = raw = cols = text = kept = parts = v = None
+        give_back()
 
     schema = T.StructType([id_field, T.StructField("kept", T.BinaryType()),
                            *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -97,6 +98,19 @@ def test_substrings_of_long_texts_in_parts(monkeypatch):
     assert starts == [(0, i) for i in range(4801)] + [(2, i) for i in range(3701)]
 
 
+def test_context_pass_holds_small_arrays():
+    rnd = np.random.default_rng(5)
+    buf, off = rnd.integers(97, 123, 4_000_000, dtype=np.uint8), np.arange(0, 4_000_001, 4000)
+    tracemalloc.start()
+    try:
+        doc, *_ = suffix_dedup.contexts(buf, off, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(doc.tolist()) == set(range(1000))
+    assert peak < 40e6  # whole batches of texts pass through, a few at a time
+
+
 def test_substrings_of_nothing(spark, docs):
     assert suffix_dedup.dedup_substrings(docs([])).count() == 0
     with pytest.raises(ValueError):
