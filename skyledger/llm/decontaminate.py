@@ -65,6 +65,7 @@ _MARKS = "ัิ-ฺ็-๎ັິ-ຼ່-ໍါ-ှ឴-៓"
 _ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _CUTS = re.compile(rf"(?=[{_UNSPACED}])|(?<=[{_UNSPACED}{_MARKS}])(?=[\da-zA-Z])")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_CHUNK = 1 << 16  # characters of texts read at once
 WORD, NUM, NAME, UNIT = range(4)
 MARK = {NUM: "<num>", NAME: "<name>", UNIT: "<unit>"}
 
@@ -73,7 +74,7 @@ EMPTY, NUM_, CAP, ENDS, UNIT_, SPLIT = 1, 2, 4, 8, 16, 32  # what a raw token is
 
 
 def _h(s: str) -> int:
-    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh64_intdigest(s if s.isascii() else s.encode("utf-8", "surrogatepass"))
 
 
 class Canon:
@@ -85,16 +86,40 @@ class Canon:
         self._reset()
 
     def _reset(self) -> None:
-        class Codes(dict):
-            def __missing__(codes, raw: str) -> int:  # noqa: N805
-                return self._add(raw)
-
-        self.codes = Codes()
+        self.codes: dict[str, int] = {}
         self.core: list[str] = []
         self.flags = np.zeros(1 << 16, np.uint8)
         self.hashes = np.zeros(1 << 16, np.uint64)
 
-    def _add(self, raw: str) -> int:
+    def _codes(self, raw: list[str]) -> np.ndarray:
+        """Codes of raw tokens; those not met before are added, all at once."""
+        known = self.codes
+        new = set(raw).difference(known)
+        if new:
+            n = len(self.core)
+            known.update(zip(new, range(n, n + len(new))))
+            # plain lower-case words need no closer look
+            low, flags = [], []
+            for x in new:
+                if x.isascii() and x.isalpha() and x.islower():
+                    low.append(x)
+                    flags.append(UNIT_ if x in UNITS else 0)
+                else:
+                    core, flag = self._look(x)
+                    low.append(core)
+                    flags.append(flag)
+            end = n + len(new)
+            if end > len(self.flags):
+                room = max(end, 2 * len(self.flags)) - len(self.flags)
+                self.flags = np.concatenate([self.flags, np.zeros(room, np.uint8)])
+                self.hashes = np.concatenate([self.hashes, np.zeros(room, np.uint64)])
+            self.core += low
+            self.flags[n:end] = flags
+            self.hashes[n:end] = np.fromiter(map(_h, low), np.uint64, len(low))
+        return np.fromiter(map(known.__getitem__, raw), np.int64, len(raw))
+
+    def _look(self, raw: str) -> tuple[str, int]:
+        """A raw token's core in lower case, and what it is."""
         core = raw if raw.isalpha() else raw.strip(_STRIP)
         low = core.lower()
         flag = 0 if core is raw or raw[-1].isalnum() or not _ENDS.search(raw) else ENDS
@@ -109,50 +134,56 @@ class Canon:
             flag |= UNIT_ * (low in UNITS) | CAP * (len(core) > 1 and core[0] != low[0] and core[1:] == low[1:])
         else:
             flag |= UNIT_ * (low in UNITS)
-        n = len(self.core)
-        if n == len(self.flags):
-            self.flags = np.concatenate([self.flags, np.zeros(n, np.uint8)])
-            self.hashes = np.concatenate([self.hashes, np.zeros(n, np.uint64)])
-        self.core.append(low)
-        self.flags[n] = flag
-        self.hashes[n] = _h(low)
-        self.codes[raw] = n
-        return n
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the tokens that are not empty: codes, kinds, which are capitalised words at a sentence start."""
+        return low, flag
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the tokens that are not empty, text after text: codes, kinds, which are capitalised words at a sentence start; texts' bounds."""
         if len(self.core) > self.LIMIT:
             self._reset()
-        if not text.isascii() and _ANY_UNSPACED.search(text):
-            text = _CUTS.sub(" ", text)
-        raw = text.split()
-        code = np.fromiter(map(self.codes.__getitem__, raw), np.int64, len(raw))
+        raw: list[str] = []
+        cuts = [0]
+        for text in texts:
+            if not text.isascii() and _ANY_UNSPACED.search(text):
+                text = _CUTS.sub(" ", text)
+            raw += text.split()
+            cuts.append(len(raw))
+        bounds = np.array(cuts)
+        code = self._codes(raw)
         flag = self.flags[code]
-        if (flag & SPLIT).any():  # "5km," is "5" and "km,"
-            parts = []
-            for r, f in zip(raw, flag.tolist()):
-                m = _NUMBER_UNIT.search(r.lower()) if f & SPLIT else None
-                parts += (r[:m.end(1)], r[m.end(1):]) if m else (r,)
-            code = np.fromiter(map(self.codes.__getitem__, parts), np.int64, len(parts))
+        split = np.flatnonzero(flag & SPLIT)
+        if len(split):  # "5km," is "5" and "km,"
+            found = [(i, _NUMBER_UNIT.search(raw[i].lower())) for i in split.tolist()]
+            found = [(i, m.end(1)) for i, m in found if m]
+            at = np.array([i for i, _ in found], np.int64)
+            parts = self._codes([x for i, k in found for x in (raw[i][:k], raw[i][k:])]).reshape(-1, 2)
+            code[at] = parts[:, 0]
+            code = np.insert(code, at + 1, parts[:, 1])
+            bounds = bounds + np.searchsorted(at, bounds)
             flag = self.flags[code]
         at = np.flatnonzero((flag & EMPTY) == 0)
         ends = np.concatenate([[0], np.cumsum((flag & ENDS) > 0)])
+        bounds = np.searchsorted(at, bounds)
         code, flag = code[at], flag[at]
+        heads = bounds[:-1][bounds[:-1] < bounds[1:]]  # first tokens of texts
         starts = np.ones(len(at), bool)  # no sentence end since the token before
         starts[1:] = ends[at[1:]] > ends[at[:-1]]
+        starts[heads] = True
         number = (flag & NUM_) > 0
+        cap = (flag & CAP) > 0
         kind = np.where(number, NUM, WORD)
-        kind[((flag & CAP) > 0) & ~starts] = NAME
-        kind[1:][number[:-1] & ((flag[1:] & UNIT_) > 0)] = UNIT
-        return code, kind, ((flag & CAP) > 0) & starts & (kind == WORD)
-
-    def templates(self, text: str) -> tuple[np.ndarray, list["Template"]]:
-        """Codes of the tokens, and the templates: first words as words, first words as names (if there are any)."""
-        code, kind, first = self.read(text)
+        kind[cap & ~starts] = NAME
+        unit = number[:-1] & ((flag[1:] & UNIT_) > 0)
+        unit[heads[heads > 0] - 1] = False
+        kind[1:][unit] = UNIT
+        return code, kind, cap & starts & (kind == WORD), bounds
+
+    def templates(self, texts: list[str]) -> tuple[np.ndarray, list["Template"], np.ndarray]:
+        """Codes of the tokens, the templates: first words as words, first words as names (if there are any); texts' bounds."""
+        code, kind, first, bounds = self.read(texts)
         out = [self._template(code, kind, np.zeros(len(code), bool), first)]
         if first.any():
             out.append(self._template(code, np.where(first, NAME, kind), first, first))
-        return code, out
+        return code, out, bounds
 
     def plain(self, code: np.ndarray) -> "Template":
         """The tokens as they are."""
@@ -216,7 +247,7 @@ def window_hashes(tokens: np.ndarray, window: int) -> np.ndarray:
 
 def _item_windows(canon: Canon, text: str, window: int, min_words: int) -> tuple[int, list[tuple]]:
     """How many windows an item has, and each: position, size, template (2: plain tokens), hash, canonical text, slots."""
-    code, templates = canon.templates(text)
+    code, templates, _ = canon.templates([text])
     out, n = [], 0
     for k, t in enumerate([*templates, canon.plain(code)]):
         plain = k == len(templates)
@@ -230,22 +261,41 @@ def _item_windows(canon: Canon, text: str, window: int, min_words: int) -> tuple
     return n, out
 
 
-def _text_windows(canon: Canon, text: str, min_words: int, sizes: list[int], plain: list[int], bitmap: np.ndarray) -> list[tuple]:
-    """The windows of a document that may match, as those of an item; ``sizes`` and ``plain`` are what the items have."""
-    code, templates = canon.templates(text)
+def _text_windows(canon: Canon, texts: list[str], min_words: int, sizes: list[int], plain: list[int],
+                  bitmap: np.ndarray) -> list[list[tuple]]:
+    """The windows of documents that may match, as those of an item; ``sizes`` and ``plain`` are what the items have."""
+    code, templates, bounds = canon.templates(texts)
     todo = [(k, t, size, min_words) for k, t in enumerate(templates) for size in sizes]
     if plain:
         todo += [(2, canon.plain(code), size, 0) for size in plain]
-    out = []
+    out: list[list[tuple]] = [[] for _ in texts]
     for k, t, size, words in todo:
         if len(t.at) < size:
             continue
         h, ok = t.windows(size, words, k == 1)
-        out += [(int(t.at[p]), size, k, int(h[p].astype(np.int64)), *canon.window(code, t, p, size))
-                for p in np.flatnonzero(ok & in_bitmap(bitmap, h)).tolist()]
+        for b in np.searchsorted(t.at, bounds[1:-1]).tolist():  # a window is of one text
+            ok[max(b - size + 1, 0):b] = False
+        at = np.flatnonzero(ok)
+        at = at[in_bitmap(bitmap, h[at])]
+        doc = np.searchsorted(bounds, t.at[at], "right") - 1
+        for p, d in zip(at.tolist(), doc.tolist()):
+            out[d].append((int(t.at[p] - bounds[d]), size, k, int(h[p].astype(np.int64)), *canon.window(code, t, p, size)))
     return out
 
 
+def _some(texts: Iterator[str]) -> Iterator[list[str]]:
+    """``texts`` in lists of about ``_CHUNK`` characters, or of one longer text."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= _CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _windows(df: DataFrame, key: str, window: int, min_words: int, match: tuple | None = None) -> DataFrame:
     """``key, text_hash, n, pos, size, template, hash, canon, slots`` for the windows of column ``text``.
 
@@ -259,10 +309,10 @@ def _windows(df: DataFrame, key: str, window: int, min_words: int, match: tuple
         for b in batches:
             cols: list[list] = [[] for _ in names]
             ids, ths = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, th, raw in zip(ids, ths, texts_of(b.column(2))):
-                text = raw.decode("utf-8", "replace")
-                n, got = (_item_windows(canon, text, window, min_words) if shared is None
-                          else (0, _text_windows(canon, text, min_words, *shared.value)))
+            texts = (raw.decode("utf-8", "replace") for raw in texts_of(b.column(2)))
+            found = ((_item_windows(canon, text, window, min_words) for text in texts) if shared is None else
+                     ((0, got) for some in _some(texts) for got in _text_windows(canon, some, min_words, *shared.value)))
+            for i, th, (n, got) in zip(ids, ths, found):
                 for w in got:
                     for c, v in zip(cols, (i, th, n, *w)):
                         c.append(v)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +189,19 @@ def test_decontamination_of_short_items_names_and_scripts_without_spaces(spark,
     assert {r.doc_id for r in got if r.reparameterised} == {3, 4, 5}
 
 
+def test_decontamination_reads_texts_together_as_alone():
+    rnd = random.Random(7)
+    words = "the of Mary Ann runs 5 12 5km, km 3.5 miles end. Stop! -- ... ask? tell said 北京大学 ไทย Paris is".split()
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))) for _ in range(200)] + ["", "12", "km", "Ann", "5km", ""]
+    rnd.shuffle(texts)
+    every = np.full(1 << 19, np.iinfo(np.uint64).max, np.uint64)  # a bitmap that holds all windows
+    windows = decontaminate._text_windows(decontaminate.Canon(), texts, 2, [4, 8], [1, 3], every)
+    assert windows == [decontaminate._text_windows(decontaminate.Canon(), [t], 2, [4, 8], [1, 3], every)[0] for t in texts]
+    assert sum(map(len, windows)) > 1000
+    together = [x for some in decontaminate._some(iter(texts * 100)) for x in some]
+    assert together == texts * 100
+
+
 def test_decontamination_adds_up_shifts(spark, docs):
     item = "Today near Mary Ann the tall old man saw one boat go by there again"  # 3 windows up to the name, 4 after it
     bench = spark.createDataFrame([(0, item)], "item_id int, text string")
