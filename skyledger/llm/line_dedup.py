@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, give_back, hash_bitmap, in_bitmap, materialise, maybe_among, release_shuffles, texts_of
+from .common import connected_components, fresh, give_back, hash_bitmap, in_bitmap, materialise, materialise_by, maybe_among, release_shuffles, texts_of
 
 MIN_SIMILARITY = 0.8
 MAX_BITS = 3
@@ -215,9 +215,16 @@ def edit_similarity(x: str, y: str, least: float) -> bool:
     return dist <= most
 
 
-def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
-    """``docs``, a row id in ``row``, and in ``out`` an array of its lines ``(k, a, b, fp)``, written once."""
+_ROW_BITS = 33  # of a row id, the place in its task; the task's number is above
+
+
+def line_table(docs: DataFrame, text_col: str, out: str, row: str, part: str) -> DataFrame:
+    """``docs``, a row id in ``row``, the task that reads it in ``part``, and in ``out`` an array of its lines ``(k, a, b, fp)``.
+
+    Written once, bucketed by ``part``, so that what is found out about the lines can be brought to the texts.
+    """
     src = docs.withColumn(row, F.monotonically_increasing_id())
+    src = src.withColumn(part, F.shiftrightunsigned(row, _ROW_BITS))
     item = T.StructType([T.StructField("k", T.IntegerType()), *(T.StructField(x, T.LongType()) for x in ("a", "b", "fp"))])
     schema = T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(item))])
 
@@ -230,7 +237,7 @@ def line_table(docs: DataFrame, text_col: str, out: str, row: str) -> DataFrame:
                                              [*b.schema.names, out])
         give_back()
 
-    return materialise(src.mapInArrow(run, schema), "lines")
+    return materialise_by(src.mapInArrow(run, schema), "lines", part)
 
 
 def _near(side: WindowSpec, max_bits: int) -> Column:
@@ -399,11 +406,26 @@ def line_groups(rows: DataFrame, text_col: str, out: str, max_bits: int, least:
     return lines.join(comps, F.col("id") == F.col("node")).select("a", "b", "comp")
 
 
+def _chunk(row: Column) -> Column:
+    return F.shiftright(row, 8)
+
+
+def _by_task(gone: DataFrame) -> DataFrame:
+    """``row, gone`` as ``part, gone_of``: the lists of a task's documents, by chunks of 256 row ids and by row id.
+
+    A map is searched from its start, so there are two small ones instead of one.
+    """
+    chunks = gone.groupBy(_chunk(F.col("row")).alias("chunk")).agg(
+        F.map_from_entries(F.collect_list(F.struct("row", "gone"))).alias("of"))
+    return chunks.groupBy(F.shiftright("chunk", _ROW_BITS - 8).alias("part")).agg(
+        F.map_from_entries(F.collect_list(F.struct("chunk", "of"))).alias("gone_of"))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
                 min_similarity: float = MIN_SIMILARITY, counts: bool = False) -> DataFrame:
     """``docs`` with repeated lines removed from ``text_col``; with ``counts`` also ``n_lines, n_removed``."""
-    out, row = fresh(docs, "lines_"), fresh(docs, "row_")
-    rows = line_table(docs, text_col, out, row)
+    out, row, part = fresh(docs, "lines_"), fresh(docs, "row_"), fresh(docs, "part_")
+    rows = line_table(docs, text_col, out, row, part)
     groups = line_groups(rows, text_col, out, max_bits, min_similarity)
     at = rows.select(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row)).alias("doc"), F.col(row).alias("row"),
                      F.explode(out).alias("l")).select(
@@ -419,21 +441,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = maybe_among(named, "a")
     gone = (at.where(repeated("a")).join(stays, ["a", "b"]).where("at <> first")
             .groupBy("row").agg(F.collect_list("k").alias("gone")))  # at most a document's own lines
-    gone = materialise(gone.select(F.col("row").alias("gone_row"), F.col("gone").alias("gone_k"),
-                                   F.xxhash64("row").alias("h")), "line-gone")
+    gone_part, gone_of, gone_k = (fresh(rows, x) for x in ("gone_part", "gone_of", "gone_k"))
+    gone = materialise(_by_task(gone).toDF(gone_part, gone_of), "line-gone")
     release_shuffles(docs.sparkSession)
-    # documents that lose nothing need no join: a bitmap of fixed size spares them the shuffle
-    may_lose = maybe_among(gone, "h")
-    loses = fresh(rows, "loses_")
-    rows = rows.drop(out).withColumn(loses, may_lose(F.xxhash64(row)))
-    none = F.lit(None).cast("array<int>").alias("gone_k")
-    joined = (rows.where(F.col(loses)).join(gone.drop("h"), F.col(row) == F.col("gone_row"), "left")
-              .select(*docs.columns, "gone_k").union(rows.where(~F.col(loses)).select(*docs.columns, none)))
+    # texts are not shuffled: their table is bucketed by the task, so the lists go to the texts
+    joined = rows.drop(out).join(gone.hint("shuffle_hash"), F.col(part) == F.col(gone_part), "left")
+    joined = joined.select(*docs.columns, F.try_element_at(F.try_element_at(gone_of, _chunk(F.col(row))), F.col(row)).alias(gone_k))
     text, cut = F.col(text_col), F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(cut, lambda x, i: ~F.array_contains("gone_k", i)), "\n")
-    new = F.when(F.col("gone_k").isNull() | text.isNull(), text).otherwise(kept)
+    kept = F.array_join(F.filter(cut, lambda x, i: ~F.array_contains(gone_k, i)), "\n")
+    new = F.when(F.col(gone_k).isNull() | text.isNull(), text).otherwise(kept)
     cols = [new.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if counts:
         cols += [F.coalesce(F.size(cut), F.lit(0)).cast("long").alias("n_lines"),
-                 F.when(F.col("gone_k").isNull(), 0).otherwise(F.size("gone_k")).cast("long").alias("n_removed")]
+                 F.when(F.col(gone_k).isNull(), 0).otherwise(F.size(gone_k)).cast("long").alias("n_removed")]
     return joined.select(*cols)

@@ -315,6 +315,16 @@ def test_texts_of_lines_are_read_once(spark, docs, monkeypatch):
     assert len(scans) == 1
 
 
+def test_lists_of_removed_lines_go_to_the_texts(spark, docs):
+    rows = [(i, f"a line that all have\n{hashlib.md5(str(i).encode()).hexdigest()} of its own\nanother line of all") for i in range(700)]
+    out = line_dedup.dedup_lines(docs(rows).coalesce(2).withColumnsRenamed({"lang": "gone_k", "source": "gone_of"}), counts=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1  # the lists', not the texts'
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in out.collect()}
+    assert got == {i: (t if i == 0 else t.split("\n")[1], 3, 0 if i == 0 else 2) for i, t in rows}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_")]
+
+
 def test_normalised_lines_of_ascii_are_as_of_any_text():
     raw = "".join(map(chr, range(128)))
     for t in (raw, "A_b-1\t2\x1cC", "", "\r", "Zoë 12", "ß\n" + raw):
